@@ -33,8 +33,6 @@ SEND_TO = "spring.cloud.stream.sendto.destination"
 
 JSON = "application/json"
 
-_MAP = "map<string,string>"
-
 
 def as_column(value: Column | str | int | None, dtype: str = "string") -> Column:
     """A Column as it is, any other value as a literal of the given type."""
@@ -65,8 +63,7 @@ def put_headers(entries: Mapping[str, Column | str | int], base: Column | str =
 def put_headers_if_absent(entries: Column, base: Column | str = "headers") -> Column:
     """`base` with those of `entries` (a map) whose names it lacks."""
     base = F.coalesce(F.col(base) if isinstance(base, str) else base, header_map({}))
-    have = F.map_keys(base)
-    return F.map_concat(base, F.map_filter(entries, lambda k, _: ~F.array_contains(have, k)))
+    return F.map_zip_with(base, entries, lambda _, own, other: F.coalesce(own, other))
 
 
 def drop_headers(*names: str, base: Column | str = "headers") -> Column:

@@ -9,6 +9,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the Avro specification.
 PRIMITIVES = {"null", "boolean", "int", "long", "float", "double", "bytes", "string"}
@@ -88,7 +89,10 @@ def _normalise(definition: str | None) -> tuple:
     return json.dumps(form, sort_keys=True, separators=(",", ":")), None
 
 
-@F.pandas_udf("canonical string, problem string")
+_RESULT = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("problem", T.StringType())])
+
+
+@F.pandas_udf(_RESULT)
 def canonical(definitions: pd.Series) -> pd.DataFrame:
     """Normal form of each definition, or why it is none."""
     return pd.DataFrame([_normalise(d) for d in definitions], columns=["canonical", "problem"])

@@ -33,16 +33,15 @@ def _json_string(c: Column) -> Column:
 
 def embed_headers(body: Column, headers: Column, names: Sequence[str] = ()) -> Column:
     """The payload with the standard headers and those named put in front of its body."""
-    wanted = F.array(*[F.lit(n) for n in dict.fromkeys([*STANDARD, *names])])
-    present = F.filter(wanted, lambda n: F.try_element_at(headers, n).isNotNull())
-
-    def entry(name: Column) -> Column:
-        value = F.encode(_json_string(F.try_element_at(headers, name)), "UTF-8")
-        return F.concat(_bytes_of(F.octet_length(name), 1), F.encode(name, "UTF-8"),
-                        _bytes_of(F.length(value), 4), value)
-
-    entries = F.aggregate(F.transform(present, entry), F.lit(b""), lambda all_, e: F.concat(all_, e))
-    return F.concat(F.unhex(F.lit("FF")), _bytes_of(F.size(present), 1), entries, body.cast("binary"))
+    count, entries = F.lit(0), []
+    for name in dict.fromkeys([*STANDARD, *names]):
+        value = F.try_element_at(headers, F.lit(name))
+        json_value = F.encode(_json_string(value), "UTF-8")
+        name_bytes = F.encode(F.lit(name), "UTF-8")
+        entry = F.concat(_bytes_of(F.length(name_bytes), 1), name_bytes, _bytes_of(F.length(json_value), 4), json_value)
+        count = count + F.when(value.isNotNull(), 1).otherwise(0)
+        entries.append(F.when(value.isNotNull(), entry).otherwise(F.lit(b"")))
+    return F.concat(F.unhex(F.lit("FF")), _bytes_of(count, 1), *entries, body.cast("binary"))
 
 
 def may_have_embedded(payload: Column) -> Column:
@@ -53,22 +52,23 @@ def extract_headers(payload: Column) -> Column:
     """struct(headers, body) of a payload; one without embedded headers keeps its bytes and has
     no headers."""
     count = F.when(may_have_embedded(payload), _number_at(payload, F.lit(2), 1)).otherwise(0)
-    start = F.struct(F.when(may_have_embedded(payload), 3).otherwise(1).alias("at"),
+    start = F.struct(payload.alias("payload"), F.when(may_have_embedded(payload), 3).otherwise(1).alias("at"),
                      F.array().cast(_ENTRY).alias("found"))
 
     def step(state: Column, _: Column) -> Column:
+        raw = state["payload"]
         name_at = state["at"] + 1
-        name_len = _number_at(payload, state["at"], 1)
+        name_len = _number_at(raw, state["at"], 1)
         value_at = name_at + name_len + 4
-        value_len = _number_at(payload, name_at + name_len, 4)
-        name = F.decode(F.substring(payload, name_at, name_len), "UTF-8")
-        text = F.decode(F.substring(payload, value_at, value_len), "UTF-8")
+        value_len = _number_at(raw, name_at + name_len, 4)
+        name = F.decode(F.substring(raw, name_at, name_len), "UTF-8")
+        text = F.decode(F.substring(raw, value_at, value_len), "UTF-8")
         # A JSON string comes back unquoted, any other JSON value as its text.
         plain = F.when(text.startswith('"'),
                        F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), F.lit(0))
                        ).otherwise(text)
         found = F.concat(state["found"], F.array(F.struct(name.alias("k"), plain.alias("v"))))
-        return F.struct((value_at + value_len).alias("at"), found.alias("found"))
+        return F.struct(raw.alias("payload"), (value_at + value_len).alias("at"), found.alias("found"))
 
     turns = F.filter(F.sequence(F.lit(0), count), lambda i: i > 0)
     end = F.aggregate(turns, start, step)

@@ -11,6 +11,7 @@ def words(text: Column, pattern: str = "\\W+") -> Column:
     ones go, and an empty text is one empty word."""
     text = F.lower(text)
     parts = F.split(text, pattern)
-    starts_empty = (F.size(parts) > 1) & (F.get(parts, F.lit(1)) != "")
-    kept = F.filter(parts, lambda word, i: (word != "") | ((i == 0) & starts_empty))
+    starts_empty = (F.size(parts) > 1) & (F.get(parts, F.lit(0)) == "") & (F.get(parts, F.lit(1)) != "")
+    kept = F.filter(parts, lambda word: word != "")
+    kept = F.when(starts_empty, F.concat(F.array(F.lit("")), kept)).otherwise(kept)
     return F.when(text == "", F.array(F.lit(""))).otherwise(kept)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.envelope import CONTENT_TYPE, put_headers
 from millrace.functions.avro import canonical
 from millrace.ordering import with_running
+from millrace.session import enable_checkpoints
 
 STORE = T.StructType(
     [
@@ -32,6 +33,12 @@ def empty_store(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STORE)
 
 
+def save(store: DataFrame, path: str) -> DataFrame:
+    """Write the store and read it back, as the table the next operations start from."""
+    store.write.mode("overwrite").parquet(path)
+    return store.sparkSession.read.schema(STORE).parquet(path)
+
+
 def validate(requests: DataFrame) -> DataFrame:
     """Distinct (subject, format, definition) with first arrival, number of requests, normal form
     and problem (null if valid). Python sees each distinct definition once."""
@@ -52,6 +59,9 @@ def register(store: DataFrame, requests: DataFrame) -> DataFrame:
     same = ["subject", "format", "canonical"]
     new = valid.groupBy(*same).agg(F.min_by("definition", "arrival").alias("definition"), F.min("arrival").alias("arrival"))
     new = new.join(store.select(*same), same, "left_anti")
+    # Distinct new schemas are few; stored once, the requests are read once.
+    enable_checkpoints(new.sparkSession)
+    new = new.checkpoint()
     slices = F.floor(F.col("arrival") / _ARRIVALS_PER_SLICE)
     new = with_running(new, ["subject", "format"], [F.col("arrival"), F.col("canonical")], position="_n", slice_by=slices)
     new = with_running(new.withColumn("_all", F.lit(0)), ["_all"],

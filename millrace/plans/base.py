@@ -85,8 +85,8 @@ def hour(ts: str = "timestamp") -> Column:
 
 def shown(headers: str = "headers") -> Column:
     """Headers as text, sorted by name."""
-    pairs = F.transform(F.map_entries(headers), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return F.array_join(F.array_sort(pairs), ";")
+    entries = F.array_sort(F.map_entries(headers))
+    return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
 
 
 JSON_HEADER = {CONTENT_TYPE: JSON}

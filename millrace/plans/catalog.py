@@ -13,6 +13,12 @@ from millrace.plans.queries import (  # noqa: F401  importing registers them
     partitions,
     routes,
     joining,
+    aggregation,
+    keyed,
+    failures,
+    registries,
+    batching,
+    composing,
 )
 
 

@@ -31,14 +31,14 @@ def read_broker(spark: SparkSession, servers: str, destinations: str = "", patte
     reader = (spark.readStream if stream else spark.read).format("kafka").options(**options)
     raw = (reader.option("kafka.bootstrap.servers", servers).options(**choice)
            .option("startingOffsets", starting).option("includeHeaders", "true").load())
-    pairs = F.transform("headers", lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8")))
     # A header may occur more than once in a record; the last one counts.
-    newest = F.filter(pairs, lambda h, i: ~F.exists(
-        F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["key"] == h["key"]))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    merged = F.aggregate("headers", none, lambda known, h: F.map_concat(
+        F.map_filter(known, lambda k, _: k != h["key"]), F.create_map(h["key"], F.decode(h["value"], "UTF-8"))))
     return raw.select(
         F.col("topic").alias("destination"), "partition", "offset", "timestamp",
         F.col("key").cast("string"), F.col("value").cast("string"),
-        F.map_from_entries(newest).alias("headers"))
+        F.coalesce(merged, none).alias("headers"))
 
 
 def names(destinations: str) -> list[str]:
