@@ -80,7 +80,8 @@ def with_running(
         local[f"_s_{n}_local"] = F.sum(f"_s_{n}").over(upto)
         summary.append(F.sum(f"_s_{n}").alias(f"_s_{n}"))
         carry[f"_s_{n}_carry"] = F.sum(f"_s_{n}").over(before)
-        final[n] = F.col(f"_s_{n}_local") + F.coalesce(f"_s_{n}_carry", F.lit(0))
+        here, earlier = F.col(f"_s_{n}_local"), F.col(f"_s_{n}_carry")
+        final[n] = F.coalesce(here + earlier, here, earlier)
     for n in maxima:
         local[f"_m_{n}_local"] = F.max(f"_m_{n}").over(upto)
         summary.append(F.max(f"_m_{n}").alias(f"_m_{n}"))

@@ -44,13 +44,16 @@ def write_outputs(outputs: Mapping[str, Callable[[DataFrame], DataFrame]], folde
 
     Each destination's part of a micro-batch is one folder named by the batch id. A replayed batch
     overwrites its own folders, so each destination gets every row once; the destinations are not
-    written in one transaction."""
+    written in one transaction. For several destinations the batch is written to a table first and
+    read back from it, so that it is computed once even if executors are lost on the way."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if len(outputs) > 1:
+            staged = f"{folder}/_batch"
+            batch.write.mode("overwrite").parquet(staged)
+            batch = batch.sparkSession.read.schema(batch.schema).parquet(staged)
         for destination, transform in outputs.items():
             transform(batch).write.mode("overwrite").parquet(f"{folder}/{destination}/batch={batch_id}")
-        batch.unpersist()
 
     return write
 
