@@ -40,16 +40,23 @@ def as_column(value: Column | str | int | None, dtype: str = "string") -> Column
 
 
 def header(name: str) -> Column:
-    """The value of one header, or null."""
-    return F.try_element_at("headers", F.lit(name))
+    """The value of one header, or null. Where the map is built in the same query, Spark reads the
+    entry's expression and never builds the map."""
+    return F.col("headers")[name]
 
 
 def header_map(entries: Mapping[str, Column | str | int]) -> Column:
-    """A header map of the given entries; entries whose value is null are left out."""
+    """A header map of the given entries. An entry whose value is null counts as absent; sinks leave
+    it out (`present`)."""
     if not entries:
         return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     parts = [p for name, v in entries.items() for p in (F.lit(name), as_column(v).cast("string"))]
-    return F.map_filter(F.create_map(*parts), lambda _, v: v.isNotNull())
+    return F.create_map(*parts)
+
+
+def present(headers: Column | str = "headers") -> Column:
+    """Headers that have a value."""
+    return F.map_filter(headers, lambda _, v: v.isNotNull())
 
 
 def put_headers(entries: Mapping[str, Column | str | int], base: Column | str = "headers") -> Column:

@@ -96,3 +96,8 @@ _RESULT = T.StructType([T.StructField("canonical", T.StringType()), T.StructFiel
 def canonical(definitions: pd.Series) -> pd.DataFrame:
     """Normal form of each definition, or why it is none."""
     return pd.DataFrame([_normalise(d) for d in definitions], columns=["canonical", "problem"])
+
+
+# Otherwise Spark moves filters on the outcome, and Python with them, below the aggregate that
+# reduces the rows to distinct definitions.
+canonical = canonical.asNondeterministic()

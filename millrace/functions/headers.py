@@ -31,4 +31,4 @@ def passes(name: Column, patterns: Sequence[str] = DEFAULT_PATTERNS) -> Column:
 
 
 def outbound_headers(patterns: Sequence[str] = DEFAULT_PATTERNS, headers: Column | str = "headers") -> Column:
-    return F.map_filter(headers, lambda name, _: passes(name, patterns))
+    return F.map_filter(headers, lambda name, value: passes(name, patterns) & value.isNotNull())

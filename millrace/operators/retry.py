@@ -73,7 +73,9 @@ def apply_with_retry(
     def outcome(values: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([one(v) for v in values], columns=["result", "error", "message", "attempts"])
 
-    return df.withColumn("_o", outcome(F.col("value").cast("string"))).select("*", "_o.*").drop("_o")
+    # Not to be evaluated once for a filter on the outcome and again for its value.
+    once = outcome.asNondeterministic()
+    return df.withColumn("_o", once(F.col("value").cast("string"))).select("*", "_o.*").drop("_o")
 
 
 def recover(df: DataFrame, function: Callable[[str], str]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.envelope import put_headers
-from millrace.functions.text import words
 
 
 def map_values(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
@@ -26,8 +25,14 @@ def filter_rows(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def flat_map_words(df: DataFrame, text: Column, pattern: str = "\\W+", name: str = "word") -> DataFrame:
-    """One row for each word of a text."""
-    return df.withColumn(name, F.explode(words(text, pattern)))
+    """One row for each word of a text, as `millrace.functions.text.words` splits it.
+
+    The text is split once and empty words are judged row by row: only a leading one can stay, in an
+    empty text or before some word."""
+    first_stays = (text == "") | (F.regexp_replace(text, pattern, "") != "")
+    split = df.select("*", F.posexplode(F.split(F.lower(text), pattern)).alias("_at", "_word"))
+    kept = split.filter((F.col("_word") != "") | ((F.col("_at") == 0) & first_stays))
+    return kept.withColumn(name, F.col("_word")).drop("_at", "_word")
 
 
 def drop_tombstones(df: DataFrame) -> DataFrame:

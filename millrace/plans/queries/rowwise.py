@@ -34,12 +34,10 @@ def filter_rows(spark, sf):
 
 
 @query("flat_map_tokens", f"""WITH {WORDS_SQL.format(id="doc_id", table="documents")}
-  SELECT word, count(*) AS occurrences, count(DISTINCT doc_id) AS documents FROM words GROUP BY word""")
+  SELECT word, count(*) AS count FROM words GROUP BY word""")
 def flat_map_tokens(spark, sf):
     words = rows.flat_map_words(table(spark, sf, "documents"), F.col("text"))
-    # One row per word and document before the count of documents.
-    per_document = words.groupBy("word", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_document.groupBy("word").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("documents"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 @query("drop_tombstones", f"""WITH {NOISY} SELECT "offset", value FROM log WHERE value IS NOT NULL""")

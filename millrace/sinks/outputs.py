@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.envelope import CONTENT_TYPE, JSON, SEND_TO, drop_headers, header, put_headers, put_headers_if_absent
+from millrace.envelope import CONTENT_TYPE, JSON, SEND_TO, drop_headers, header, present, put_headers, put_headers_if_absent
 from millrace.functions.content import encode
 from millrace.operators.partitioning import Partitioning, assign_partition
 
@@ -48,7 +48,7 @@ def prepare(
 
 def append(df: DataFrame, path: str) -> None:
     """Append to a log stored by destination; a destination not seen before is created. Batch."""
-    df.write.mode("append").partitionBy("destination").parquet(path)
+    df.withColumn("headers", present()).write.mode("append").partitionBy("destination").parquet(path)
 
 
 def send(df: DataFrame, path: str, destination: str, data: Column, **options) -> None:
