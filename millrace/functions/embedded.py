@@ -70,7 +70,9 @@ def extract_headers(payload: Column) -> Column:
         found = F.concat(state["found"], F.array(F.struct(name.alias("k"), plain.alias("v"))))
         return F.struct(raw.alias("payload"), (value_at + value_len).alias("at"), found.alias("found"))
 
+    def finish(end: Column) -> Column:
+        body = F.substring(end["payload"], end["at"], F.length(end["payload"]))
+        return F.struct(F.map_from_entries(end["found"]).alias("headers"), body.alias("body"))
+
     turns = F.filter(F.sequence(F.lit(0), count), lambda i: i > 0)
-    end = F.aggregate(turns, start, step)
-    return F.struct(F.map_from_entries(end["found"]).alias("headers"),
-                    F.substring(payload, end["at"], F.length(payload)).alias("body"))
+    return F.aggregate(turns, start, step, finish)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.envelope import header_map
 from millrace.ordering import with_running
+from millrace.session import stored
 
 
 def _sorted_items(at: str = "_at") -> Column:
@@ -98,6 +99,7 @@ def buffer(
     rows = with_running(df, group, order, position="_at", slice_by=slice_by)
     rows = rows.withColumns({"_size": F.coalesce(F.octet_length("value"), F.lit(0)).cast("bigint"),
                              "_ms": F.unix_millis(ts)})
+    rows = stored(rows, "numbered")  # read three times below, twice without its payload
     slim = rows.select(*group, "_at", "_size", "_ms")
     own = F.floor(F.col("_at") / chunk)
     tail = F.col("_at") % chunk > chunk - count

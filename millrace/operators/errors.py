@@ -116,14 +116,15 @@ def dead_letter(
     if mode == "headers":
         changed = {**target, "headers": put_headers(details)}
     elif mode == "embeddedHeaders":
-        inside = extract_headers(F.col("value").cast("binary"))
-        together = put_headers(details, inside["headers"])
-        changed = {**target, "value": embed_headers(inside["body"], together, list(details))}
+        # In steps, so that neither the extracted nor the combined headers are computed per header.
+        bad = bad.withColumn("_inside", extract_headers(F.col("value").cast("binary")))
+        bad = bad.withColumn("_together", put_headers(details, "_inside.headers"))
+        changed = {**target, "value": embed_headers(F.col("_inside.body"), F.col("_together"), list(details))}
     elif mode == "none":
         changed = target
     else:
         raise ValueError(f"unknown header mode: {mode}")
-    return bad.withColumns(changed).drop(error)
+    return bad.withColumns(changed).drop(error, "_inside", "_together")
 
 
 def dead_letter_batches(df: DataFrame, *batch: str, error: str = "error") -> DataFrame:

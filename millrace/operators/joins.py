@@ -76,7 +76,8 @@ def join_asof(
     sorts each side once, where a range join would compare pairs."""
     carried = F.struct(*[F.col(v) for v in values])
     own = [c for c in stream.columns if c not in (key, ts, tie_breaker)]
-    left = stream.select(key, ts, tie_breaker, F.struct(*own).alias("_row"), F.lit(1).alias("_side"))
+    row = F.struct(F.lit(True).alias("_present"), *[F.col(c) for c in own])  # a struct cannot be empty
+    left = stream.select(key, ts, tie_breaker, row.alias("_row"), F.lit(1).alias("_side"))
     right = table.select(key, ts, tie_breaker, carried.alias("_table"), F.lit(0).alias("_side"))
     both = left.unionByName(right, allowMissingColumns=True).filter(F.col(key).isNotNull())
     seen = with_running(both, [key], [F.col(ts), F.col("_side"), F.col(tie_breaker)],

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from millrace.envelope import CONTENT_TYPE, put_headers
 from millrace.functions.avro import canonical
 from millrace.ordering import with_running
-from millrace.session import enable_checkpoints
+from millrace.session import stored
 
 STORE = T.StructType(
     [
@@ -60,8 +60,7 @@ def register(store: DataFrame, requests: DataFrame) -> DataFrame:
     new = valid.groupBy(*same).agg(F.min_by("definition", "arrival").alias("definition"), F.min("arrival").alias("arrival"))
     new = new.join(store.select(*same), same, "left_anti")
     # Distinct new schemas are few; stored once, the requests are read once.
-    enable_checkpoints(new.sparkSession)
-    new = new.checkpoint()
+    new = stored(new, "new-schemas")
     slices = F.floor(F.col("arrival") / _ARRIVALS_PER_SLICE)
     new = with_running(new, ["subject", "format"], [F.col("arrival"), F.col("canonical")], position="_n", slice_by=slices)
     new = with_running(new.withColumn("_all", F.lit(0)), ["_all"],

@@ -7,8 +7,8 @@ rows is then spread over as many tasks as it has slices.
 
 Slices come from `slice_by`, any column that never decreases along the order (an hour of the event
 time, an offset range, a struct of both), in which case nothing is materialised. Without it the rows
-are range-partitioned on (group, order) and checkpointed, which balances any distribution but costs
-one more write. The order must be total within a group; group columns must not be null.
+are range-partitioned on (group, order) and written to a table, which balances any distribution but
+costs that write. The order must be total within a group; group columns must not be null.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import enable_checkpoints
+from millrace.session import stored
 
 _SLICE = "_slice"
 
@@ -26,11 +26,10 @@ _SLICE = "_slice"
 def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slice_by: Column | None) -> DataFrame:
     if slice_by is not None:
         return df.withColumn(_SLICE, slice_by)
-    spark = df.sparkSession
-    enable_checkpoints(spark)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(tasks, *[F.col(g) for g in group], *order)
-    return ranged.withColumn(_SLICE, F.spark_partition_id()).checkpoint()
+    # Stored, since a second computation would sample other range bounds.
+    return stored(ranged.withColumn(_SLICE, F.spark_partition_id()), "ranged")
 
 
 def with_running(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -47,7 +47,9 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def enable_checkpoints(spark: SparkSession) -> None:
-    """Point `DataFrame.checkpoint` at the shared root."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write a frame to a table under the shared root and read it back: computed once, even if
+    executors are lost later, and read by column. Batch."""
+    path = working_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
