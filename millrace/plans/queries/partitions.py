@@ -65,15 +65,15 @@ def part_resize(spark, sf):
 
 
 @query("part_stream", """SELECT "partition", count(*) AS rows, min(task) AS task, max(task) AS last_task FROM (
-    SELECT CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS "partition",
-      CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS task FROM events) GROUP BY ALL""")
+    SELECT CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS BIGINT) AS "partition",
+      CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS BIGINT) AS task FROM events) GROUP BY ALL""")
 def part_stream(spark, sf):
     chosen = event_log(spark, sf).withColumn("partition", F.when(header(EVENT_TYPE) == "click", 0).otherwise(1))
     laid_out = lay_out(chosen, 2).withColumn("task", F.spark_partition_id().cast("bigint"))
     return laid_out.groupBy(_int("partition")).agg(F.count(F.lit(1)).alias("rows"), F.min("task").alias("task"), F.max("task").alias("last_task"))
 
 
-@query("part_multi_out", f"""WITH {LOG} SELECT "offset", CASE WHEN k < 30 THEN 0 ELSE 1 END AS branch,
+@query("part_multi_out", f"""WITH {LOG} SELECT "offset", CAST(CASE WHEN k < 30 THEN 0 ELSE 1 END AS BIGINT) AS branch,
   CASE WHEN k < 30 THEN CAST(key AS BIGINT) % 3 ELSE abs({_signed("event_type")}) % 7 END AS "partition" FROM log""")
 def part_multi_out(spark, sf):
     k = F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("int")
