@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.envelope import PARTITION_OVERRIDE, epoch_ms, header, put_headers
@@ -128,10 +128,11 @@ def dead_letter(
 
 
 def dead_letter_batches(df: DataFrame, *batch: str, error: str = "error") -> DataFrame:
-    """Rows of every batch in which at least one failed: in batch mode the whole batch is sent.
-    Batches are bounded by their size."""
-    worst = F.first(error, ignorenulls=True).over(Window.partitionBy(*batch))
-    return df.withColumn(error, worst).filter(F.col(error).isNotNull())
+    """Rows of every batch in which at least one failed: in batch mode the whole batch is sent, all
+    of it with the same error. The failed batches are joined back, so that a large batch is no
+    single task's work and none but failed rows are shuffled where those are few."""
+    failed = df.filter(F.col(error).isNotNull()).groupBy(*batch).agg(F.min(error).alias(error))
+    return df.drop(error).join(failed, list(batch))
 
 
 def reprocess(dlq: DataFrame, original: Column, parking_lot: str, limit: int = 3) -> DataFrame:

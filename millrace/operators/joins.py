@@ -69,7 +69,8 @@ def join_asof(
     key: str = "key",
     slice_by: Column | None = None,
 ) -> DataFrame:
-    """Give each stream row the table's values as of its own time (same time included). Batch.
+    """Give each stream row the table's values as of its own time (same time included); a row
+    without key or without earlier table row gets nulls. Batch.
 
     Both sides share `key`, `ts` and `tie_breaker`. They are put into one order in which table rows
     come before stream rows of the same time, and the newest table row is carried along it; this
@@ -80,7 +81,11 @@ def join_asof(
     left = stream.select(key, ts, tie_breaker, row.alias("_row"), F.lit(1).alias("_side"))
     right = table.select(key, ts, tie_breaker, carried.alias("_table"), F.lit(0).alias("_side"))
     both = left.unionByName(right, allowMissingColumns=True).filter(F.col(key).isNotNull())
+    table_types = {v: table.schema[v].dataType for v in values}
+    keyless = stream.filter(F.col(key).isNull()).select(
+        key, ts, tie_breaker, *own, *[F.lit(None).cast(t).alias(v) for v, t in table_types.items()])
     seen = with_running(both, [key], [F.col(ts), F.col("_side"), F.col(tie_breaker)],
                         latest={"_seen": F.col("_table")}, slice_by=slice_by)
     rows = seen.filter(F.col("_side") == 1)
-    return rows.select(key, ts, tie_breaker, *[F.col(f"_row.{c}") for c in own], *[F.col(f"_seen.{v}") for v in values])
+    joined = rows.select(key, ts, tie_breaker, *[F.col(f"_row.{c}") for c in own], *[F.col(f"_seen.{v}") for v in values])
+    return joined.unionByName(keyless)

@@ -6,30 +6,55 @@ comes from a small summary table with one row for each (group, slice). A group w
 rows is then spread over as many tasks as it has slices.
 
 Slices come from `slice_by`, any column that never decreases along the order (an hour of the event
-time, an offset range, a struct of both), in which case nothing is materialised. Without it the rows
-are range-partitioned on (group, order) and written to a table, which balances any distribution but
-costs that write. The order must be total within a group; group columns must not be null.
+time, an offset range). Nothing is materialised then, unless some slice turns out to hold more than
+`SLICE_ROWS` rows of a group: the rows of such slices, and only they, are range-partitioned on
+(group, order), which balances any distribution, and written to a table. Without `slice_by` this is
+done for all rows. The order must be total within a group; group columns must not be null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import stored
 
-_SLICE = "_slice"
+_SLICE, _PART = "_slice", "_part"
 
+# More rows of one group in one slice than a task should sort.
+SLICE_ROWS = 20_000_000
 
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slice_by: Column | None) -> DataFrame:
-    if slice_by is not None:
-        return df.withColumn(_SLICE, slice_by)
+
+def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Cut the rows into parts of about the same size along (group, order)."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(tasks, *[F.col(g) for g in group], *order)
     # Stored, since a second computation would sample other range bounds.
-    return stored(ranged.withColumn(_SLICE, F.spark_partition_id()), "ranged")
+    return stored(ranged.withColumn(_PART, F.spark_partition_id()), "ranged")
+
+
+def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slice_by: Column | None) -> DataFrame:
+    # A null group would lose what it takes over, so it is an error rather than a wrong result.
+    known = reduce(Column.__and__, [F.col(g).isNotNull() for g in group])
+    checked = F.when(known, F.lit(0) if slice_by is None else slice_by)
+    df = df.withColumn(_SLICE, checked.otherwise(F.raise_error(F.lit("a group column is null"))))
+    if slice_by is None:
+        return _ranged(df, group, order)
+
+    rows = df.withColumn(_PART, F.lit(0))
+    # Spark's size estimate: no slice of a smaller input can be too large.
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SLICE_ROWS:
+        return rows
+    keys = [*group, _SLICE]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most one row for each SLICE_ROWS rows of the input.
+    hot = stored(counts.filter(F.col("_n") > SLICE_ROWS).drop("_n"), "hot-slices")
+    if hot.isEmpty():
+        return rows
+    return rows.join(hot, keys, "left_anti").unionByName(_ranged(df.join(hot, keys, "left_semi"), group, order))
 
 
 def with_running(
@@ -54,17 +79,16 @@ def with_running(
     order_key = F.struct(*order)
     order = [o.desc() if descending else o.asc() for o in order]
     rows = _sliced(df, group, order, slice_by)
-    # Range slices are numbered along the order, so they always run upwards.
-    slices_down = descending and slice_by is not None
     inputs = {**{f"_s_{n}": c for n, c in sums.items()}, **{f"_m_{n}": c for n, c in maxima.items()},
               **{f"_l_{n}": c for n, c in latest.items()}, **{f"_p_{n}": c for n, c in previous.items()}}
     rows = rows.withColumns(inputs)
 
-    keys = [*group, _SLICE]
+    keys = [*group, _SLICE, _PART]
     inside = Window.partitionBy(*keys).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    slice_order = F.col(_SLICE).desc() if slices_down else F.col(_SLICE).asc()
-    before = Window.partitionBy(*group).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
+    # Parts are numbered along the order, so they always run upwards.
+    slice_order = [F.col(_SLICE).desc() if descending else F.col(_SLICE).asc(), F.col(_PART).asc()]
+    before = Window.partitionBy(*group).orderBy(*slice_order).rowsBetween(Window.unboundedPreceding, -1)
 
     # The last row of a slice is the one with the greatest (downwards, the least) order key.
     last_by = F.min_by if descending else F.max_by

@@ -14,6 +14,9 @@ EARLIEST, LATEST = "earliest", "latest"
 
 LOG = ["destination", "partition"]
 
+_GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+_OFFSETS_PER_SLICE = 1_000_000
+
 
 def read_log(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
     """A log stored as Parquet partitioned by `destination`."""
@@ -147,11 +150,14 @@ def poll(log: DataFrame, committed: DataFrame, group: str, max_records: int) ->
     """The next records of a group, at most `max_records` of each partition. Batch; on a stream, use
     `Trigger.AvailableNow` with `maxFilesPerTrigger`.
 
-    Spark applies the limit before the shuffle as well, so a hot partition sends on only that many
-    rows from each task."""
+    Up to a limit of 1000 Spark cuts each task's rows before the shuffle, so a hot partition sends on
+    only that many; above it the rows are numbered slice by slice."""
     rest = start_from(log, committed, group)
-    order = Window.partitionBy(*LOG).orderBy("offset")
-    return rest.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_records).drop("_n")
+    if max_records <= _GROUP_LIMIT:
+        order = Window.partitionBy(*LOG).orderBy("offset")
+        return rest.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_records).drop("_n")
+    numbered = with_running(rest, LOG, [F.col("offset")], position="_n", slice_by=F.floor(F.col("offset") / _OFFSETS_PER_SLICE))
+    return numbered.filter(F.col("_n") < max_records).drop("_n")
 
 
 def settle(polled: DataFrame, outcome: Column, group: str) -> DataFrame:

@@ -143,10 +143,10 @@ def test_interval_join(spark, within):
 
 def test_asof_join(spark):
     table = spark.createDataFrame([("a", 10, 1, "x"), ("a", 20, 2, "y"), ("a", 20, 3, "z"), ("b", 5, 4, None)], "key string, t long, id long, v string")
-    stream = spark.createDataFrame([("a", 9, 1), ("a", 10, 2), ("a", 25, 3), ("b", 6, 4), ("c", 1, 5)], "key string, t long, id long")
+    stream = spark.createDataFrame([("a", 9, 1), ("a", 10, 2), ("a", 25, 3), ("b", 6, 4), ("c", 1, 5), (None, 30, 6)], "key string, t long, id long")
     for slices in (F.col("t"), None):
         got = joins.join_asof(stream, table, ["v"], "id", ts="t", slice_by=slices)
-        assert {r["id"]: r["v"] for r in got.collect()} == {1: None, 2: "x", 3: "z", 4: None, 5: None}
+        assert {r["id"]: r["v"] for r in got.collect()} == {1: None, 2: "x", 3: "z", 4: None, 5: None, 6: None}
 
 
 @pytest.mark.parametrize("pattern, key, matches", [
@@ -232,6 +232,7 @@ def test_start_positions(spark):
     assert offsets(src.start_from(df, commits, "g", src.LATEST, reset=True)) == []
     polled = src.poll(df, commits, "g", 2)
     assert offsets(polled) == [2, 3]
+    assert offsets(src.poll(df, commits, "g", 2000)) == [2, 3, 4]
     settled = lambda outcome: src.settle(polled, outcome, "g").first()["committed"]
     assert settled(F.lit("accept")) == 4 and settled(F.lit("reject")) == 4
     assert settled(F.when(F.col("offset") == 3, "requeue").otherwise("accept")) == 3

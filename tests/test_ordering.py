@@ -5,12 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import ordering
 from millrace.operators import aggregates, batches, windows
 from millrace.ordering import with_running
 
 random.seed(7)
 ROWS = [("hot" if i % 4 else f"g{i % 7}", i // 3, i, random.choice([None, 1, 2, 5, 9])) for i in range(400)]
-SLICES = {"sliced": lambda: F.floor(F.col("t") / 10), "one slice": lambda: F.lit(0), "ranged": lambda: None}
+SLICES = {"hot slices": lambda: F.floor(F.col("t") / 40), "sliced": lambda: F.floor(F.col("t") / 10), "one slice": lambda: F.lit(0), "ranged": lambda: None}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,10 @@ def brute(descending):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("slices", list(SLICES))
-def test_running(df, slices, descending):
+def test_running(df, slices, descending, monkeypatch):
+    if slices == "hot slices":
+        # Slices of the hot group hold about 90 rows, those of the others fewer than 10.
+        monkeypatch.setattr(ordering, "SLICE_ROWS", 50)
     got = with_running(df, ["g"], [F.col("t"), F.col("id")], position="n", sums={"s": F.col("v")}, maxima={"m": F.col("v")},
                        latest={"l": F.col("v")}, previous={"p": F.col("v")}, slice_by=SLICES[slices](), descending=descending)
     assert {r["id"]: (r["n"], r["s"] or 0, r["m"], r["l"], r["p"]) for r in got.collect()} == brute(descending)
@@ -44,6 +48,20 @@ def test_running_keeps_columns_and_rows(df):
     assert got.columns == ["g", "t", "id", "v", "n"] and got.count() == len(ROWS)
 
 
+def test_no_task_gets_a_hot_group(df, monkeypatch):
+    monkeypatch.setattr(ordering, "SLICE_ROWS", 50)
+    for slice_by in (F.lit(0), F.floor(F.col("t") / 40), None):
+        rows = ordering._sliced(df, ["g"], [F.col("t"), F.col("id")], slice_by)
+        sizes = [r["count"] for r in rows.groupBy("g", "_slice", "_part").count().collect()]
+        assert sum(sizes) == len(ROWS) and max(sizes) < 100
+
+
+def test_null_group_is_an_error(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2)], "g string, t bigint")
+    with pytest.raises(Exception, match="a group column is null"):
+        with_running(df, ["g"], [F.col("t")], position="n", slice_by=F.col("t")).collect()
+
+
 @pytest.mark.parametrize("page_size", [1, 3, 1000])
 def test_collect_is_whole(df, page_size):
     pages = aggregates.collect(df, ["g"], "id", [F.col("t"), F.col("id")], "list", page_size, F.col("t")).collect()
