@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.envelope import ENVELOPE
+from millrace.envelope import ENVELOPE, present
 from millrace.ordering import with_running
 
 EARLIEST, LATEST = "earliest", "latest"
@@ -34,8 +34,13 @@ def read_broker(spark: SparkSession, servers: str, destinations: str = "", patte
     reader = (spark.readStream if stream else spark.read).format("kafka").options(**options)
     raw = (reader.option("kafka.bootstrap.servers", servers).options(**choice)
            .option("startingOffsets", starting).option("includeHeaders", "true").load())
+    return from_broker_rows(raw)
+
+
+def from_broker_rows(raw: DataFrame) -> DataFrame:
+    """Envelopes from the rows of Spark's Kafka source (topic, key, value, headers, ...)."""
     # A header may occur more than once in a record; the last one counts.
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    none = F.create_map().cast("map<string,string>")
     merged = F.aggregate("headers", none, lambda known, h: F.map_concat(
         F.map_filter(known, lambda k, _: k != h["key"]), F.create_map(h["key"], F.decode(h["value"], "UTF-8"))))
     return raw.select(
@@ -44,6 +49,13 @@ def read_broker(spark: SparkSession, servers: str, destinations: str = "", patte
         F.coalesce(merged, none).alias("headers"))
 
 
+def to_broker_rows(log: DataFrame) -> DataFrame:
+    """Rows for Spark's Kafka sink: topic, partition, key, value and headers as bytes."""
+    pairs = F.transform(F.map_entries(present()), lambda e: F.struct(e["key"].alias("key"), F.encode(e["value"], "UTF-8").alias("value")))
+    return log.select(F.col("destination").alias("topic"), "partition", F.encode("key", "UTF-8").alias("key"),
+                      F.encode(F.col("value").cast("string"), "UTF-8").alias("value"), pairs.alias("headers"))
+
+
 def names(destinations: str) -> list[str]:
     return [d.strip() for d in destinations.split(",") if d.strip()]
 

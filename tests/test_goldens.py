@@ -1,5 +1,6 @@
 """Small inputs with known results."""
 
+import datetime
 import json
 
 import pytest
@@ -389,6 +390,19 @@ def test_log_on_disk(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(destination" in plan or "destination#" in plan.split("PartitionFilters:")[1].split("]")[0]
 
 
+def test_broker_rows(spark):
+    schema = ("key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int, "
+              "headers array<struct<key:string,value:binary>>")
+    at = datetime.datetime(2024, 1, 1)
+    raw = spark.createDataFrame([(b"k", b"v", "t", 1, 5, at, 0, [("a", b"1"), ("b", b"2"), ("a", b"3")]), (None, None, "t", 0, 6, at, 0, None)], schema)
+    rows_ = src.from_broker_rows(raw).orderBy("offset").collect()
+    assert [(r["destination"], r["partition"], r["offset"], r["key"], r["value"], r["headers"]) for r in rows_] == [
+        ("t", 1, 5, "k", "v", {"a": "3", "b": "2"}), ("t", 0, 6, None, None, {})]
+    back = src.to_broker_rows(src.from_broker_rows(raw)).orderBy("partition").collect()
+    assert bytes(back[1]["key"]) == b"k" and {h["key"]: bytes(h["value"]) for h in back[1]["headers"]} == {"a": b"3", "b": b"2"}
+    assert back[0]["value"] is None and back[0]["headers"] == []
+
+
 def test_split_keeps_bytes_whole(spark):
     df = spark.createDataFrame([(b"ab",)], "results binary")
     assert bytes(outputs.split(df).first()["value"]) == b"ab"
