@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 from millrace.llm.common import batch_of, with_fields
 
 # Bounds of the training sample of one language: documents, code points of each, and bytes of the dictionary.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 160_000
+SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 64_000
 
 # A text is compressed in blocks of so many bytes, so that the dictionary and not the text itself explains a block.
-BLOCK_BYTES, LEVEL = 4096, 3
+BLOCK_BYTES = 4096
+
+# Settings of zstandard; texts up to SHORT_BYTES have few matches, which a more thorough search has to find.
+LEVEL, SHORT_BYTES = 5, 512
+SEARCH = {"min_match": 4, "hash_log": 17, "chain_log": 17, "search_log": 4}
+SHORT_SEARCH = {"min_match": 3, "hash_log": 17, "chain_log": 18, "search_log": 5, "strategy": 6, "target_length": 32}
 
 # Least advantage over the runner-up, as a share of its bytes.
-MIN_MARGIN = 0.01
+MIN_MARGIN = 0.002
 
 UNKNOWN = "und"
 
@@ -55,7 +60,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     texts: dict[str, list[str]] = {}
     for row in sorted(sample.select("lang", "n", "text").collect()):
         texts.setdefault(row["lang"], []).append(row["text"])
-    return {l: "\n".join(t).encode()[:DICTIONARY_BYTES] for l, t in texts.items()}
+    return {l: "\n".join(t).lower().encode()[:DICTIONARY_BYTES] for l, t in texts.items()}
 
 
 class Classifier:
@@ -64,20 +69,26 @@ class Classifier:
     def __init__(self, dictionaries: Mapping[str, bytes]):
         import zstandard
 
-        self.compressors = {}
-        for lang in sorted(dictionaries):
-            words = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            words.precompute_compress(level=LEVEL)
-            self.compressors[lang] = zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False)
+        def compressor(words: bytes, search: dict):
+            settings = zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, dict_size=DICTIONARY_BYTES, source_size=BLOCK_BYTES, write_content_size=False, write_checksum=False,
+                write_dict_id=False, **search)
+            known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(compression_params=settings)
+            return zstandard.ZstdCompressor(compression_params=settings, dict_data=known)
+
+        langs = sorted(l for l, words in dictionaries.items() if words)
+        self.short = {l: compressor(dictionaries[l], SHORT_SEARCH) for l in langs}
+        self.long = {l: compressor(dictionaries[l], SEARCH) for l in langs}
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """Language and margin; the first language by name wins a tie, with margin 0."""
-        if text is None or not self.compressors or not _LETTER.search(text):
+        if text is None or not self.long or not _LETTER.search(text):
             return UNKNOWN, 0.0
-        data = text.encode()
+        data = text.lower().encode()
+        compressors = self.short if len(data) <= SHORT_BYTES else self.long
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.compressors.items())
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in compressors.items())
         (best, lang), second = sizes[0], sizes[min(1, len(sizes) - 1)][0]
         return lang, (second - best) / second if len(sizes) > 1 else 1.0
 
