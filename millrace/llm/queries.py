@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, sharding, urls
+from millrace.llm import language, mixing, repetition, sharding, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,42 @@ m AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.whole + CASE WHEN key
 SELECT doc_id, size, source_size, target, CAST(repeats * size AS BIGINT) AS taken, CAST(repeats AS BIGINT) AS repeats FROM m"""
 
 
+def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def _covered(k: int, marked: str) -> str:
+    grams = " || ' ' || ".join(f"lead(word, {j}) OVER o" if j else "word" for j in range(k))
+    return f"""(SELECT r, count(*) AS n, CAST(sum(length(word)) AS BIGINT) AS chars FROM
+      (SELECT DISTINCT r, unnest(range(i, i + {k})) AS i FROM
+        (SELECT r, i, row_number() OVER (PARTITION BY r, gram ORDER BY i) AS occ, count(*) OVER (PARTITION BY r, gram) AS times FROM
+          (SELECT r, i, {grams} AS gram FROM w WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE gram IS NOT NULL)
+        WHERE {marked}) JOIN w USING (r, i) GROUP BY r)"""
+
+
+_GRAMS = sorted(repetition.MAX_GRAM_PERCENT)
+_GOOD = " AND ".join([f"dup_line_chars * 100 <= word_chars * {repetition.MAX_LINE_PERCENT}",
+                      *(f"dup_chars_{k} * 100 <= word_chars * {repetition.MAX_GRAM_PERCENT[k]}" for k in _GRAMS)])
+
+SQL["op2_repetition"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+w AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM
+    (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d)),
+c AS (SELECT r, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars FROM w GROUP BY r),
+l AS (SELECT r, count(*) AS n_dup_lines, CAST(sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS BIGINT) AS dup_line_chars FROM
+    (SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY i) AS occ FROM
+      (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) WHERE occ > 1 GROUP BY r),
+m AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(b.n, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars,
+    {", ".join(f"coalesce(g{k}.chars, 0) AS dup_chars_{k}" for k in _GRAMS)}
+    FROM d LEFT JOIN c USING (r) LEFT JOIN l USING (r) LEFT JOIN {_covered(repetition.BASE_WINDOW, "times > 1")} AS b USING (r)
+    {" ".join(f"LEFT JOIN {_covered(k, 'occ > 1')} AS g{k} USING (r)" for k in _GRAMS)})
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {_GOOD} AS kept FROM m"""
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
@@ -87,4 +123,4 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES.update({f.__name__: f for f in (op1_mix, op3_language, op9_urls, op10_shards)})
+QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op9_urls, op10_shards)})
