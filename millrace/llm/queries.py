@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, repetition, sharding, urls
+from millrace.llm import embeddings, language, mixing, repetition, sharding, simhash, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id", "kept")
+
+
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -123,4 +132,4 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op9_urls, op10_shards)})
+QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op6_embeddings, op9_urls, op10_shards)})
