@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, language, mixing, repetition, sharding, simhash, urls
+from millrace.llm import embeddings, language, mixing, packing, repetition, sharding, simhash, tokens, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,10 +101,24 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id", "kept")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_table(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -132,4 +146,4 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op6_embeddings, op9_urls, op10_shards)})
+QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op9_urls, op10_shards)})
