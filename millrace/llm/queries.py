@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, language, mixing, packing, repetition, sharding, simhash, tokens, urls
+from millrace.llm import embeddings, language, mixing, packing, repetition, sharding, simhash, substrings, tokens, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,22 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(substrings.joined_words(F.col("kept_text")), 256).alias("kept_sha256"))
+
+
+SQL["op8_substrings"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20),
+g AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS gram FROM s),
+l AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS n FROM g) WHERE n > 1),
+c AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS gone FROM l GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+    list_filter(words, lambda w, i: gone IS NULL OR NOT list_contains(gone, i)) AS kept FROM d LEFT JOIN c USING (doc_id))
+SELECT doc_id, n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -146,4 +162,4 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op9_urls, op10_shards)})
+QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op8_substrings, op9_urls, op10_shards)})
