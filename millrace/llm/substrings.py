@@ -34,7 +34,7 @@ WINDOW_WORDS = 20
 ROUNDS, SYMBOL_WORDS = 4, 8
 
 # Words that are renamed at once.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 400_000
 
 # Sorts documents without an id last.
 NO_ID = (1 << 63) - 1
@@ -147,7 +147,7 @@ def _chunks(texts: Sequence[bytes | None], window: int) -> Iterator[tuple[list[i
         yield rows, documents
 
 
-_KNOWN_WORDS = 1_000_000
+_KNOWN_WORDS = 500_000
 
 
 def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
@@ -191,7 +191,7 @@ def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
     return once.withColumn("again", again).where("again").select("content", "place")
 
 
-def _candidate_windows(joined: DataFrame, window: int) -> DataFrame:
+def _candidate_windows(joined: DataFrame, text: str, window: int) -> DataFrame:
     """One row for each window that no context of its own rules out: the hash of its words and where it begins."""
     fields = [("key", pa.int64()), ("tail", pa.int32()), ("_order", pa.int64()), ("_content", pa.int64()),
               ("begin", pa.int32()), ("later", pa.bool_())]
@@ -201,7 +201,7 @@ def _candidate_windows(joined: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             contents, orders = batch.column("_content").to_numpy(), batch.column("_order").to_numpy()
             places = batch.column("_places")
-            for rows, documents in _chunks(text_bytes(batch.column("text")), window):
+            for rows, documents in _chunks(text_bytes(batch.column(text)), window):
                 if len(known) > _KNOWN_WORDS:
                     known.clear()
                 passages = Passages(documents, known)
@@ -265,14 +265,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # As many places as one document has.
     again = again.groupBy(F.col("content").alias("_content")).agg(F.collect_list("place").alias("_places"))
     again = again.join(firsts, "_content").select(F.col("_first").alias("_order"), "_content", "_places")
-    found = _candidate_windows(
-        keyed.join(again, ["_order", "_content"]).select("_order", "_content", F.col(text).alias("text"), "_places"), window)
+    # With all columns, so that this join and the last one read the same exchange of the texts.
+    every = [*[F.col(f"`{c}`") for c in kept], "_order", "_content"]
+    found = _candidate_windows(keyed.join(again, ["_order", "_content"]).select(*every, "_places"), text, window)
     along = Window.partitionBy("key", "tail").orderBy("_order", "_content", "begin")
     later = found.withColumn("later", F.col("later") | (F.rank().over(along) > 1)).where("later")
     begins = later.groupBy("_order", "_content").agg(F.collect_set("begin").alias("_begins"))
     outcome = copies.select("_order", "_content", F.lit(None).cast("array<int>").alias("_begins"), F.lit(True).alias("_copy"))
     outcome = outcome.unionByName(begins.withColumn("_copy", F.lit(False)))
-    cut = keyed.join(outcome, ["_order", "_content"], "left").select(*kept, "_begins", "_copy")
+    cut = keyed.join(outcome, ["_order", "_content"], "left").select(*every, "_begins", "_copy")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,7 +296,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             more = [pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *more], names=[*kept, *added])
 
-    schema = with_fields(docs.select(*[F.col(f"`{c}`") for c in kept]).schema, "n_words bigint, n_removed bigint, kept_text string")
+    schema = with_fields(keyed.select(*every[:-2]).schema, "n_words bigint, n_removed bigint, kept_text string")
     return cut.mapInArrow(apply, schema)
 
 
