@@ -59,20 +59,34 @@ def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: boo
     payload, `text` the string of a text one, `bytes` any other supported one; `error` is null for
     good rows and tombstones. With `native` the framework stays out: `data` is cast from the value."""
     if native:
-        return df.withColumns({"data": F.col("value").cast(schema), "error": F.lit(None).cast("string")})
+        value = F.col("value")
+        if isinstance(schema, T.StructType) and not isinstance(df.schema["value"].dataType, T.StructType):
+            # A declared structure is read from its JSON text, whatever the content type says.
+            return _split_parsed(df.withColumn("_parsed", _once(decode_json(value.cast("string"), schema))), schema, F.lit(None).cast("string"))
+        return df.withColumns({"data": value.cast(schema), "error": F.lit(None).cast("string")})
     ct, value = content_type(default), F.col("value").cast("string")
-    parsed = F.when(is_json(ct), decode_json(value, schema))
     out = df.withColumns({
-        "_parsed": parsed,
+        "_parsed": _once(F.when(is_json(ct), decode_json(value, schema))),
         "text": F.when(is_text(ct), value),
         "bytes": F.when(is_bytes(ct), F.col("value").cast("binary")),
         "error": F.when(F.col("value").isNull(), None)
         .when(~(is_json(ct) | is_text(ct) | is_bytes(ct)), UNSUPPORTED),
     })
-    error = F.coalesce("error", F.when(F.col(f"_parsed.{CORRUPT}").isNotNull(), F.lit(MALFORMED)))
-    data = F.when(F.col("_parsed").isNotNull() & F.col(f"_parsed.{CORRUPT}").isNull(),
+    return _split_parsed(out, schema, F.col("error"))
+
+
+def _once(parsed: Column) -> Column:
+    """The same value, as an element of an array that a generator unpacks: Spark does not copy what it produces into
+    filters and later projections, so each payload is parsed once."""
+    return F.explode(F.array(parsed))
+
+
+def _split_parsed(df: DataFrame, schema: T.StructType, error: Column) -> DataFrame:
+    corrupt = F.col(f"_parsed.{CORRUPT}")
+    data = F.when(F.col("_parsed").isNotNull() & corrupt.isNull(),
                   F.struct(*[F.col(f"_parsed.{f.name}") for f in schema.fields]))
-    return out.withColumns({"error": error, "data": data}).drop("_parsed")
+    error = F.coalesce(error, F.when(corrupt.isNotNull(), F.lit(MALFORMED)))
+    return df.withColumns({"error": error, "data": data}).drop("_parsed")
 
 
 def encode_payload(data: Column, ct: Column, raw: Column | None = None) -> Column:
@@ -85,9 +99,14 @@ def encode_payload(data: Column, ct: Column, raw: Column | None = None) -> Colum
 
 def encode(df: DataFrame, data: Column, default: str = JSON, raw: Column | None = None) -> DataFrame:
     """Set `value` from `data` by the effective content type, and the header where it is missing.
-    Null data stays null, so tombstones go out in the same write."""
+    Null data stays null, so tombstones go out in the same write. `error` is set where there is data and no way to
+    encode it; such a row's null value is no tombstone and must not be sent as one."""
     ct = content_type(default)
+    unsupported = data.isNotNull() & ~(is_json(ct) | is_text(ct))
+    if raw is not None:
+        unsupported &= raw.isNull()
     return df.withColumns({
+        "error": F.when(unsupported, F.lit(UNSUPPORTED)),
         "value": encode_payload(data, ct, raw),
         "headers": put_headers({CONTENT_TYPE: F.coalesce(header(CONTENT_TYPE), F.lit(default))}),
     })

@@ -32,9 +32,13 @@ def _json_string(c: Column) -> Column:
 
 
 def embed_headers(body: Column, headers: Column, names: Sequence[str] = ()) -> Column:
-    """The payload with the standard headers and those named put in front of its body."""
+    """The payload with the standard headers and those named put in front of its body. The layout has one byte for
+    the number of headers and for the length of a name, so at most 255 of either."""
+    wanted = dict.fromkeys([*STANDARD, *names])
+    if len(wanted) > 255 or any(len(name.encode()) > 255 for name in wanted):
+        raise ValueError("embedded headers hold at most 255 headers, with names of at most 255 bytes")
     count, entries = F.lit(0), []
-    for name in dict.fromkeys([*STANDARD, *names]):
+    for name in wanted:
         value = F.try_element_at(headers, F.lit(name))
         json_value = F.encode(_json_string(value), "UTF-8")
         name_bytes = F.encode(F.lit(name), "UTF-8")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ordering import with_running
+from millrace.session import stored
 
 COLLECTIONS = ("list", "linked_list", "set", "priority_queue")
 
@@ -44,14 +45,18 @@ def fold(
     step: Callable[[Column, Column], Column],
     slice_by: Column | None = None,
     page_size: int = 4096,
-    levels: int = 3,
+    levels: int = 1,
 ) -> DataFrame:
-    """Reduce each group along `order` by an associative function that is no built-in. Batch.
+    """Reduce each group along `order` by an associative function that is no built-in. Batch; runs jobs.
 
-    Values are folded in pages, the pages' results in pages again, and so on: each task sees at most
-    `page_size` values at a time, for groups of up to page_size ** levels of them."""
+    Values are folded in pages, the pages' results in pages again, and so on, at least `levels` times and until one
+    page is left of the largest group: each task sees at most `page_size` (2 or more) values at a time. The result of
+    `step` should be bounded; what grows with the group grows in one row."""
     rows = with_running(df, group, order, position="_at", slice_by=slice_by)
-    rows = rows.select(*group, F.col("_at"), F.col(value).alias("_v"))
+    rows = stored(rows.select(*group, F.col("_at"), F.col(value).alias("_v")), "fold")
+    largest = rows.agg(F.coalesce(F.max("_at"), F.lit(0)).alias("n")).first()["n"] + 1
+    while page_size ** levels < largest:
+        levels += 1
     for level in range(levels):
         last = level == levels - 1
         keys = [*group] if last else [*group, "_page"]

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.envelope import PARTITION_OVERRIDE, epoch_ms, header, put_headers
 from millrace.functions.embedded import embed_headers, extract_headers
+from millrace.session import stored
 
 FAIL, LOG, SKIP, DLQ = "logAndFail", "logAndContinue", "skipAndContinue", "sendToDlq"
 
@@ -29,11 +30,13 @@ class Split:
     bad: DataFrame | None
 
 
-def apply_policy(df: DataFrame, binding: str | None = None, default: str = FAIL, error: str = "error") -> Split:
+def apply_policy(
+    df: DataFrame, binding: str | None = None, default: str = FAIL, error: str = "error", dropped: Observation | None = None
+) -> Split:
     """Split rows by their error column; the binding's policy beats the default one.
 
-    Tombstones carry no error, so they are always good. Rows that are logged or skipped are dropped;
-    `millrace.operators.rows.observe` counts them."""
+    Tombstones carry no error, so they are always good. Rows that are logged or skipped are dropped; an observation
+    given as `dropped` counts them as `dropped`, and for the log policy holds up to ten different errors as `errors`."""
     policy = binding or default
     ok = F.col(error).isNull()
     if policy == FAIL:
@@ -41,6 +44,11 @@ def apply_policy(df: DataFrame, binding: str | None = None, default: str = FAIL,
         return Split(df.filter(F.when(ok, True).otherwise(stop.cast("boolean"))).drop(error), None)
     if policy not in (LOG, SKIP, DLQ):
         raise ValueError(f"unknown policy: {policy}")
+    if policy != DLQ and dropped is not None:
+        counted = [F.count_if(~ok).alias("dropped")]
+        if policy == LOG:
+            counted.append(F.slice(F.array_sort(F.collect_set(error)), 1, 10).alias("errors"))
+        df = df.observe(dropped, *counted)
     return Split(df.filter(ok).drop(error), df.filter(~ok) if policy == DLQ else None)
 
 
@@ -129,9 +137,12 @@ def dead_letter(
 
 def dead_letter_batches(df: DataFrame, *batch: str, error: str = "error") -> DataFrame:
     """Rows of every batch in which at least one failed: in batch mode the whole batch is sent, all
-    of it with the same error. The failed batches are joined back, so that a large batch is no
-    single task's work and none but failed rows are shuffled where those are few."""
-    failed = df.filter(F.col(error).isNotNull()).groupBy(*batch).agg(F.min(error).alias(error))
+    of it with the same error. Batch; runs a job.
+
+    The failed batches, one row each, are stored and joined back: where they are few, Spark broadcasts them and none
+    but failed rows are shuffled; where they are many, adaptive execution can split a large batch, as it could not
+    with an aggregate right below the join."""
+    failed = stored(df.filter(F.col(error).isNotNull()).groupBy(*batch).agg(F.min(error).alias(error)), "failed-batches")
     return df.drop(error).join(failed, list(batch))
 
 
@@ -169,9 +180,9 @@ def republish(
     original_key: Column,
 ) -> DataFrame:
     """AMQP form of dead-lettering; an error that asks for immediate acknowledgement is not
-    republished. The message goes to `exchange` with `routing_key` (by default the queue's name)."""
+    republished, one that says nothing about it is. The message goes to `exchange` with `routing_key` (by default the queue's name)."""
     retries = F.coalesce(header(X_RETRY_COUNT).cast("bigint"), F.lit(0)) + 1
-    return bad.filter(~immediate_ack).withColumns({
+    return bad.filter(~F.coalesce(immediate_ack, F.lit(False))).withColumns({
         "destination": F.lit(exchange),
         "key": routing_key,
         "headers": put_headers({

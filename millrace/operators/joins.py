@@ -2,7 +2,9 @@
 
 None of them hints a broadcast: Spark broadcasts a side when its estimated or measured size is
 below `spark.sql.autoBroadcastJoinThreshold` and shuffles both otherwise. In batch, adaptive
-execution splits the partitions of hot keys; a stream has no such step, hence `salt`."""
+execution splits the partitions of hot keys if nothing but a sort stands between exchange and join;
+an aggregate there (`latest`) prevents it, so tables are stored first. A stream has no such step,
+hence `salt`."""
 
 from __future__ import annotations
 
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ordering import with_running
+from millrace.session import stored
 
 
 def join_table(
@@ -22,9 +25,11 @@ def join_table(
     salt: int = 1,
 ) -> DataFrame:
     """Join a stream with a table's present values on `key`; `defaults` stand in for what a key
-    without a table row lacks.
+    without a table row lacks. A batch table is stored first, by a job.
 
     With `salt` > 1 each key is spread over that many tasks, and the table repeated as often."""
+    if not table.isStreaming:
+        table = stored(table, "table")
     if how not in ("left", "inner"):
         raise ValueError("a stream joins a table by left or inner join")
     on = ["key"]

@@ -22,8 +22,8 @@ class Kept:
 
 
 def expire(df: DataFrame, ttl_ms: int, as_of: Column, ts: str = "timestamp") -> Kept:
-    """Messages older than the time to live leave the queue."""
-    old = F.unix_millis(as_of) - F.unix_millis(ts) > ttl_ms
+    """Messages older than the time to live leave the queue; one without a time stays."""
+    old = F.coalesce(F.unix_millis(as_of) - F.unix_millis(ts) > ttl_ms, F.lit(False))
     return Kept(df.filter(~old), df.filter(old))
 
 
@@ -38,10 +38,10 @@ def limit_length(
     slice_by: Column | None = None,
 ) -> Kept:
     """Keep at most that many messages or bytes per queue. Overflow drops the oldest messages, or
-    rejects the newest. Batch."""
+    rejects the newest. Without `size`, a message counts the bytes of its value (none: 0). Batch; runs jobs."""
     if overflow not in (DROP_HEAD, REJECT_PUBLISH):
         raise ValueError(f"unknown overflow behaviour: {overflow}")
-    weight = F.length("value") if size is None else size
+    weight = F.coalesce(F.octet_length("value") if size is None else size, F.lit(0))
     numbered = with_running(
         df, [queue], order, position="_at",
         sums={"_bytes": weight.cast("bigint")} if max_bytes is not None else None,
@@ -76,6 +76,6 @@ def by_priority(
 
 
 def limit_deliveries(df: DataFrame, deliveries: Column, limit: int) -> Kept:
-    """Messages delivered more often than the limit leave the queue."""
-    over = deliveries > limit
+    """Messages delivered more often than the limit leave the queue; an unknown count is no reason to."""
+    over = F.coalesce(deliveries > limit, F.lit(False))
     return Kept(df.filter(~over), df.filter(over))

@@ -127,7 +127,7 @@ def reference(ct: Column, prefix: str = "vnd") -> Column:
     pattern = f"application/{prefix}\\.([A-Za-z0-9$.]+)\\.v([0-9]+)\\+avro"
     subject = F.regexp_extract(ct, pattern, 1)
     version = F.regexp_extract(ct, pattern, 2)
-    return F.when(subject != "", F.struct(subject.alias("subject"), F.try_to_number(version, F.lit("999999999")).cast("bigint").alias("version")))
+    return F.when(subject != "", F.struct(subject.alias("subject"), version.try_cast("bigint").alias("version")))
 
 
 def resolve(df: DataFrame, store: DataFrame, reader: T.StructType, defaults: dict[str, object]) -> DataFrame:

@@ -15,8 +15,9 @@ OUTCOME = "result string, error string, message string, attempts int"
 
 @dataclass(frozen=True)
 class Retry:
-    """Retry settings of an input binding. rules: exception class to retry (True) or not (False),
-    subclasses included; a class no rule covers is retried unless `unlisted` says otherwise."""
+    """Retry settings of an input binding. rules: exception classes to retry (True) and not to (False), subclasses
+    included. An exclude wins over an include. If any class is included, nothing else is retried; else a class no rule
+    covers is retried unless `unlisted` says otherwise."""
 
     max_attempts: int = 3
     initial_ms: int = 1000
@@ -26,11 +27,10 @@ class Retry:
     unlisted: bool = True
 
     def retryable(self, error: Exception) -> bool:
-        # The nearest listed ancestor decides.
-        for cls in type(error).__mro__:
-            if cls in self.rules:
-                return self.rules[cls]
-        return self.unlisted
+        covering = {self.rules[cls] for cls in type(error).__mro__ if cls in self.rules}
+        if covering:
+            return False not in covering
+        return self.unlisted and True not in self.rules.values()
 
     def delay_ms(self, attempt: int) -> int:
         """Wait after the given failed attempt, counted from 1."""
@@ -91,13 +91,14 @@ def recover_expr(df: DataFrame, attempt: Column, error: str) -> DataFrame:
 
 
 def classify(error: Column, rules: Mapping[str, bool], ancestors: Mapping[str, str], unlisted: bool = True) -> Column:
-    """Whether an error class, given by name, is tried again. `ancestors` names the parent of each
-    class; the nearest listed ancestor decides. Settings become a `when` chain, not a join."""
-    decision = None
+    """Whether an error class, given by name, is tried again, as `Retry` decides. `ancestors` names the parent of each
+    class. Settings become a `when` chain, not a join."""
+    decision, others = None, unlisted and True not in rules.values()
     for name in dict.fromkeys([*rules, *ancestors]):
-        at: str | None = name
-        while at is not None and at not in rules:
+        covering, at = set(), name
+        while at is not None:
+            covering |= {rules[at]} if at in rules else set()
             at = ancestors.get(at)
-        if at is not None:
-            decision = (F if decision is None else decision).when(error == name, rules[at])
-    return F.lit(unlisted) if decision is None else decision.otherwise(unlisted)
+        if covering:
+            decision = (F if decision is None else decision).when(error == name, False not in covering)
+    return F.lit(others) if decision is None else decision.otherwise(others)

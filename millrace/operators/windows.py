@@ -81,9 +81,9 @@ def flag_late(
     ts: str = "timestamp",
 ) -> DataFrame:
     """Flag rows older than their source's stream time, the greatest event time that has arrived so
-    far. Batch; on a stream the watermark drops them."""
+    far. A row without a time is not late. Batch; on a stream the watermark drops them."""
     seen = with_running(log, list(source), arrival, maxima={"_stream_time": F.col(ts)}, slice_by=slice_by)
-    late = F.col(ts) < F.col("_stream_time") - F.expr(f"INTERVAL {grace}")
+    late = F.coalesce(F.col(ts) < F.col("_stream_time") - F.expr(f"INTERVAL {grace}"), F.lit(False))
     return seen.withColumn("late", late).drop("_stream_time")
 
 

@@ -6,10 +6,11 @@ comes from a small summary table with one row for each (group, slice). A group w
 rows is then spread over as many tasks as it has slices.
 
 Slices come from `slice_by`, any column that never decreases along the order (an hour of the event
-time, an offset range). Nothing is materialised then, unless some slice turns out to hold more than
-`SLICE_ROWS` rows of a group: the rows of such slices, and only they, are range-partitioned on
-(group, order), which balances any distribution, and written to a table. Without `slice_by` this is
-done for all rows. The order must be total within a group; group columns must not be null.
+time, an offset range). The rows of each (group, slice) are counted first, by a narrow aggregate that
+runs while the frame is built. Slices with more than `slice_rows` rows of a group, and only they, are
+range-partitioned on (group, order), which balances any distribution, and written to a table.
+Without `slice_by` this is done for all rows. The order must be total within a group; group columns
+must not be null.
 """
 
 from __future__ import annotations
@@ -24,37 +25,40 @@ from millrace.session import stored
 
 _SLICE, _PART = "_slice", "_part"
 
-# More rows of one group in one slice than a task should sort.
+# More rows of one group in one slice than a task should sort, unless the caller says otherwise.
 SLICE_ROWS = 20_000_000
 
 
-def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Cut the rows into parts of about the same size along (group, order)."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column], rows: int, slice_rows: int) -> DataFrame:
+    """Cut the rows into parts of about the same size along (group, order), of half the limit at most, about."""
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // slice_rows))
     ranged = df.repartitionByRange(tasks, *[F.col(g) for g in group], *order)
     # Stored, since a second computation would sample other range bounds.
     return stored(ranged.withColumn(_PART, F.spark_partition_id()), "ranged")
 
 
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slice_by: Column | None) -> DataFrame:
+def _sliced(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], slice_by: Column | None, slice_rows: int | None = None
+) -> DataFrame:
+    slice_rows = slice_rows or SLICE_ROWS
     # A null group would lose what it takes over, so it is an error rather than a wrong result.
     known = reduce(Column.__and__, [F.col(g).isNotNull() for g in group])
     checked = F.when(known, F.lit(0) if slice_by is None else slice_by)
     df = df.withColumn(_SLICE, checked.otherwise(F.raise_error(F.lit("a group column is null"))))
     if slice_by is None:
-        return _ranged(df, group, order)
+        return _ranged(df, group, order, df.count(), slice_rows)
 
     rows = df.withColumn(_PART, F.lit(0))
-    # Spark's size estimate: no slice of a smaller input can be too large.
-    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SLICE_ROWS:
-        return rows
     keys = [*group, _SLICE]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # At most one row for each SLICE_ROWS rows of the input.
-    hot = stored(counts.filter(F.col("_n") > SLICE_ROWS).drop("_n"), "hot-slices")
-    if hot.isEmpty():
+    # At most one row for each `slice_rows` rows of the input.
+    hot = stored(counts.filter(F.col("_n") > slice_rows), "hot-slices")
+    many = hot.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    if not many:
         return rows
-    return rows.join(hot, keys, "left_anti").unionByName(_ranged(df.join(hot, keys, "left_semi"), group, order))
+    hot = hot.drop("_n")
+    return rows.join(hot, keys, "left_anti").unionByName(
+        _ranged(df.join(hot, keys, "left_semi"), group, order, many, slice_rows))
 
 
 def with_running(
@@ -69,16 +73,19 @@ def with_running(
     previous: Mapping[str, Column] | None = None,
     slice_by: Column | None = None,
     descending: bool = False,
+    slice_rows: int | None = None,
 ) -> DataFrame:
-    """Add running columns along `order` within `group`. Batch.
+    """Add running columns along `order` within `group`. Batch; runs jobs to count the slices and, where a slice is
+    too large or there are none, to write the rows to a table.
 
     position: name of the 0-based dense position. sums, maxima: running sum and maximum up to and
     with the row. latest: last non-null value up to and with the row. previous: value of the row
-    before (null for the first). With `descending`, order and slices run downwards."""
+    before (null for the first). With `descending`, order and slices run downwards. slice_rows: most rows
+    of one group that a task sorts (by default `SLICE_ROWS`)."""
     sums, maxima, latest, previous = sums or {}, maxima or {}, latest or {}, previous or {}
     order_key = F.struct(*order)
     order = [o.desc() if descending else o.asc() for o in order]
-    rows = _sliced(df, group, order, slice_by)
+    rows = _sliced(df, group, order, slice_by, slice_rows)
     inputs = {**{f"_s_{n}": c for n, c in sums.items()}, **{f"_m_{n}": c for n, c in maxima.items()},
               **{f"_l_{n}": c for n, c in latest.items()}, **{f"_p_{n}": c for n, c in previous.items()}}
     rows = rows.withColumns(inputs)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.envelope import CONTENT_TYPE, EVENT_TYPE, JSON, to_envelope
 from millrace.operators.partitioning import Partitioning, partition_of
+from millrace.session import working_path
+from millrace.sinks.outputs import append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +63,16 @@ def event_log(spark: SparkSession, sf_dir: str, value: Column | None = None, **h
     )
 
 
+def stored_events(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a log that events have been appended to in two goes, the later ones second."""
+    path = working_path(spark, "log")
+    log = event_log(spark, sf_dir)
+    early = F.coalesce(F.col("timestamp") < "2024-01-15", F.lit(True))
+    for part in (log.filter(early), log.filter(~early)):
+        append(part, path, F.col("offset"), hour())
+    return path
+
+
 def noisy_payload() -> Column:
     """Payloads of which small sign-ups are tombstones and errors are cut in half."""
     whole = payload()
@@ -105,4 +117,7 @@ def log_cte(value: str = PAYLOAD_SQL) -> str:
 
 
 LOG = log_cte()
+
+# Events with the offsets they get when they are appended.
+NUMBERED = """(SELECT * EXCLUDE ("offset"), row_number() OVER (PARTITION BY destination, "partition" ORDER BY ts, "offset") - 1 AS "offset" FROM log)"""
 NOISY = log_cte(NOISY_SQL)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.envelope import EVENT_TYPE, epoch_ms, header, to_envelope
-from millrace.plans.base import LOG, event_log, hour, query, table
+from millrace.plans.base import LOG, NUMBERED, event_log, hour, query, stored_events, table
 from millrace.sources import log as src
 
 _ROW = ["destination", "partition", "offset"]
@@ -33,15 +33,17 @@ def src_offsets(spark, sf):
 
 
 @query("src_multi", f"""WITH {LOG} SELECT destination, "partition", "offset", value FROM log
-  WHERE destination IN ('events.click', 'events.view')""")
+  WHERE destination IN ('events.click', 'events.view')""".replace("FROM log", f"FROM {NUMBERED}"))
 def src_multi(spark, sf):
-    return src.from_destinations(event_log(spark, sf), "events.click, events.view").select(*_ROW, "value")
+    log = src.read_log(spark, stored_events(spark, sf))
+    return src.from_destinations(log, "events.click, events.view").select(*_ROW, "value")
 
 
 @query("src_pattern", f"""WITH {LOG} SELECT destination, "partition", "offset", value FROM log
-  WHERE regexp_full_match(destination, 'events\\.(click|s.*)')""")
+  WHERE regexp_full_match(destination, 'events\\.(click|s.*)')""".replace("FROM log", f"FROM {NUMBERED}"))
 def src_pattern(spark, sf):
-    return src.from_pattern(event_log(spark, sf), r"events\.(click|s.*)").select(*_ROW, "value")
+    log = src.read_log(spark, stored_events(spark, sf))
+    return src.from_pattern(log, r"events\.(click|s.*)").select(*_ROW, "value")
 
 
 @query("src_start", f"""WITH {LOG}, {_COMMITTED} SELECT destination, "partition", "offset" FROM log
@@ -100,9 +102,8 @@ def src_poll(spark, sf):
     k = F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("int")
     log = event_log(spark, sf)
     polled = src.poll(log, committed(log), "audit", 10)
-    settled = src.settle(polled, F.when(k < 5, "requeue").otherwise("accept"), "audit")
-    return (polled.groupBy(*src.LOG).agg(F.count(F.lit(1)).alias("polled"))
-            .join(settled.drop("group"), src.LOG).select(*src.LOG, "committed", "polled"))
+    settled = src.settle(polled, F.when(k < 5, "requeue").otherwise("accept"), "audit", counted=True)
+    return settled.select(*src.LOG, "committed", "polled")
 
 
 @query("src_ts", """SELECT o_orderkey AS "offset", epoch_ms(o_orderdate) AS timestamp_ms FROM orders""")

@@ -10,19 +10,22 @@ from millrace.operators.routing import QueueBinding, queues
 from millrace.plans.base import LOG, NOISY, event_log, hour, money, noisy_log, query, shown, table
 from millrace.session import working_path
 from millrace.sinks import outputs as out
-from millrace.sources.log import assign_offsets
+from millrace.sources.log import assign_offsets, read_log
 from millrace.streaming import runner
 
 _ROW = ["destination", "partition", "offset"]
 
 
-@query("sink_append", f"""WITH {NOISY} SELECT "offset", CAST(length(value) AS BIGINT) AS size,
+@query("sink_append", f"""WITH {NOISY} SELECT 'replies' AS destination, "partition",
+  row_number() OVER (PARTITION BY "partition" ORDER BY ts, "offset") - 1 AS "offset", CAST(length(value) AS BIGINT) AS size,
   'contentType=text/plain;event_type=' || event_type || ';source=app' AS headers FROM log WHERE value IS NOT NULL""")
 def sink_append(spark, sf):
     log = noisy_log(spark, sf, source="app").withColumnRenamed("headers", "request")
     replies = log.withColumns({"value": F.length("value").cast("bigint"), "headers": header_map({CONTENT_TYPE: "text/plain"})})
-    sent = out.results(replies, F.col("request"))
-    return sent.select("offset", F.col("value").alias("size"), shown().alias("headers"))
+    sent = out.results(replies, F.col("request")).withColumn("destination", F.lit("replies"))
+    path = working_path(spark, "log")
+    out.append(sent, path, F.col("offset"), hour())
+    return read_log(spark, path).select(*_ROW, F.col("value").cast("bigint").alias("size"), shown().alias("headers"))
 
 
 @query("sink_split", """SELECT conv_id, turn, CAST(i - 1 AS BIGINT) AS index, parts[i] AS value FROM (
@@ -56,13 +59,19 @@ def sink_topic_header(spark, sf):
 
 
 @query("sink_bridge", """SELECT 'shop' AS destination, CAST(o_custkey % 6 AS BIGINT) AS "partition",
+  row_number() OVER (PARTITION BY o_custkey % 6 ORDER BY o_orderkey % 2, o_orderkey) - 1 AS "offset",
   '{"o_orderkey":' || o_orderkey || ',"total":' || CAST(o_totalprice AS DECIMAL(18,2)) || '}' AS value,
   'contentType=application/json;scst_partition=' || (o_custkey % 6) AS headers FROM orders""")
 def sink_bridge(spark, sf):
     rows = table(spark, sf, "orders").withColumn("headers", header_map({}))
     data = F.struct("o_orderkey", money("o_totalprice").alias("total"))
-    sent = out.prepare(rows, "shop", data, partitioning=Partitioning(F.col("o_custkey"), 6, "bigint"))
-    return sent.select("destination", F.col("partition").cast("bigint").alias("partition"), "value", shown().alias("headers"))
+    path = working_path(spark, "log")
+    # Sent twice; the second time goes on where the first one ended.
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1"):
+        placed = rows.filter(part).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+        out.send(placed, path, "shop", data, F.col("o_orderkey"), partitioning=Partitioning(F.col("o_custkey"), 6, "bigint"))
+    sent = read_log(spark, path)
+    return sent.select("destination", F.col("partition").cast("bigint").alias("partition"), "offset", "value", shown().alias("headers"))
 
 
 @query("sink_multi_txn", """SELECT 'ids' AS destination, event_id FROM events

@@ -9,6 +9,7 @@ from millrace.functions import content, embedded
 from millrace.operators import errors, queues, retry
 from millrace.plans.base import LOG, NOISY, event_log, hour, noisy_log, query, shown, table
 from millrace.plans.queries.conversion import EVENT
+from millrace.session import stored
 from millrace.sinks import outputs
 
 
@@ -26,13 +27,15 @@ def _split(spark, sf, policy):
     UNION ALL SELECT 'sendToDlq good', event_type FROM log WHERE event_type <> 'error'
     UNION ALL SELECT 'sendToDlq bad', event_type FROM log WHERE event_type = 'error') GROUP BY ALL""")
 def err_policy(spark, sf):
+    # Decoded once; each policy splits the same stored rows.
+    decoded = stored(content.decode(noisy_log(spark, sf), EVENT).select("value", header(EVENT_TYPE).alias("event_type"), "error"), "decoded")
     parts = []
     for policy in (errors.LOG, errors.SKIP, errors.DLQ):
-        split = _split(spark, sf, policy)
-        parts.append(split.good.select(F.lit(f"{policy} good").alias("policy"), header(EVENT_TYPE).alias("event_type")))
-    parts.append(split.bad.select(F.lit(f"{policy} bad").alias("policy"), header(EVENT_TYPE).alias("event_type")))
-    counts = [p.groupBy("policy", "event_type").agg(F.count(F.lit(1)).alias("rows")) for p in parts]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+        split = errors.apply_policy(decoded, policy)
+        parts.append(split.good.select(F.lit(f"{policy} good").alias("policy"), "event_type"))
+    parts.append(split.bad.select(F.lit(f"{policy} bad").alias("policy"), "event_type"))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.groupBy("policy", "event_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _dead_letters(spark, sf, mode="headers"):
@@ -59,10 +62,15 @@ def dlq_mode(spark, sf):
     def rows(df, mode, value, headers):
         return df.select(F.lit(mode).alias("mode"), "partition", "key", value.alias("value"), shown(headers).alias("headers"))
 
-    native = rows(_dead_letters(spark, sf, "headers"), "headers", F.col("value"), "headers")
-    inside = _dead_letters(spark, sf, "embeddedHeaders").withColumn("_x", embedded.extract_headers(F.col("value")))
+    bad = stored(_split(spark, sf, errors.DLQ).bad.drop("data"), "bad")
+
+    def letters(mode):
+        return errors.dead_letter(bad, errors.dlq_name("audit"), mode=mode, message=F.lit("cannot read"), stacktrace=F.lit("at decode"))
+
+    native = rows(letters("headers"), "headers", F.col("value"), "headers")
+    inside = letters("embeddedHeaders").withColumn("_x", embedded.extract_headers(F.col("value")))
     carried = rows(inside, "embeddedHeaders", F.decode("_x.body", "UTF-8"), "_x.headers")
-    return native.unionByName(carried).unionByName(rows(_dead_letters(spark, sf, "none"), "none", F.col("value"), "headers"))
+    return native.unionByName(carried).unionByName(rows(letters("none"), "none", F.col("value"), "headers"))
 
 
 @query("dlq_name", f"""WITH {LOG} SELECT "offset", CASE event_type WHEN 'click' THEN 'clicks.broken' ELSE 'error.' || destination || '.audit' END AS resolved,
@@ -135,12 +143,15 @@ def retry_attempts(spark, sf):
     return tried.select("offset", "attempts", "error", "result", waits.cast("int").alias("waited_ms"))
 
 
-@query("retry_classify", f"""WITH {LOG} SELECT "offset", event_type NOT IN ('error', 'signup', 'view') AS retried FROM log""")
+@query("retry_classify", f"""WITH {LOG} SELECT "offset", event_type NOT IN ('error', 'signup', 'view') AS excludes,
+  event_type IN ('error', 'signup', 'click') AS includes, event_type IN ('signup', 'view') AS "both" FROM log""")
 def retry_classify(spark, sf):
-    # error and signup descend from a class that is not retried, view is listed itself.
-    rules = {"Fatal": False, "view": False, "purchase": True}
-    ancestors = {"error": "Corrupt", "Corrupt": "Fatal", "signup": "Fatal", "purchase": "Fatal"}
-    return event_log(spark, sf).select("offset", retry.classify(header(EVENT_TYPE), rules, ancestors).alias("retried"))
+    # error and signup descend from a listed class, view and click are listed themselves.
+    ancestors = {"error": "Corrupt", "Corrupt": "Fatal", "signup": "Fatal"}
+    rules = {"excludes": {"Fatal": False, "view": False}, "includes": {"Fatal": True, "click": True},
+             "both": {"Fatal": True, "Corrupt": False, "view": True}}
+    decided = [retry.classify(header(EVENT_TYPE), r, ancestors).alias(name) for name, r in rules.items()]
+    return event_log(spark, sf).select("offset", *decided)
 
 
 def _letters(spark, sf):
@@ -202,17 +213,19 @@ def queue_ttl(spark, sf):
 
 @query("queue_max_length", f"""WITH {LOG}, ranked AS (SELECT *,
     row_number() OVER (PARTITION BY destination ORDER BY "offset" DESC) AS newest, row_number() OVER (PARTITION BY destination ORDER BY "offset") AS oldest,
-    sum(length(value)) OVER (PARTITION BY destination ORDER BY "offset" DESC ROWS UNBOUNDED PRECEDING) AS bytes FROM log)
+    sum(strlen(value)) OVER (PARTITION BY destination ORDER BY "offset" DESC ROWS UNBOUNDED PRECEDING) AS bytes FROM log)
   SELECT 'drop-head' AS rule, destination, "offset" FROM ranked WHERE newest <= 300
   UNION ALL SELECT 'reject-publish', destination, "offset" FROM ranked WHERE oldest <= 300
   UNION ALL SELECT 'bytes', destination, "offset" FROM ranked WHERE bytes <= 20000""")
 def queue_max_length(spark, sf):
     log, order = event_log(spark, sf), [F.col("offset")]
+    # What the rules look at, read from the log once.
+    log = stored(log.select("destination", "offset", F.octet_length("value").cast("bigint").alias("size")), "sizes")
     slices = F.floor(F.col("offset") / 1000)
     by_rule = {
         "drop-head": queues.limit_length(log, "destination", order, 300, slice_by=slices),
         "reject-publish": queues.limit_length(log, "destination", order, 300, overflow=queues.REJECT_PUBLISH, slice_by=slices),
-        "bytes": queues.limit_length(log, "destination", order, max_bytes=20_000, slice_by=slices),
+        "bytes": queues.limit_length(log, "destination", order, max_bytes=20_000, size=F.col("size"), slice_by=slices),
     }
     kept = [o.kept.select(F.lit(rule).alias("rule"), "destination", "offset") for rule, o in by_rule.items()]
     return kept[0].unionByName(kept[1]).unionByName(kept[2])

@@ -47,6 +47,12 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a frame to a table under the shared root and read it back: computed once, even if
     executors are lost later, and read by column. Batch."""

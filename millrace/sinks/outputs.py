@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.envelope import CONTENT_TYPE, JSON, SEND_TO, drop_headers, header, present, put_headers, put_headers_if_absent
+from millrace.envelope import (
+    CONTENT_TYPE, ENVELOPE, JSON, SEND_TO, drop_headers, header, present, put_headers, put_headers_if_absent)
 from millrace.functions.content import encode
 from millrace.operators.partitioning import Partitioning, assign_partition
+from millrace.session import path_exists
+from millrace.sources.log import assign_offsets, positions, read_log
 
 DELAY = "x-delay"
 
@@ -41,18 +44,35 @@ def prepare(
     content_type: str = JSON,
     partitioning: Partitioning | None = None,
 ) -> DataFrame:
-    """Rows sent to a destination from outside any function: encode, choose the partition, address."""
+    """Rows sent to a destination from outside any function: encode, choose the partition, address. `error` says why
+    a row could not be encoded."""
     out = encode(df, data, content_type).withColumn("destination", F.lit(destination))
     return assign_partition(out, partitioning) if partitioning else out.withColumn("partition", F.lit(0))
 
 
-def append(df: DataFrame, path: str) -> None:
-    """Append to a log stored by destination; a destination not seen before is created. Batch."""
-    df.withColumn("headers", present()).write.mode("append").partitionBy("destination").parquet(path)
+def append(df: DataFrame, path: str, tie_breaker: Column | None = None, slice_by: Column | None = None) -> None:
+    """Append to a log stored by destination; a destination not seen before is created. Batch.
 
+    Records get the next offsets of their partition, after those that are stored, by (timestamp, tie breaker); without
+    a tie breaker, records of one time follow in any order. A record without timestamp is given that of the call.
+    Appends to one log must not run at the same time."""
+    spark = df.sparkSession
+    missing = {c: F.lit(None).cast(ENVELOPE[c].dataType) for c in ENVELOPE.names if c not in df.columns}
+    rows = df.withColumns(missing).withColumns({
+        "headers": present(), "timestamp": F.coalesce("timestamp", F.current_timestamp())})
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE.fields], (
+        F.monotonically_increasing_id() if tie_breaker is None else tie_breaker).alias("_tie"))
+    base = positions(read_log(spark, path)) if path_exists(spark, path) else None
+    numbered = assign_offsets(rows, F.col("_tie"), slice_by, base).drop("_tie")
+    numbered.write.mode("append").partitionBy("destination").parquet(path)
 
-def send(df: DataFrame, path: str, destination: str, data: Column, **options) -> None:
-    append(prepare(df, destination, data, **options), path)
+
+def send(df: DataFrame, path: str, destination: str, data: Column, tie_breaker: Column | None = None, **options) -> None:
+    """Encode, partition and append rows from outside any function. Rows that cannot be encoded are not sent; `prepare`
+    returns them with their error."""
+    rows = df if tie_breaker is None else df.withColumn("_tie", tie_breaker)
+    sent = prepare(rows, destination, data, **options).filter(F.col("error").isNull())
+    append(sent, path, None if tie_breaker is None else F.col("_tie"))
 
 
 def with_key(df: DataFrame, key: Column) -> DataFrame:
@@ -70,7 +90,7 @@ def receipts(sent: DataFrame, destination: str = "receipts") -> DataFrame:
 
 def confirmations(df: DataFrame, queues: Column) -> tuple[DataFrame, DataFrame]:
     """(acknowledged, returned): messages some queue takes, and those that cannot be routed."""
-    routable = F.size(queues) > 0
+    routable = F.coalesce(F.size(queues) > 0, F.lit(False))
     return df.filter(routable), df.filter(~routable)
 
 

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.envelope import ENVELOPE, present
 from millrace.ordering import with_running
+from millrace.session import path_exists, stored
 
 EARLIEST, LATEST = "earliest", "latest"
 
 LOG = ["destination", "partition"]
 
-_GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
-_OFFSETS_PER_SLICE = 1_000_000
+OFFSETS_PER_SLICE = 1_000_000
 
 
 def read_log(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
@@ -91,13 +91,20 @@ def with_event_time(log: DataFrame, field: Column | None = None, wall_clock: boo
     return log.withWatermark("timestamp", late_by) if late_by else log
 
 
-def assign_offsets(log: DataFrame, tie_breaker: Column, slice_by: Column | None = None) -> DataFrame:
-    """Number the records of each partition from 0 by (timestamp, tie breaker). Batch.
+def assign_offsets(log: DataFrame, tie_breaker: Column, slice_by: Column | None = None,
+                   base: DataFrame | None = None) -> DataFrame:
+    """Number the records of each partition from 0 by (timestamp, tie breaker). Batch; runs jobs.
 
-    `slice_by` must not decrease with (timestamp, tie breaker); see `millrace.ordering`."""
-    columns = log.columns
+    `slice_by` must not decrease with (timestamp, tie breaker); see `millrace.ordering`. `base`, the
+    `positions` of what is stored already, makes each partition go on at its end."""
+    columns = list(dict.fromkeys([*log.columns, "offset"]))
     numbered = with_running(log, LOG, [F.col("timestamp"), tie_breaker], position="_offset", slice_by=slice_by)
-    return numbered.withColumn("offset", F.col("_offset")).select(*columns)
+    first = F.lit(0)
+    if base is not None:
+        # One row for each partition; stored, so that its size is known and the log need not be shuffled.
+        ends = stored(base.select(*LOG, F.col("end").alias("_base")), "ends")
+        numbered, first = numbered.join(ends, LOG, "left"), F.coalesce("_base", F.lit(0))
+    return numbered.withColumn("offset", F.col("_offset") + first).select(*columns)
 
 
 def positions(log: DataFrame) -> DataFrame:
@@ -105,6 +112,33 @@ def positions(log: DataFrame) -> DataFrame:
     return log.groupBy(*LOG).agg(F.min("offset").alias("begin"), (F.max("offset") + 1).alias("end"))
 
 
+def store_commits(commits: DataFrame, path: str) -> DataFrame:
+    """Add commits (group, destination, partition, committed) to a stored table and return what counts: the newest
+    of each group and partition. Batch.
+
+    Commits are appended with the time of the call, so resetting a group is one more commit; a lost call leaves the
+    table as it was."""
+    stamped = commits.select("group", *LOG, F.col("committed").cast("bigint").alias("committed"),
+                             F.current_timestamp().alias("at"))
+    stamped.write.mode("append").parquet(path)
+    return read_commits(commits.sparkSession, path)
+
+
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """The newest commit of each group and partition; none where nothing is stored yet."""
+    schema = "`group` string, destination string, partition int, committed bigint, at timestamp"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema).drop("at")
+    newest = spark.read.schema(schema).parquet(path).groupBy("group", *LOG)
+    return newest.agg(F.max_by("committed", F.struct("at", "committed")).alias("committed"))
+
+
+def _known(table: DataFrame, *columns: str) -> DataFrame:
+    """A table of one row for each partition, stored: Spark then knows its size and broadcasts it where that allows,
+    instead of shuffling the log to meet it."""
+    return stored(table.select(*columns), "commits")
+
+
 def committed_before(log: DataFrame, group: str, condition: Column) -> DataFrame:
     """The commits a group has left after reading every record that meets `condition`."""
     return (log.filter(condition).groupBy(*LOG).agg((F.max("offset") + 1).alias("committed"))
@@ -130,7 +164,7 @@ def start_from(log: DataFrame, committed: DataFrame, group: str | None = None, s
         raise ValueError(f"unknown start offset: {start}")
     if reset or group is None:
         return log if start == EARLIEST else log.filter(F.lit(False))
-    own = committed.filter(F.col("group") == group).select(*LOG, "committed")
+    own = _known(committed.filter(F.col("group") == group), *LOG, "committed")
     if start == EARLIEST:
         joined = log.join(own, LOG, "left")
         return joined.filter(F.col("committed").isNull() | (F.col("offset") >= F.col("committed"))).drop("committed")
@@ -140,14 +174,14 @@ def start_from(log: DataFrame, committed: DataFrame, group: str | None = None, s
 def seek(log: DataFrame, starts: DataFrame) -> DataFrame:
     """Start at an offset for each partition, from a (destination, partition, start) table.
     Partitions it does not name are read from the beginning."""
-    joined = log.join(starts.select(*LOG, "start"), LOG, "left")
+    joined = log.join(_known(starts, *LOG, "start"), LOG, "left")
     return joined.filter(F.col("offset") >= F.coalesce("start", F.lit(0))).drop("start")
 
 
 def for_groups(log: DataFrame, committed: DataFrame) -> DataFrame:
     """Every group's view of the log in one pass: a record is given once to each group that has not
     got past it. Which member of the group works on it is Spark's choice of task."""
-    joined = log.join(committed.select("group", *LOG, "committed"), LOG)
+    joined = log.join(_known(committed, "group", *LOG, "committed"), LOG)
     return joined.filter(F.col("offset") >= F.col("committed")).drop("committed")
 
 
@@ -158,24 +192,23 @@ def for_instance(log: DataFrame, count: int, *indexes: int) -> DataFrame:
     return log.filter(F.pmod("partition", F.lit(count)).isin(list(indexes)))
 
 
-def poll(log: DataFrame, committed: DataFrame, group: str, max_records: int) -> DataFrame:
+def poll(log: DataFrame, committed: DataFrame, group: str, max_records: int,
+         offsets_per_slice: int = OFFSETS_PER_SLICE) -> DataFrame:
     """The next records of a group, at most `max_records` of each partition. Batch; on a stream, use
-    `Trigger.AvailableNow` with `maxFilesPerTrigger`.
+    `Trigger.AvailableNow` with `maxFilesPerTrigger`. Runs jobs.
 
-    Up to a limit of 1000 Spark cuts each task's rows before the shuffle, so a hot partition sends on
-    only that many; above it the rows are numbered slice by slice."""
+    Records are numbered slice by slice along their offsets, so a hot partition is no single task's work."""
     rest = start_from(log, committed, group)
-    if max_records <= _GROUP_LIMIT:
-        order = Window.partitionBy(*LOG).orderBy("offset")
-        return rest.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_records).drop("_n")
-    numbered = with_running(rest, LOG, [F.col("offset")], position="_n", slice_by=F.floor(F.col("offset") / _OFFSETS_PER_SLICE))
+    slices = F.floor(F.col("offset") / offsets_per_slice)
+    numbered = with_running(rest, LOG, [F.col("offset")], position="_n", slice_by=slices)
     return numbered.filter(F.col("_n") < max_records).drop("_n")
 
 
-def settle(polled: DataFrame, outcome: Column, group: str) -> DataFrame:
+def settle(polled: DataFrame, outcome: Column, group: str, counted: bool = False) -> DataFrame:
     """Commits after a poll. `outcome` is accept, reject or requeue for each record: accepted and
-    rejected records are done with, and the partition goes on at the first requeued one."""
+    rejected records are done with, and the partition goes on at the first requeued one. `counted`
+    adds `polled`, the number of records."""
     first_again = F.min(F.when(outcome == "requeue", F.col("offset")))
-    return (polled.groupBy(*LOG)
-            .agg(F.coalesce(first_again, F.max("offset") + 1).alias("committed"))
-            .select(F.lit(group).alias("group"), *LOG, "committed"))
+    committed = F.coalesce(first_again, F.max("offset") + 1).alias("committed")
+    settled = polled.groupBy(*LOG).agg(committed, F.count(F.lit(1)).alias("polled"))
+    return settled.select(F.lit(group).alias("group"), *LOG, "committed", *(["polled"] if counted else []))

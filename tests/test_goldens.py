@@ -276,8 +276,15 @@ def test_function_that_always_fails_goes_to_the_dead_letters(spark):
 
 
 def test_retry_rules():
-    r = retry.Retry(rules={LookupError: False, KeyError: True})
-    assert [r.retryable(e) for e in (IndexError(), LookupError(), KeyError(), ValueError())] == [False, False, True, True]
+    errors = (IndexError(), LookupError(), KeyError(), ValueError())
+    both = retry.Retry(rules={LookupError: True, KeyError: False})
+    assert [both.retryable(e) for e in errors] == [True, True, False, False]
+    excluded = retry.Retry(rules={LookupError: False, KeyError: True})
+    assert [excluded.retryable(e) for e in errors] == [False, False, False, False]
+    only_excluded = retry.Retry(rules={KeyError: False})
+    assert [only_excluded.retryable(e) for e in errors] == [True, True, False, True]
+    only_included = retry.Retry(rules={LookupError: True})
+    assert [only_included.retryable(e) for e in errors] == [True, True, True, False]
     assert not retry.Retry(unlisted=False).retryable(ValueError())
     assert [retry.Retry().delay_ms(n) for n in range(1, 7)] == [1000, 2000, 4000, 8000, 10000, 10000]
 
