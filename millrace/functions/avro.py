@@ -36,7 +36,14 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
             raise ValueError(f"Undefined name: {full}")
         return full
     if isinstance(node, list):
-        return [normal_form(branch, namespace, known) for branch in node]
+        if any(isinstance(branch, list) for branch in node):
+            raise ValueError(f"Nested union: {json.dumps(node)}")
+        branches = [normal_form(branch, namespace, known) for branch in node]
+        kinds = [_branch(b) for b in branches]
+        for kind in kinds:
+            if kinds.count(kind) > 1:
+                raise ValueError(f"Duplicate in union: {kind}")
+        return branches
     if not isinstance(node, dict) or "type" not in node:
         raise ValueError(f"No type: {json.dumps(node)}")
 
@@ -66,8 +73,17 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
         names = [f["name"] for f in out["fields"]]
         if len(set(names)) < len(names):
             raise ValueError(f"Duplicate field in record {full}")
-    elif kind == "enum" and not isinstance(node.get("symbols"), list):
-        raise ValueError(f"Enum has no symbols: {json.dumps(node)}")
+    elif kind == "enum":
+        symbols = node.get("symbols")
+        if not isinstance(symbols, list):
+            raise ValueError(f"Enum has no symbols: {json.dumps(node)}")
+        for symbol in symbols:
+            if not isinstance(symbol, str) or not _NAME.match(symbol):
+                raise ValueError(f"Illegal name: {symbol}")
+            if symbols.count(symbol) > 1:
+                raise ValueError(f"Duplicate enum symbol: {symbol}")
+        if "default" in node and node["default"] not in symbols:
+            raise ValueError(f"The enum default is no symbol: {node['default']}")
     elif kind == "fixed" and not isinstance(node.get("size"), int):
         raise ValueError(f"Invalid or no size: {json.dumps(node)}")
     return out
@@ -77,8 +93,86 @@ def _field(field: object, namespace: str | None, known: set[str]) -> dict:
     if not isinstance(field, dict) or "name" not in field or "type" not in field:
         raise ValueError(f"No field name or type: {json.dumps(field)}")
     _full_name(field["name"], None)
-    rest = {k: v for k, v in field.items() if k not in ("doc", "aliases", "type")}
-    return {**rest, "type": normal_form(field["type"], namespace, known)}
+    order = field.get("order", "ascending")
+    if order not in ("ascending", "descending", "ignore"):
+        raise ValueError(f"Invalid order: {order}")
+    # Ascending is what no order means.
+    rest = {k: v for k, v in field.items() if k not in ("doc", "aliases", "type") and (k, v) != ("order", "ascending")}
+    form = normal_form(field["type"], namespace, known)
+    if "default" in field and not _fits(form, field["default"]):
+        raise ValueError(f"Invalid default for field {field['name']}: {json.dumps(field['default'])}")
+    return {**rest, "type": form}
+
+
+def _branch(form: object) -> str:
+    """What must be different between the branches of a union: the name of a named type, else the kind."""
+    if isinstance(form, dict):
+        return form["name"] if form["type"] in NAMED else _branch(form["type"])
+    return form
+
+
+def _fits(form: object, value: object) -> bool:
+    """Whether a JSON value can be the default of a type. A type that is known by name only is not looked into."""
+    if isinstance(form, list):
+        return any(_fits(branch, value) for branch in form)
+    kind = form["type"] if isinstance(form, dict) else form
+    if isinstance(kind, (dict, list)):
+        return _fits(kind, value)
+    whole = isinstance(value, int) and not isinstance(value, bool)
+    if kind == "null":
+        return value is None
+    if kind == "boolean":
+        return isinstance(value, bool)
+    if kind in ("int", "long"):
+        return whole and abs(value) <= (1 << (31 if kind == "int" else 63))
+    if kind in ("float", "double"):
+        return whole or isinstance(value, float)
+    if kind in ("string", "bytes", "fixed"):
+        return isinstance(value, str)
+    if kind == "enum":
+        return value in form["symbols"]
+    if kind == "array":
+        return isinstance(value, list) and all(_fits(form["items"], v) for v in value)
+    if kind == "map":
+        return isinstance(value, dict) and all(_fits(form["values"], v) for v in value.values())
+    if kind in ("record", "error"):
+        return isinstance(value, dict) and all(
+            _fits(f["type"], value[f["name"]]) if f["name"] in value else "default" in f for f in form["fields"])
+    return True
+
+
+# Spark's types of Avro's primitive ones.
+_SPARK = {"boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(),
+          "double": T.DoubleType(), "bytes": T.BinaryType(), "string": T.StringType()}
+
+
+def spark_type(form: object) -> T.DataType:
+    """Spark's type of a normal form; a union may only add null to one type."""
+    if isinstance(form, list):
+        types = [branch for branch in form if branch != "null"]
+        if len(types) != 1:
+            raise ValueError(f"no single type: {json.dumps(form)}")
+        return spark_type(types[0])
+    kind = form["type"] if isinstance(form, dict) else form
+    if isinstance(kind, (dict, list)):
+        return spark_type(kind)
+    if kind == "array":
+        return T.ArrayType(spark_type(form["items"]))
+    if kind == "map":
+        return T.MapType(T.StringType(), spark_type(form["values"]))
+    if kind in ("record", "error"):
+        return T.StructType([T.StructField(f["name"], spark_type(f["type"])) for f in form["fields"]])
+    if kind in ("enum", "fixed"):
+        return T.StringType() if kind == "enum" else T.BinaryType()
+    if kind not in _SPARK:
+        raise ValueError(f"no Spark type: {kind}")
+    return _SPARK[kind]
+
+
+def reader_of(definition: str) -> tuple[T.StructType, dict[str, object]]:
+    """Spark's type of a record definition and the defaults of its fields."""
+    form = normal_form(json.loads(definition))
+    return spark_type(form), {f["name"]: f["default"] for f in form["fields"] if "default" in f}
 
 
 def _normalise(definition: str | None) -> tuple:

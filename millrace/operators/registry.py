@@ -5,14 +5,16 @@ normal form, by which equality is judged)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.envelope import CONTENT_TYPE, put_headers
-from millrace.functions.avro import canonical
+from millrace.functions.avro import canonical, reader_of
 from millrace.ordering import with_running
-from millrace.session import stored
+from millrace.session import folder_names, path_exists, stored
 
 STORE = T.StructType(
     [
@@ -25,6 +27,7 @@ STORE = T.StructType(
     ]
 )
 FORMATS = ("avro",)
+UNKNOWN_VERSION = "UnknownSchemaVersion"
 
 _ARRIVALS_PER_SLICE = 1_000_000
 
@@ -34,9 +37,23 @@ def empty_store(spark: SparkSession) -> DataFrame:
 
 
 def save(store: DataFrame, path: str) -> DataFrame:
-    """Write the store and read it back, as the table the next operations start from."""
-    store.write.mode("overwrite").parquet(path)
-    return store.sparkSession.read.schema(STORE).parquet(path)
+    """Write the store as the next version under `path` and read it back, as the table the next operations start from.
+
+    Earlier versions stay, so a store can be saved to where it was loaded from, and a save that fails changes nothing."""
+    versions = _versions(store.sparkSession, path)
+    store.write.parquet(f"{path}/store-{max(versions, default=0) + 1:08d}")
+    return load(store.sparkSession, path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the store that was written to its end; an empty store if there is none."""
+    versions = _versions(spark, path)
+    done = [n for n in versions if path_exists(spark, f"{path}/store-{n:08d}/_SUCCESS")]
+    return spark.read.schema(STORE).parquet(f"{path}/store-{max(done):08d}") if done else empty_store(spark)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return [int(name[len("store-"):]) for name in folder_names(spark, path) if name.startswith("store-")]
 
 
 def validate(requests: DataFrame) -> DataFrame:
@@ -130,13 +147,21 @@ def reference(ct: Column, prefix: str = "vnd") -> Column:
     return F.when(subject != "", F.struct(subject.alias("subject"), version.try_cast("bigint").alias("version")))
 
 
-def resolve(df: DataFrame, store: DataFrame, reader: T.StructType, defaults: dict[str, object]) -> DataFrame:
-    """Read JSON payloads, each written with the version in its content type, as the reader's schema:
-    fields the writer lacks get the reader's default, fields the reader lacks are dropped. Rows
-    without a reference are read as the reader's own.
+def resolve(
+    df: DataFrame, store: DataFrame, reader: T.StructType | str, defaults: dict[str, object] | None = None
+) -> DataFrame:
+    """Read JSON payloads, each written with the version in its content type, as the reader's schema: adds `data` and
+    `error`. Fields the writer lacks get the reader's default, fields the reader lacks are dropped, and numbers are
+    read in the reader's width. Rows without a reference are read as the reader's own. A reference to a version that
+    the store lacks gives no data and the error UnknownSchemaVersion.
 
+    reader: an Avro definition, whose types and defaults are taken, or Spark's type with `defaults` beside it.
     Writer fields come from the store by a join on (subject, version), so any mix of versions is
     read in one pass."""
+    if isinstance(reader, str):
+        reader, own = reader_of(reader)
+        defaults = {**own, **(defaults or {})}
+    defaults = defaults or {}
     fields = F.from_json("definition", "fields array<struct<name:string>>")["fields"]
     writers = store.filter(F.col("format") == "avro").select(
         F.col("subject").alias("_subject"), F.col("version").alias("_version"),
@@ -147,10 +172,12 @@ def resolve(df: DataFrame, store: DataFrame, reader: T.StructType, defaults: dic
 
     def value_of(f: T.StructField) -> Column:
         missing = F.col("_written").isNotNull() & ~F.array_contains("_written", f.name)
-        default = F.lit(defaults.get(f.name)).cast(f.dataType)
+        default = F.from_json(F.lit(json.dumps({"v": defaults.get(f.name)})), T.StructType([T.StructField("v", f.dataType)]))["v"]
         return F.when(missing, default).otherwise(data[f.name]).alias(f.name)
 
-    return joined.select(*df.columns, F.struct(*[value_of(f) for f in reader.fields]).alias("data"))
+    unknown = F.col("_ref").isNotNull() & F.col("_version").isNull()
+    return joined.select(*df.columns, F.when(~unknown, F.struct(*[value_of(f) for f in reader.fields])).alias("data"),
+                         F.when(unknown, F.lit(UNKNOWN_VERSION)).alias("error"))
 
 
 def resolve_binary(df: DataFrame, writer: str, reader: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ordering import with_running
+from millrace.session import path_exists, stored
 
 _NEWEST = ("timestamp", "offset")
 
@@ -46,8 +47,11 @@ def changelog(log: DataFrame, slice_by: Column | None = None) -> DataFrame:
 
 def materialize(table: DataFrame, name: str, path: str | None = None, cached: bool = False) -> DataFrame:
     """Name a table so that it can be queried, stored as Parquet if a path is given. `cached` keeps
-    it in executor storage, spilling to disk."""
+    it in executor storage, spilling to disk. A table can be stored over what it was read from."""
     if path:
+        if path_exists(table.sparkSession, path):
+            # Overwriting deletes the old files first, which the table may still have to be computed from.
+            table = stored(table, "table")
         table.write.mode("overwrite").parquet(path)
         table = table.sparkSession.read.parquet(path)
     if cached:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from millrace.envelope import header, header_map
 from millrace.operators import batches
 from millrace.operators.lag import lag
-from millrace.plans.base import LOG, event_log, hour, query, table
+from millrace.plans.base import LOG, NUMBERED, event_log, hour, query, stored_events, table
 from millrace.plans.queries.consumption import committed
+from millrace.session import working_path
+from millrace.sources.log import read_log, store_commits
 
 _GROUP = ["destination"]
 
@@ -86,12 +88,13 @@ def batch_nested(spark, sf):
     return nested.select("l_orderkey", F.col("index").cast("bigint").alias("index"), "element")
 
 
-@query("lag_group", f"""WITH {LOG}, committed AS (SELECT destination, "partition", max("offset") + 1 AS committed FROM log
+@query("lag_group", f"""WITH {LOG}, committed AS (SELECT destination, "partition", max("offset") + 1 AS committed FROM {NUMBERED}
     WHERE ts < TIMESTAMP '2024-01-15' AND event_type <> 'error' GROUP BY ALL),
-  ends AS (SELECT destination, "partition", min("offset") AS first, max("offset") + 1 AS last FROM log GROUP BY ALL)
+  ends AS (SELECT destination, "partition", min("offset") AS first, max("offset") + 1 AS last FROM {NUMBERED} GROUP BY ALL)
   SELECT 'audit' AS "group", destination, CAST(sum(last - coalesce(committed, first)) AS BIGINT) AS lag
     FROM ends LEFT JOIN committed USING (destination, "partition") GROUP BY ALL
   UNION ALL SELECT 'new', destination, CAST(sum(last - first) AS BIGINT) FROM ends GROUP BY ALL""")
 def lag_group(spark, sf):
-    log = event_log(spark, sf)
-    return lag(log, committed(log), ["audit", "new"])
+    log = read_log(spark, stored_events(spark, sf))
+    commits = store_commits(committed(log), working_path(spark, "commits"))
+    return lag(log, commits, ["audit", "new"])

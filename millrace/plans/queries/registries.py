@@ -6,32 +6,43 @@ import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.envelope import CONTENT_TYPE, header
+from millrace.envelope import CONTENT_TYPE, header, put_headers
 from millrace.functions.avro import canonical
 from millrace.operators import registry
 from millrace.plans.base import event_log, query, table
 from millrace.session import working_path
 
-_FIELDS = [
-    {"name": "name", "type": "string"},
-    {"name": "favoriteNumber", "type": ["int", "null"]},
-    {"name": "favoriteColor", "type": ["string", "null"]},
-]
-_PLACE = {"name": "favoritePlace", "type": ["string", "null"], "default": "NYC"}
+# A visit of the shop's site: first counted in whole hits, later with the channel it came through.
+_HITS = {"name": "hits", "type": "int"}
+_CHANNEL = {"name": "channel", "type": "string", "default": "direct"}
 
 
-def _record(fields, **extra):
-    return {"namespace": "example.avro", "type": "record", "name": "User", **extra, "fields": fields}
+def _visit(*fields):
+    return {"type": "record", "name": "Visit", "namespace": "shop.web", "fields": list(fields)}
 
 
-V1 = json.dumps(_record(_FIELDS))
-V1_SPACED = json.dumps(_record(_FIELDS), indent=2)
-V2 = json.dumps(_record([*_FIELDS, _PLACE]))
-BROKEN = json.dumps(_record([{"name": "field", "type": "SomeType"}]))
+_V1 = _visit({"name": "visitor", "type": "string"}, _HITS)
+V1 = json.dumps(_V1)
+V1_SPACED = json.dumps(_V1, indent=2)
+V2 = json.dumps(_visit({"name": "visitor", "type": "string"}, _HITS, _CHANNEL))
+BROKEN = json.dumps(_visit({"name": "device", "type": "Device"}))
 DEFINITIONS = [V1, V1_SPACED, V2, BROKEN]
 
+# One definition for each rule of validity, with what is wrong with it.
+INVALID = [
+    (_visit({"name": "device", "type": "Device"}), "Undefined name: shop.web.Device"),
+    (_visit({"name": "x", "type": ["null", ["int"]]}), 'Nested union: ["null", ["int"]]'),
+    (_visit({"name": "x", "type": ["int", "string", "int"]}), "Duplicate in union: int"),
+    (_visit({"name": "x", "type": {"type": "enum", "name": "Kind", "symbols": ["a", "b", "a"]}}), "Duplicate enum symbol: a"),
+    (_visit({"name": "x", "type": {"type": "enum", "name": "Kind", "symbols": ["a-b"]}}), "Illegal name: a-b"),
+    (_visit({**_HITS, "default": "many"}), 'Invalid default for field hits: "many"'),
+    (_visit(_HITS, _HITS), "Duplicate field in record shop.web.Visit"),
+    (_visit({"name": "x", "type": {"type": "array"}}), 'No items type: {"type": "array"}'),
+    # Valid: an order that is the usual one.
+    (_visit({**_HITS, "order": "ascending"}), None),
+]
+
 
 def requests(spark, sf) -> DataFrame:
     """A registration request for each event: its type is the subject, its number picks one of the
@@ -54,7 +65,7 @@ _STORE = """requests AS (SELECT event_type AS subject, event_id AS arrival,
 
 
 def _kind():
-    return F.when(F.col("canonical").contains("favoritePlace"), "v2").otherwise("v1")
+    return F.when(F.col("canonical").contains("channel"), "v2").otherwise("v1")
 
 
 @query("reg_register", f"""WITH {_STORE} SELECT id, subject, version, v AS definition FROM store
@@ -67,10 +78,15 @@ def reg_register(spark, sf):
         answers.select("id", F.concat(F.lit("asked "), "subject").alias("subject"), "version", F.col("n").cast("string").alias("definition")))
 
 
-@query("reg_validate", f"""WITH {_STORE} SELECT subject, pick = 3 AS invalid,
-  CASE WHEN pick = 3 THEN 'Undefined name: example.avro.SomeType' END AS problem, count(*) AS requests FROM requests GROUP BY ALL""")
+_PROBLEMS = ", ".join(f"({n}, " + ("NULL" if p is None else f"'{p}'") + ")" for n, (_, p) in enumerate(INVALID))
+
+
+@query("reg_validate", f"""SELECT event_type AS subject, problem IS NOT NULL AS invalid, problem, count(*) AS requests
+  FROM events JOIN (VALUES {_PROBLEMS}) AS rules(n, problem) ON event_id % {len(INVALID)} = n GROUP BY ALL""")
 def reg_validate(spark, sf):
-    checked = registry.validate(requests(spark, sf))
+    texts = F.array(*[F.lit(json.dumps(d)) for d, _ in INVALID])
+    asked = requests(spark, sf).withColumn("definition", F.get(texts, F.pmod("arrival", F.lit(len(INVALID))).cast("int")))
+    checked = registry.validate(asked)
     return checked.groupBy("subject", F.col("problem").isNotNull().alias("invalid"), "problem").agg(F.sum("requests").alias("requests"))
 
 
@@ -114,22 +130,21 @@ def reg_delete(spark, sf):
 
 
 @query("reg_subject", """SELECT short, "full", prefixed, prefix_only, count(*) AS events FROM (
-  SELECT 'user' AS short, 'example.avro.user' AS "full",
-    'shop-example.avro.user' AS prefixed, 'shop' AS prefix_only FROM events) GROUP BY ALL""")
+  SELECT 'visit' AS short, 'shop.web.visit' AS "full",
+    'eu-shop.web.visit' AS prefixed, 'eu' AS prefix_only FROM events) GROUP BY ALL""")
 def reg_subject(spark, sf):
     d = F.col("definition")
     named = requests(spark, sf).select(
         registry.subject_name(d).alias("short"), registry.subject_name(d, "full").alias("full"),
-        registry.subject_name(d, "full", "shop").alias("prefixed"), registry.subject_name(d, "prefix", "shop").alias("prefix_only"))
+        registry.subject_name(d, "full", "eu").alias("prefixed"), registry.subject_name(d, "prefix", "eu").alias("prefix_only"))
     return named.groupBy("short", "full", "prefixed", "prefix_only").agg(F.count(F.lit(1)).alias("events"))
 
 
 def _stamped(spark, sf, registered=None) -> DataFrame:
     """Events whose payload was written with one of the valid versions of their subject."""
-    users = F.struct(F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("name"), F.col("event_id").cast("int").alias("favoriteNumber"),
-                     F.col("event_type").alias("favoriteColor"),
-                     F.when(F.col("event_id") % 4 == 2, "Paris").alias("favoritePlace"))
-    events = event_log(spark, sf, value=F.to_json(users))
+    visits = F.struct(F.concat(F.lit("visitor "), F.col("user_id").cast("string")).alias("visitor"), F.col("event_id").cast("int").alias("hits"),
+                      F.when(F.col("event_id") % 4 == 2, "mail").alias("channel"))
+    events = event_log(spark, sf, value=F.to_json(visits))
     texts = spark.createDataFrame([(i, d) for i, d in enumerate(DEFINITIONS)], "pick bigint, definition string")
     normal = texts.withColumn("canonical", canonical("definition")["canonical"]).filter("canonical IS NOT NULL").drop("definition")
     rows = events.withColumns({"pick": F.col("offset") % 4, "subject": header("event_type"), "format": F.lit("avro")}).join(normal, "pick")
@@ -151,26 +166,28 @@ def reg_reference(spark, sf):
     return named.groupBy("r.subject", "r.version").agg(F.count(F.lit(1)).alias("rows"))
 
 
-READER = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("favoriteColor", T.StringType()),
-    T.StructField("favoritePlace", T.StringType()),
-])
+# The reader counts in long numbers and knows the channel.
+READER = json.dumps(_visit({"name": "hits", "type": "long"}, _CHANNEL))
 
 
-@query("reg_resolve", f"""WITH {_STAMPED} SELECT event_id AS "offset", 'user ' || user_id AS name, event_type AS color,
-  CASE WHEN pick = 2 THEN 'Paris' ELSE 'NYC' END AS place FROM stamped""")
+@query("reg_resolve", f"""WITH {_STAMPED} SELECT event_id AS "offset",
+  CASE WHEN event_id % 10 <> 9 THEN CAST(event_id AS BIGINT) END AS hits,
+  CASE WHEN event_id % 10 <> 9 THEN CASE WHEN pick = 2 THEN 'mail' ELSE 'direct' END END AS channel,
+  CASE WHEN event_id % 10 = 9 THEN 'UnknownSchemaVersion' END AS error FROM stamped""")
 def reg_resolve(spark, sf):
     registered = store(spark, sf)
     rows = _stamped(spark, sf, registered).select("offset", "value", "headers")
-    read = registry.resolve(rows, registered, READER, {"favoritePlace": "NYC"})
-    return read.select("offset", "data.name", F.col("data.favoriteColor").alias("color"), F.col("data.favoritePlace").alias("place"))
+    # Every tenth row names a version that was never registered.
+    lost = registry.content_type_of(F.lit("click"), F.lit(1234567890))
+    rows = rows.withColumn("headers", F.when(F.col("offset") % 10 == 9, put_headers({CONTENT_TYPE: lost})).otherwise(F.col("headers")))
+    read = registry.resolve(rows, registered, READER)
+    return read.select("offset", "data.hits", "data.channel", "error")
 
 
 @query("reg_union", """SELECT subject, row_number() OVER (PARTITION BY subject ORDER BY v) AS version, 'v' || v AS definition
   FROM (SELECT DISTINCT event_type AS subject FROM events), (VALUES (1), (2)) AS versions(v)""")
 def reg_union(spark, sf):
     asked = requests(spark, sf).withColumn("definition", F.lit(f"[{V1}, {V2}]"))
-    members = registry.split_union(asked).withColumn("arrival", F.col("arrival") * 2 + F.col("definition").contains("favoritePlace").cast("int"))
+    members = registry.split_union(asked).withColumn("arrival", F.col("arrival") * 2 + F.col("definition").contains("channel").cast("int"))
     registered = registry.register(registry.empty_store(spark), members)
     return registered.select("subject", "version", _kind().alias("definition"))

@@ -53,6 +53,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a frame to a table under the shared root and read it back: computed once, even if
     executors are lost later, and read by column. Batch."""

@@ -182,6 +182,6 @@ def test_resolve_on_a_stream(spark, log):
     stamped = _stamped(spark, SMALL, registered).select("offset", "value", "headers")
     path = working_path(spark, "stamped")
     stamped.write.parquet(path)
-    read = lambda df: registry.resolve(df, registered, READER, {"favoritePlace": "NYC"}).select("offset", "data.*")
+    read = lambda df: registry.resolve(df, registered, READER).select("offset", "data.*")
     got = run(spark, read(runner.stream_table(spark, path, "*.parquet", stamped.schema)))
     assert spark_rows(got.drop("batch")) == spark_rows(read(stamped))
