@@ -28,22 +28,51 @@ from millrace.session import working_path
 
 END_ID = 0
 
-# Pieces whose ids a worker remembers, and the longest one worth it.
-CACHE_PIECES, CACHE_CHARS = 1_000_000, 64
+# Different pieces whose ids a worker remembers; bytes of text that are cut into pieces at once.
+CACHE_PIECES, CUT_BYTES = 1_500_000, 1 << 20
 
 # Documents that one task writes, about.
 DOCS_PER_FILE = 200_000
 
-# The tokenizer never joins a character to white space that follows it, so a text can be cut there. Python counts the
-# four separators below as white space and the tokenizer does not; texts with them are encoded in one piece, as are
-# texts that hold the name of a special token.
-_PIECE = re.compile(r"\s*\S+|\s+")
-_WHOLE = re.compile("[\x1c-\x1f]")
+# Texts with other white space than ASCII's, or with separators that only some count as white space, are not cut.
+_WHOLE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+# Kinds of bytes.
+_SPACE, _LETTER, _MARK = 1, 2, 4
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+# Marks without the apostrophe, which can begin a piece with the letters after it.
+_KINDS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = _MARK
+
+
+def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where pieces begin in UTF-8 bytes, given where texts begin. A byte-level tokenizer first parts a text into words
+    (letters with one blank before them), numbers, marks and white space, and joins ids only inside such a part. So a
+    text can be cut before white space, after a single white space that is no blank, and between letters and marks."""
+    kind = _KINDS[data]
+    space, letter, mark = (kind & k > 0 for k in (_SPACE, _LETTER, _MARK))
+    first = np.zeros(len(data), bool)
+    first[texts] = True
+    # C3 leads the letters from U+00C0 to U+00FF, but for the two signs at 97 and B7.
+    wide = np.zeros(len(data), bool)
+    wide[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    start = first.copy()
+    start[1:] |= space[1:] & ~space[:-1]
+    start[1:] |= mark[1:] & (letter | wide)[:-1]
+    start[1:] |= letter[1:] & mark[:-1]
+    lone = space & (data != 32)
+    lone[1:] &= ~space[:-1] | first[1:]
+    start[1:] |= ~space[1:] & lone[:-1]
+    return np.flatnonzero(start)
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level tokenizer file of the tokenizers library. The ids of frequent pieces (a word
-    with the white space before it) are remembered; they are what the library gives for the piece."""
+    """Ids of whole texts by a byte-level tokenizer file of the tokenizers library.
+
+    Texts are cut into pieces whose ids do not depend on what is around them. Each different piece is given to the
+    library once and its ids are remembered under a 64-bit hash of its bytes. Texts with unusual white space or the name
+    of a special token are given to the library whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,31 +80,84 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.pieces: dict[str, list[int]] = {}
+        rng = np.random.default_rng(1)
+        self.byte_values = rng.integers(1, 1 << 63, 256, np.uint64)
+        base = 0x9E3779B97F4A7C15
+        self.bases = base, pow(base, -1, 1 << 64)
+        self.powers = self.inverses = np.ones(1, np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.begins, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text, without special tokens added; a null text has none."""
-        cut = [None if self._is_whole(t) else _PIECE.findall(t) for t in (t or "" for t in texts)]
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        known = self.pieces
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
-        once = {}
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            (known if len(piece) <= CACHE_CHARS else once)[piece] = found.ids
-        out = []
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            elif once:
-                ids = list(chain.from_iterable([once[p] if len(p) > CACHE_CHARS else known[p] for p in pieces]))
-            else:
-                ids = list(chain.from_iterable([known[p] for p in pieces]))
-            out.append(np.array(ids, np.uint32))
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        at, group, size = [], [], 0
+        for n, text in enumerate(texts):
+            if not text:
+                continue
+            if _WHOLE.search(text) or any(s in text for s in self.special):
+                out[n] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                continue
+            at.append(n)
+            group.append(text.encode())
+            size += len(group[-1])
+            if size >= CUT_BYTES:
+                self._encode(group, at, out)
+                at, group, size = [], [], 0
+        if group:
+            self._encode(group, at, out)
         return out
 
-    def _is_whole(self, text: str) -> bool:
-        return _WHOLE.search(text) is not None or any(s in text for s in self.special)
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(data) + 1
+        if n > len(self.powers):
+            self.powers, self.inverses = (
+                np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(n - 1, b, np.uint64))]) for b in self.bases)
+        sums = np.zeros(n, np.uint64)
+        np.cumsum(self.byte_values[data] * self.powers[: n - 1], out=sums[1:])
+        return (sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64)
+
+    def _encode(self, group: list[bytes], at: list[int], out: list[np.ndarray]) -> None:
+        joined = b"".join(group)
+        data = np.frombuffer(joined, np.uint8)
+        texts = np.cumsum([0] + [len(t) for t in group])
+        starts = piece_starts(data, texts[:-1])
+        ends = np.append(starts[1:], len(data))
+        kinds, first, which = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        places = [self.known.get(h, -1) for h in kinds.tolist()]
+        new = [n for n, p in enumerate(places) if p < 0]
+        if new:
+            pieces = [joined[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            found = [f.ids for f in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            place = len(self.known)
+            self._keep(found, place)
+            for k, (n, h) in enumerate(zip(new, kinds[new].tolist())):
+                places[n] = self.known[h] = place + k
+        rows = np.array(places, np.int64)[which]
+        begins, sizes = self.begins[rows], self.sizes[rows]
+        upto = np.cumsum(sizes)
+        ids = self.ids[np.repeat(begins - upto + sizes, sizes) + np.arange(upto[-1])]
+        cuts = np.append(upto - sizes, upto[-1])[np.searchsorted(starts, texts)]
+        for n, a, b in zip(at, cuts[:-1].tolist(), cuts[1:].tolist()):
+            out[n] = ids[a:b]
+
+    def _keep(self, found: list[list[int]], place: int) -> None:
+        flat = np.fromiter(chain.from_iterable(found), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        while len(self.begins) < place + len(found):
+            self.begins, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.sizes))
+        while len(self.ids) < self.used + len(flat):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.begins[place : place + len(found)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[place : place + len(found)] = sizes
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
 
 
 def encoder(path: str) -> Encoder:
@@ -86,7 +168,7 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
-def encoded(texts: pa.Array, tokenizer: str, at_once: int = 64) -> Iterator[np.ndarray]:
+def encoded(texts: pa.Array, tokenizer: str, at_once: int = 512) -> Iterator[np.ndarray]:
     """Ids of each text of a column, a few texts at a time, with the end id."""
     for i in range(0, len(texts), at_once):
         for ids in encoder(tokenizer).encode(texts[i : i + at_once].to_pylist()):
