@@ -21,8 +21,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import batch_of, text_bytes, with_fields
 from millrace.session import stored
@@ -153,7 +155,7 @@ _KNOWN_WORDS = 500_000
 def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
     """content, place: contexts that occur at two different places or more (place packs first word and length), and
     place -1 for contents with a window that holds no context."""
-    fields = [("key", pa.int64()), ("content", pa.int64()), ("place", pa.int64()), ("sure", pa.bool_())]
+    fields = [("key", pa.int64()), ("content", pa.int64()), ("packed", pa.int64())]
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -179,13 +181,14 @@ def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
                 key[aside] = _mixed((content[aside] ^ place[aside]).view(np.uint64)).view(np.int64)
                 bare = np.unique(passages.document[passages.windows(window) & ~passages.holding(low, high, window)])
                 own = contents[rows][bare]
-                yield batch_of(fields, [np.concatenate([key, own]), np.concatenate([content, own]),
-                                        np.concatenate([place, np.full(len(own), -1)]),
-                                        np.concatenate([sure, np.ones(len(own), bool)])])
+                place, sure = np.append(place, np.full(len(own), -1)), np.append(sure, np.ones(len(own), bool))
+                yield batch_of(fields, [np.append(key, own), np.append(content, own), place * 2 + sure])
 
-    named = docs.select("_content", "text").mapInArrow(name, "key bigint, content bigint, place bigint, sure boolean")
+    # Narrow rows for the exchange; whether a context is sure to be repeated is the last bit of its place.
+    named = docs.select("_content", "text").mapInArrow(name, "key bigint, content bigint, packed bigint").repartition("key")
+    named = named.select("key", "content", F.shiftright("packed", 1).alias("place"), (F.col("packed") % 2 != 0).alias("sure"))
     # Copies of a content name the same places.
-    once = named.repartition("key").groupBy("key", "content", "place").agg(F.max("sure").alias("sure"))
+    once = named.groupBy("key", "content", "place").agg(F.max("sure").alias("sure"))
     along = Window.partitionBy("key").orderBy("content", "place")
     again = F.col("sure") | F.lag("key").over(along).isNotNull() | F.lead("key").over(along).isNotNull()
     return once.withColumn("again", again).where("again").select("content", "place")
@@ -193,15 +196,14 @@ def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
 
 def _candidate_windows(joined: DataFrame, text: str, window: int) -> DataFrame:
     """One row for each window that no context of its own rules out: the hash of its words and where it begins."""
-    fields = [("key", pa.int64()), ("tail", pa.int32()), ("_order", pa.int64()), ("_content", pa.int64()),
-              ("begin", pa.int32()), ("later", pa.bool_())]
+    fields = [("key", pa.int64()), ("packed", pa.int64()), ("_order", pa.int64()), ("_content", pa.int64())]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
             contents, orders = batch.column("_content").to_numpy(), batch.column("_order").to_numpy()
             places = batch.column("_places")
-            for rows, documents in _chunks(text_bytes(batch.column(text)), window):
+            for rows, documents in _chunks(_plain(batch.column(text)), window):
                 if len(known) > _KNOWN_WORDS:
                     known.clear()
                 passages = Passages(documents, known)
@@ -217,7 +219,7 @@ def _candidate_windows(joined: DataFrame, text: str, window: int) -> DataFrame:
                 order, content = orders[rows][doc], contents[rows][doc]
                 at = begin - passages.starts[doc]
                 key = passages.stretch(begin, begin + window)
-                tail = (passages.stretch(begin, begin + window, _BASES[1]) >> np.uint64(32)).astype(np.uint32)
+                tail = (passages.stretch(begin, begin + window, _BASES[1]) >> np.uint64(33)).astype(np.int64)
                 # The first of equal windows in the chunk stands for them; the others are later for certain.
                 rank = np.lexsort((at, content, order, tail, key))
                 same = (key[rank][1:] == key[rank][:-1]) & (tail[rank][1:] == tail[rank][:-1])
@@ -228,10 +230,34 @@ def _candidate_windows(joined: DataFrame, text: str, window: int) -> DataFrame:
                     & (at[rank][1:] == at[rank][:-1])
                 key[later] = _mixed(content[later].view(np.uint64) + begin[later].astype(np.uint64))
                 keep = ~repeated
-                yield batch_of(fields, [key.view(np.int64)[keep], tail.view(np.int32)[keep], order[keep], content[keep],
-                                        at[keep].astype(np.int32), later[keep]])
+                packed = tail << 32 | at << 1 | later
+                yield batch_of(fields, [key.view(np.int64)[keep], packed[keep], order[keep], content[keep]])
 
-    return joined.mapInArrow(emit, "key bigint, tail int, _order bigint, _content bigint, begin int, later boolean")
+    # Narrow rows for the exchange: a second hash, the first word, and whether the window is a repeat for certain.
+    found = joined.mapInArrow(emit, "key bigint, packed bigint, _order bigint, _content bigint").repartition("key")
+    return found.select("key", "_order", "_content", F.shiftright("packed", 32).cast("int").alias("tail"),
+                        F.shiftright("packed", 1).bitwiseAND((1 << 31) - 1).cast("int").alias("begin"),
+                        (F.col("packed") % 2 != 0).alias("later"))
+
+
+def _compressed(docs: DataFrame, text: str) -> DataFrame:
+    """The same rows with `text` as bytes compressed by zstandard, which are a third smaller in an exchange than what
+    Spark makes of plain text. A null text stays null."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text else f for f in docs.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            small = pa.array([None if t is None else compress(t) for t in text_bytes(batch.column(text))], pa.binary())
+            yield pa.RecordBatch.from_arrays([small if n == text else batch.column(n) for n in batch.schema.names],
+                                             names=batch.schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _plain(column: pa.Array) -> list[bytes | None]:
+    decompress = zstandard.ZstdDecompressor().decompress
+    return [None if t is None else decompress(t) for t in column.to_pylist()]
 
 
 def kept_words(words: Sequence[bytes], begins: Sequence[int], window: int) -> np.ndarray:
@@ -267,17 +293,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     again = again.join(firsts, "_content").select(F.col("_first").alias("_order"), "_content", "_places")
     # With all columns, so that this join and the last one read the same exchange of the texts.
     every = [*[F.col(f"`{c}`") for c in kept], "_order", "_content"]
-    found = _candidate_windows(keyed.join(again, ["_order", "_content"]).select(*every, "_places"), text, window)
+    texts = _compressed(keyed.select(*every), text)
+    found = _candidate_windows(texts.join(again, ["_order", "_content"]).select(*every, "_places"), text, window)
     along = Window.partitionBy("key", "tail").orderBy("_order", "_content", "begin")
     later = found.withColumn("later", F.col("later") | (F.rank().over(along) > 1)).where("later")
     begins = later.groupBy("_order", "_content").agg(F.collect_set("begin").alias("_begins"))
     outcome = copies.select("_order", "_content", F.lit(None).cast("array<int>").alias("_begins"), F.lit(True).alias("_copy"))
     outcome = outcome.unionByName(begins.withColumn("_copy", F.lit(False)))
-    cut = keyed.join(outcome, ["_order", "_content"], "left").select(*every, "_begins", "_copy")
+    cut = texts.join(outcome, ["_order", "_content"], "left").select(*every, "_begins", "_copy")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, copied = text_bytes(batch.column(text)), batch.column("_copy").to_pylist()
+            texts, copied = _plain(batch.column(text)), batch.column("_copy").to_pylist()
             begins = batch.column("_begins")
             counts, gone, left = [], [], []
             for n, (data, copy) in enumerate(zip(texts, copied)):
@@ -294,7 +321,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     gone.append(0)
                     left.append(data)
             more = [pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *more], names=[*kept, *added])
+            same = [pa.array(texts, pa.binary()).cast(pa.string()) if c == text else batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*same, *more], names=[*kept, *added])
 
     schema = with_fields(keyed.select(*every[:-2]).schema, "n_words bigint, n_removed bigint, kept_text string")
     return cut.mapInArrow(apply, schema)
