@@ -33,7 +33,8 @@ def assemble(df: DataFrame, group: Sequence[str], order: Sequence[Column], size:
 
 
 def build(df: DataFrame, batch: Sequence[str], at: str, root: Mapping[str, Column | str] | None = None) -> DataFrame:
-    """Build batches from rows that know theirs, ordered by `at`, with headers for the batch itself."""
+    """Build batches from rows that know theirs, ordered by `at`, with headers for the batch itself. A batch is one
+    row, so it must be bounded by whoever assigned it (`assemble` does so by size)."""
     built = df.groupBy(*batch).agg(_sorted_items(at).alias("items"))
     return built.withColumn("headers", header_map(root or {}))
 

@@ -53,6 +53,10 @@ def route_name(destination: Column, routing_key: Column | None = None, partition
     return F.concat_ws("-", base, partition.cast("string")) if partition is not None else base
 
 
-def lay_out(df: DataFrame, count: int) -> DataFrame:
-    """Put each assigned partition into the task of the same number, e.g. before writing files."""
-    return df.repartitionById(count, F.col("partition"))
+def lay_out(df: DataFrame, count: int, tasks: int = 16) -> DataFrame:
+    """Bring the rows of each of `count` assigned partitions together, e.g. before writing files with `partitionBy`.
+
+    A partition is dealt over `tasks` tasks by offset, so that few or uneven partitions are no few tasks' work; no task
+    gets rows of two."""
+    part = F.pmod(F.xxhash64("offset"), F.lit(tasks)).cast("int")
+    return df.repartitionById(count * tasks, F.col("partition") * tasks + part)

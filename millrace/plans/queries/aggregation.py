@@ -32,11 +32,17 @@ def agg_reduce(spark, sf):
         greatest=F.max(v).cast("double"), any_error=F.bool_or(header(EVENT_TYPE) == "error"))
 
 
-@query("agg_reduce_custom", f"""WITH {LOG} SELECT event_type AS key, string_agg(key, '>' ORDER BY ts, "offset") AS visitors FROM log GROUP BY ALL""")
+@query("agg_reduce_custom", f"""WITH {LOG} SELECT event_type AS key,
+  list_reduce(list(CAST(key AS BIGINT) ORDER BY ts, "offset"), lambda h, visitor: (h * 31 + visitor) % 1000000007) AS digest FROM log GROUP BY ALL""")
 def agg_reduce_custom(spark, sf):
-    log = event_log(spark, sf).select(header(EVENT_TYPE).alias("key"), F.col("key").alias("visitors"), "timestamp", "offset")
-    return aggregates.fold(log, ["key"], "visitors", [F.col("timestamp"), F.col("offset")],
-                           lambda a, b: F.concat(a, F.lit(">"), b), slice_by=hour(), page_size=64)
+    """A digest of each type's visitors in order: maps x -> factor * x + add, composed, which need only two numbers."""
+    prime = 1_000_000_007
+    visitor = F.struct(F.lit(31).cast("bigint").alias("factor"), F.col("key").cast("bigint").alias("add"))
+    log = event_log(spark, sf).select(header(EVENT_TYPE).alias("key"), visitor.alias("digest"), "timestamp", "offset")
+    then = lambda a, b: F.struct((a["factor"] * b["factor"] % prime).alias("factor"),
+                                 ((a["add"] * b["factor"] + b["add"]) % prime).alias("add"))
+    folded = aggregates.fold(log, ["key"], "digest", [F.col("timestamp"), F.col("offset")], then, slice_by=hour(), page_size=64)
+    return folded.select("key", F.col("digest.add").alias("digest"))
 
 
 @query("agg_collect", f"""WITH {LOG},

@@ -64,13 +64,10 @@ def part_resize(spark, sf):
     return event_log(spark, sf).select("offset", before.cast("bigint").alias("before"), after.cast("bigint").alias("after"))
 
 
-@query("part_stream", """SELECT "partition", count(*) AS rows, min(task) AS task, max(task) AS last_task FROM (
-    SELECT CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS BIGINT) AS "partition",
-      CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS BIGINT) AS task FROM events) GROUP BY ALL""")
+@query("part_stream", """SELECT event_id AS "offset", CAST(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS BIGINT) AS "partition" FROM events""")
 def part_stream(spark, sf):
     chosen = event_log(spark, sf).withColumn("partition", F.when(header(EVENT_TYPE) == "click", 0).otherwise(1))
-    laid_out = lay_out(chosen, 2).withColumn("task", F.spark_partition_id().cast("bigint"))
-    return laid_out.groupBy(_int("partition")).agg(F.count(F.lit(1)).alias("rows"), F.min("task").alias("task"), F.max("task").alias("last_task"))
+    return lay_out(chosen, 2).select("offset", _int("partition"))
 
 
 @query("part_multi_out", f"""WITH {LOG} SELECT "offset", CAST(CASE WHEN k < 30 THEN 0 ELSE 1 END AS BIGINT) AS branch,

@@ -94,7 +94,8 @@ def run_functions(
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep operator state on executors' disks instead of in their memory."""
+    """Keep operator state on executors' disks instead of in their memory. This sets the session's state store provider
+    for all later queries; `build_session` can be given the same setting at the start."""
     spark.conf.set(STATE_STORE, ROCKSDB)
     spark.streams  # creates the state store coordinator, which a batch query needs as well
 
