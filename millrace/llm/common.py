@@ -82,9 +82,11 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
-def text_bytes(column: pa.Array) -> list[bytes | None]:
-    """UTF-8 of a text column."""
-    return column.cast(pa.large_binary()).to_pylist() if pa.types.is_large_string(column.type) else column.cast(pa.binary()).to_pylist()
+def text_bytes(column: pa.Array, at_once: int = 200) -> Iterator[bytes | None]:
+    """The values of a text or binary column as bytes, of which few are held at a time."""
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else pa.binary()
+    for i in range(0, len(column), at_once):
+        yield from column.slice(i, at_once).cast(kind).to_pylist()
 
 
 def batch_of(schema: Sequence[tuple[str, pa.DataType]], columns: Sequence) -> pa.RecordBatch:

@@ -16,7 +16,7 @@ Exact copies of a whole text need none of this and are found first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ WINDOW_WORDS = 20
 ROUNDS, SYMBOL_WORDS = 4, 8
 
 # Words that are renamed at once.
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 200_000
 
 # Sorts documents without an id last.
 NO_ID = (1 << 63) - 1
@@ -132,7 +132,7 @@ class Passages:
         return (np.cumsum(edges[:-1]) > 0) & self.windows(window)
 
 
-def _chunks(texts: Sequence[bytes | None], window: int) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+def _chunks(texts: Iterable[bytes | None], window: int) -> Iterator[tuple[list[int], list[list[bytes]]]]:
     """Rows and words of the texts that have a window, about CHUNK_WORDS words at a time."""
     rows, documents, total = [], [], 0
     for n, text in enumerate(texts):
@@ -149,7 +149,7 @@ def _chunks(texts: Sequence[bytes | None], window: int) -> Iterator[tuple[list[i
         yield rows, documents
 
 
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 250_000
 
 
 def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
@@ -255,9 +255,9 @@ def _compressed(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _plain(column: pa.Array) -> list[bytes | None]:
+def _plain(column: pa.Array) -> Iterator[bytes | None]:
     decompress = zstandard.ZstdDecompressor().decompress
-    return [None if t is None else decompress(t) for t in column.to_pylist()]
+    return (None if t is None else decompress(t) for t in text_bytes(column))
 
 
 def kept_words(words: Sequence[bytes], begins: Sequence[int], window: int) -> np.ndarray:
@@ -303,8 +303,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     cut = texts.join(outcome, ["_order", "_content"], "left").select(*every, "_begins", "_copy")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, copied = _plain(batch.column(text)), batch.column("_copy").to_pylist()
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+            texts, copied = list(_plain(batch.column(text))), batch.column("_copy").to_pylist()
             begins = batch.column("_begins")
             counts, gone, left = [], [], []
             for n, (data, copy) in enumerate(zip(texts, copied)):

@@ -29,7 +29,10 @@ from millrace.session import working_path
 END_ID = 0
 
 # Different pieces whose ids a worker remembers; bytes of text that are cut into pieces at once.
-CACHE_PIECES, CUT_BYTES = 1_500_000, 1 << 20
+CACHE_PIECES, CUT_BYTES = 1_000_000, 1 << 20
+
+# New pieces are kept in a dictionary until there are so many, and then sorted in among the others.
+_RECENT = 50_000
 
 # Documents that one task writes, about.
 DOCS_PER_FILE = 200_000
@@ -88,8 +91,9 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.begins, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        # Hashes in ascending order and where their ids are; a dictionary would take ten times the memory.
+        self.hashes, self.rows, self.recent, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int32), {}, 0
+        self.begins, self.sizes = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
@@ -128,26 +132,44 @@ class Encoder:
         starts = piece_starts(data, texts[:-1])
         ends = np.append(starts[1:], len(data))
         kinds, first, which = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_PIECES:
+        if self.count > CACHE_PIECES:
             self._forget()
-        places = [self.known.get(h, -1) for h in kinds.tolist()]
-        new = [n for n, p in enumerate(places) if p < 0]
-        if new:
-            pieces = [joined[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+        places = self._find(kinds)
+        new = np.flatnonzero(places < 0)
+        for i in range(0, len(new), 10_000):
+            some = new[i : i + 10_000]
+            pieces = [joined[a:b].decode() for a, b in zip(starts[first[some]].tolist(), ends[first[some]].tolist())]
             found = [f.ids for f in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            place = len(self.known)
-            self._keep(found, place)
-            for k, (n, h) in enumerate(zip(new, kinds[new].tolist())):
-                places[n] = self.known[h] = place + k
-        rows = np.array(places, np.int64)[which]
-        begins, sizes = self.begins[rows], self.sizes[rows]
+            places[some] = np.arange(self.count, self.count + len(some))
+            self._keep(found)
+            self.recent.update(zip(kinds[some].tolist(), places[some].tolist()))
+        rows = places[which]
+        begins, sizes = self.begins[rows].astype(np.int64), self.sizes[rows].astype(np.int64)
         upto = np.cumsum(sizes)
         ids = self.ids[np.repeat(begins - upto + sizes, sizes) + np.arange(upto[-1])]
         cuts = np.append(upto - sizes, upto[-1])[np.searchsorted(starts, texts)]
         for n, a, b in zip(at, cuts[:-1].tolist(), cuts[1:].tolist()):
             out[n] = ids[a:b]
 
-    def _keep(self, found: list[list[int]], place: int) -> None:
+    def _find(self, kinds: np.ndarray) -> np.ndarray:
+        """Place of each of these hashes (ascending), -1 for new ones."""
+        if len(self.recent) > _RECENT:
+            hashes = np.concatenate([self.hashes, np.fromiter(self.recent.keys(), np.uint64, len(self.recent))])
+            rows = np.concatenate([self.rows, np.fromiter(self.recent.values(), np.int32, len(self.recent))])
+            order = np.argsort(hashes, kind="stable")
+            self.hashes, self.rows, self.recent = hashes[order], rows[order], {}
+        places = np.full(len(kinds), -1, np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, kinds), len(self.hashes) - 1)
+            same = self.hashes[at] == kinds
+            places[same] = self.rows[at[same]]
+        left = np.flatnonzero(places < 0)
+        places[left] = [self.recent.get(h, -1) for h in kinds[left].tolist()]
+        return places
+
+    def _keep(self, found: list[list[int]]) -> None:
+        place = self.count
+        self.count += len(found)
         flat = np.fromiter(chain.from_iterable(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         while len(self.begins) < place + len(found):
