@@ -86,7 +86,8 @@ class SumIndex:
 
 def plan_sequences(counts: np.ndarray) -> list[tuple[list[int], int]]:
     """Patterns (lengths in one sequence) and how often each is used, for counts[length] pieces of each length up to the
-    capacity, len(counts) - 1. Every pattern uses up a length, so there are no more patterns than lengths."""
+    capacity, len(counts) - 1. A pattern is used until it takes more of some length than is left, so there are few times as
+    many patterns as lengths at most, however many pieces there are."""
     counts = counts.copy()
     index, capacity, plan = SumIndex(counts), len(counts) - 1, []
     while True:

@@ -76,7 +76,8 @@ def _key(tag: int, rest: Column) -> Column:
 
 def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs a, b of the different fingerprints (column bits) that differ in 1 to `max_bits` (at most 4) bits. A pair
-    can come out more than once."""
+    can come out more than once. Pairs of equal fingerprints, and pairs beyond `max_bits`, never leave the join, whose
+    hot keys adaptive execution splits; of different fingerprints that are all within reach of each other, every pair does."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the segments find differences of at most {MAX_BITS} bits")
     left = distinct.select(F.col("bits").alias("a"), F.explode(_variants(F.col("bits"), 0)).alias("key"))
