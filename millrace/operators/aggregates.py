@@ -90,7 +90,8 @@ def collect(
         df = df.select(*group, value).distinct()
         order, slice_by = [F.col(value)], None
     elif kind == "priority_queue":
-        order, slice_by = [F.col(value), *order], None
+        # A struct, so that null values are a slice like any other.
+        order, slice_by = [F.col(value), *order], F.struct(F.col(value))
     paged = pages(df, group, order, page_size, slice_by)
     items = F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col(value).alias("v")))), lambda s: s["v"])
     return paged.groupBy(*group, "page").agg(items.alias("items"))

@@ -8,6 +8,7 @@ from millrace.envelope import EVENT_TYPE, epoch_ms, header
 from millrace.operators import aggregates, routing, rows, windows
 from millrace.plans.base import LOG, event_log, hour, query, table, word_time
 from millrace.plans.queries.rowwise import WORDS_SQL
+from millrace.session import stored
 
 
 def amount():
@@ -55,6 +56,8 @@ def agg_reduce_custom(spark, sf):
 def agg_collect(spark, sf):
     log = event_log(spark, sf).withColumn("kind", header(EVENT_TYPE))
     log = log.withColumn("item", F.col("offset").cast("string"))
+    # What the collections are made of, read from the log once.
+    log = stored(log.select("key", "kind", "item", "timestamp", "offset"), "events")
     order = [F.col("timestamp"), F.col("offset")]
     lists = aggregates.collect(log, ["key"], "item", order, "list", 20, hour())
     sets = aggregates.collect(log, ["key"], "kind", order, "set", 20)
