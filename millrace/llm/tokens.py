@@ -40,6 +40,8 @@ DOCS_PER_FILE = 200_000
 # Texts with other white space than ASCII's, or with separators that only some count as white space, are not cut.
 _WHOLE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
+_CUT = re.compile(rb"[^\t-\r ][\t-\r ]")
+
 # Kinds of bytes.
 _SPACE, _LETTER, _MARK = 1, 2, 4
 _KINDS = np.zeros(256, np.uint8)
@@ -70,6 +72,15 @@ def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A very long text in parts of about CUT_BYTES, cut before white space."""
+    at = 0
+    while len(text) - at > CUT_BYTES and (cut := _CUT.search(text, at + CUT_BYTES)):
+        yield text[at : cut.end() - 1]
+        at = cut.end() - 1
+    yield text[at:] if at else text
+
+
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer file of the tokenizers library.
 
@@ -98,23 +109,24 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text, without special tokens added; a null text has none."""
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        out: list[list[np.ndarray]] = [[] for _ in texts]
         at, group, size = [], [], 0
         for n, text in enumerate(texts):
             if not text:
                 continue
             if _WHOLE.search(text) or any(s in text for s in self.special):
-                out[n] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                out[n].append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
-            at.append(n)
-            group.append(text.encode())
-            size += len(group[-1])
-            if size >= CUT_BYTES:
-                self._encode(group, at, out)
-                at, group, size = [], [], 0
+            for part in _parts(text.encode()):
+                at.append(n)
+                group.append(part)
+                size += len(part)
+                if size >= CUT_BYTES:
+                    self._encode(group, at, out)
+                    at, group, size = [], [], 0
         if group:
             self._encode(group, at, out)
-        return out
+        return [p[0] if len(p) == 1 else np.concatenate([np.zeros(0, np.uint32), *p]) for p in out]
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(data) + 1
@@ -125,7 +137,7 @@ class Encoder:
         np.cumsum(self.byte_values[data] * self.powers[: n - 1], out=sums[1:])
         return (sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64)
 
-    def _encode(self, group: list[bytes], at: list[int], out: list[np.ndarray]) -> None:
+    def _encode(self, group: list[bytes], at: list[int], out: list[list[np.ndarray]]) -> None:
         joined = b"".join(group)
         data = np.frombuffer(joined, np.uint8)
         texts = np.cumsum([0] + [len(t) for t in group])
@@ -149,7 +161,7 @@ class Encoder:
         ids = self.ids[np.repeat(begins - upto + sizes, sizes) + np.arange(upto[-1])]
         cuts = np.append(upto - sizes, upto[-1])[np.searchsorted(starts, texts)]
         for n, a, b in zip(at, cuts[:-1].tolist(), cuts[1:].tolist()):
-            out[n] = ids[a:b]
+            out[n].append(ids[a:b])
 
     def _find(self, kinds: np.ndarray) -> np.ndarray:
         """Place of each of these hashes (ascending), -1 for new ones."""
