@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -82,6 +84,25 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+def releasing(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The same function over batches; at its end the worker, which stays for later tasks, gives freed memory back to
+    the machine instead of keeping it for itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            del batches
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library, which has no such call
+                pass
+
+    return run
+
+
 def text_bytes(column: pa.Array, at_once: int = 200) -> Iterator[bytes | None]:
     """The values of a text or binary column as bytes, of which few are held at a time."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else pa.binary()

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, with_fields
+from millrace.llm.common import batch_of, releasing, with_fields
 
 # Bounds of the training sample of one language: documents, code points of each, and bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 64_000
@@ -112,4 +112,4 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
             more = batch_of(added, [langs, scores, [s < floor or l == UNKNOWN for l, s in found]])
             yield pa.RecordBatch.from_arrays([*batch.columns, *more.columns], names=[*kept, *(n for n, _ in added)])
 
-    return plain.mapInArrow(run, with_fields(plain.schema, "lang_pred string, score double, rejected boolean"))
+    return plain.mapInArrow(releasing(run), with_fields(plain.schema, "lang_pred string, score double, rejected boolean"))

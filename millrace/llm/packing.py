@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of
+from millrace.llm.common import batch_of, releasing
 from millrace.llm.tokens import encoded
 from millrace.session import stored
 
@@ -149,7 +149,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text:
                                                  names=["doc_id", *(n for n, _ in fields)])
 
     return plain.mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _part int, _rank bigint")
+        releasing(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _part int, _rank bigint")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -185,5 +185,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text: str =
                                              names=[*kept, "sequence_id", "offset"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return ranked.mapInArrow(settle, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
+    return ranked.mapInArrow(releasing(settle), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
                                      "sequence_id bigint, offset bigint")

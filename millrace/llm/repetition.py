@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, text_bytes, with_fields
+from millrace.llm.common import batch_of, releasing, text_bytes, with_fields
 
 # Base rules: least words, and most percent of words in 3-word windows that occur twice or more.
 MIN_WORDS, BASE_WINDOW, MAX_REPEAT_PERCENT = 50, 3, 50
@@ -115,7 +115,7 @@ def judge(
             more = batch_of(added, [[f[c] for f in found] for c in counts])
             yield pa.RecordBatch.from_arrays([*batch.columns, *more.columns], names=[*kept, *counts])
 
-    measured = plain.mapInArrow(run, with_fields(plain.schema, ", ".join(f"{c} bigint" for c in counts)))
+    measured = plain.mapInArrow(releasing(run), with_fields(plain.schema, ", ".join(f"{c} bigint" for c in counts)))
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     good = F.col("dup_line_chars") * 100 <= F.col("word_chars") * line_percent
     for k, percent in limits.items():

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, text_bytes
+from millrace.llm.common import batch_of, releasing, text_bytes
 from millrace.llm.components import components
 from millrace.session import stored
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                                              names=["doc_id", "text_hash", "bits"])
 
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, text_hash bigint, bits bigint")
+    return plain.mapInArrow(releasing(run), f"doc_id {kind}, text_hash bigint, bits bigint")
 
 
 def _variants(bits: Column, with_bit: int) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import batch_of, text_bytes, with_fields
+from millrace.llm.common import batch_of, releasing, text_bytes, with_fields
 from millrace.session import stored
 
 WINDOW_WORDS = 20
@@ -185,7 +185,7 @@ def _repeated_contexts(docs: DataFrame, window: int) -> DataFrame:
                 yield batch_of(fields, [np.append(key, own), np.append(content, own), place * 2 + sure])
 
     # Narrow rows for the exchange; whether a context is sure to be repeated is the last bit of its place.
-    named = docs.select("_content", "text").mapInArrow(name, "key bigint, content bigint, packed bigint").repartition("key")
+    named = docs.select("_content", "text").mapInArrow(releasing(name), "key bigint, content bigint, packed bigint").repartition("key")
     named = named.select("key", "content", F.shiftright("packed", 1).alias("place"), (F.col("packed") % 2 != 0).alias("sure"))
     # Copies of a content name the same places.
     once = named.groupBy("key", "content", "place").agg(F.max("sure").alias("sure"))
@@ -234,7 +234,7 @@ def _candidate_windows(joined: DataFrame, text: str, window: int) -> DataFrame:
                 yield batch_of(fields, [key.view(np.int64)[keep], packed[keep], order[keep], content[keep]])
 
     # Narrow rows for the exchange: a second hash, the first word, and whether the window is a repeat for certain.
-    found = joined.mapInArrow(emit, "key bigint, packed bigint, _order bigint, _content bigint").repartition("key")
+    found = joined.mapInArrow(releasing(emit), "key bigint, packed bigint, _order bigint, _content bigint").repartition("key")
     return found.select("key", "_order", "_content", F.shiftright("packed", 32).cast("int").alias("tail"),
                         F.shiftright("packed", 1).bitwiseAND((1 << 31) - 1).cast("int").alias("begin"),
                         (F.col("packed") % 2 != 0).alias("later"))
@@ -252,7 +252,7 @@ def _compressed(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([small if n == text else batch.column(n) for n in batch.schema.names],
                                              names=batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def _plain(column: pa.Array) -> Iterator[bytes | None]:
@@ -325,7 +325,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*same, *more], names=[*kept, *added])
 
     schema = with_fields(keyed.select(*every[:-2]).schema, "n_words bigint, n_removed bigint, kept_text string")
-    return cut.mapInArrow(apply, schema)
+    return cut.mapInArrow(releasing(apply), schema)
 
 
 def joined_words(text: Column) -> Column:

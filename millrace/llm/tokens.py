@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import batch_of, range_tasks, worker_state
+from millrace.llm.common import batch_of, range_tasks, releasing, worker_state
 from millrace.session import working_path
 
 END_ID = 0
@@ -262,7 +262,7 @@ def write_tokens(
                            [[context.partitionId()], [name], [count], [tokens]])
 
     # One row for each file.
-    files = sorted(tuple(r) for r in ordered.mapInArrow(write, _SUMMARY).collect())
+    files = sorted(tuple(r) for r in ordered.mapInArrow(releasing(write), _SUMMARY).collect())
     bases = np.cumsum([0] + [f[3] for f in files]).tolist()
     manifest = {"dtype": dtype, "end_id": END_ID, "tokenizer": os.path.basename(tokenizer), "tokens": bases[-1],
                 "files": [{"name": f[1], "docs": f[2], "tokens": f[3], "base": base} for f, base in zip(files, bases)]}
@@ -316,7 +316,7 @@ def read_tokens(spark: SparkSession, path: str, docs_per_task: int = 20_000, wit
                     yield batch_of(fields, columns + ([[x.tolist() for x in own]] if with_ids else []))
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
-    return work.mapInArrow(read, T.StructType.fromDDL(schema))
+    return work.mapInArrow(releasing(read), T.StructType.fromDDL(schema))
 
 
 def token_table(docs: DataFrame, tokenizer: str, dtype: str = "uint16", **names: str) -> DataFrame:
