@@ -29,7 +29,7 @@ from millrace.session import working_path
 END_ID = 0
 
 # Different pieces whose ids a worker remembers; bytes of text that are cut into pieces at once.
-CACHE_PIECES, CUT_BYTES = 1_000_000, 1 << 20
+CACHE_PIECES, CUT_BYTES = 500_000, 1 << 19
 
 # New pieces are kept in a dictionary until there are so many, and then sorted in among the others.
 _RECENT = 50_000
@@ -202,7 +202,7 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
-def encoded(texts: pa.Array, tokenizer: str, at_once: int = 512) -> Iterator[np.ndarray]:
+def encoded(texts: pa.Array, tokenizer: str, at_once: int = 128) -> Iterator[np.ndarray]:
     """Ids of each text of a column, a few texts at a time, with the end id."""
     for i in range(0, len(texts), at_once):
         for ids in encoder(tokenizer).encode(texts[i : i + at_once].to_pylist()):
