@@ -42,24 +42,38 @@ def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, bytes]:
     """A dictionary for each language, out of a bounded sample: the SAMPLE_DOCS labelled documents with the smallest
-    hash of their id, SAMPLE_CHARS code points of each, DICTIONARY_BYTES in all. Batch; runs two jobs.
+    hash of their id, SAMPLE_CHARS code points of each, DICTIONARY_BYTES in all. Batch; runs two jobs, and up to two
+    more for languages whose ids are null or repeated, so that too few different hashes are found: there the hash
+    takes in the text, and at last every row is looked at.
 
     Rows with a null text or label teach nothing; without any, there is no language. The driver holds the sample."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    key = F.xxhash64(F.col(doc_id), F.lit("sample")).bitwiseAND((1 << 62) - 1)
     counts = {r[lang]: r["n"] for r in known.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}
     # About twice the wanted number pass by their key alone; the exact choice is made among those.
     bounds = {l: int((1 << 62) * min(1.0, (2 * SAMPLE_DOCS + 100) / n)) for l, n in counts.items()}
     bound = F.create_map(*[F.lit(x) for l, b in bounds.items() for x in (l, b)])
-    near = known.where(key <= F.try_element_at(bound, F.col(lang))).select(
-        F.col(lang).alias("lang"), key.alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"))
-    order = Window.partitionBy("lang").orderBy("key", "text")
-    sample = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
     texts: dict[str, list[str]] = {}
-    for row in sorted(sample.select("lang", "n", "text").collect()):
-        texts.setdefault(row["lang"], []).append(row["text"])
+    wanted = sorted(counts)
+    for hashed, bounded in (([doc_id], True), ([doc_id, text], True), ([doc_id, text], False)):
+        key = F.xxhash64(*hashed, F.lit("sample")).bitwiseAND((1 << 62) - 1)
+        near = known if len(wanted) == len(counts) else known.where(F.col(lang).isin(wanted))
+        near = near.where(key <= F.try_element_at(bound, F.col(lang))) if bounded else near
+        near = near.select(F.col(lang).alias("lang"), key.alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"))
+        # Each task hands on no more than SAMPLE_DOCS rows of a language.
+        order = Window.partitionBy("lang").orderBy("key", "text")
+        sample = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+        found: dict[str, list[str]] = {}
+        keys: dict[str, set[int]] = {}
+        for row in sorted(sample.select("lang", "n", "key", "text").collect()):
+            found.setdefault(row["lang"], []).append(row["text"])
+            keys.setdefault(row["lang"], set()).add(row["key"])
+        texts.update(found)
+        # A language of no more than SAMPLE_DOCS rows is taken whole.
+        wanted = [l for l in wanted if len(keys.get(l, ())) < SAMPLE_DOCS < counts[l]]
+        if not wanted:
+            break
     return {l: "\n".join(t).lower().encode()[:DICTIONARY_BYTES] for l, t in texts.items()}
 
 

@@ -163,6 +163,18 @@ def test_language_odd_rows(odd, empty, docs):
     assert all(len(v) <= language.DICTIONARY_BYTES for v in known.values())
 
 
+def test_language_sample_of_shared_ids(spark):
+    text = F.concat_ws(" ", F.lit("words"), F.col("id"))
+    many = spark.range(8000).withColumns({"text": text, "source": F.lit("s")})
+    hot = many.select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit("null").alias("lang"))
+    for i in (1, 2, 3, 4):
+        hot = hot.unionByName(many.select(F.lit(i).cast("bigint").alias("doc_id"), "text", F.lit(f"hot {i}").alias("lang")))
+    same = many.select(F.lit(6).cast("bigint").alias("doc_id"), F.lit("all the same").alias("text"), F.lit("same").alias("lang"))
+    known = language.learn(hot.unionByName(same))
+    assert set(known) == {"null", "hot 1", "hot 2", "hot 3", "hot 4", "same"}
+    assert all(len(set(v.split(b"\n"))) == (1 if l == "same" else 400) for l, v in known.items())
+
+
 # --- simhash and components
 
 def test_components_by_hand(spark):
