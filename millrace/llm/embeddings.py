@@ -9,7 +9,8 @@ is checked with the whole vectors in double precision.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,29 @@ def tile_links(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float,
                     yield p[near], q[near]
 
 
+def partner_spans(edges: Sequence[tuple[int, int, float, float]], reach: float) -> list[tuple[int, int, int]]:
+    """block, and the first and last block it is compared with, out of (dims, block, low, high): where a block's
+    vectors of these dimensions begin and end along the first axis.
+
+    Blocks follow the dimensions first and the axis next, so a block shares only its greatest dimensions with later
+    ones, and those of them that begin within `reach` of its end are consecutive. The last partner never falls from
+    block to block, so the earlier partners of a block are consecutive too."""
+    edges = sorted(edges)
+    dims = {d: [e for e in edges if e[0] == d] for d in {e[0] for e in edges}}
+    greatest = {block: (d, high) for d, block, _, high in edges}
+    last = []
+    for block in sorted(greatest):
+        d, high = greatest[block]
+        n = bisect_right(dims[d], high + reach, key=lambda e: e[2])
+        last.append((block, max(block, dims[d][n - 1][1])))
+    spans, first = [], 0
+    for block, most in last:
+        while last[first][1] < block:
+            first += 1
+        spans.append((block, last[first][0], most))
+    return spans
+
+
 def near_duplicates(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95,
     block_rows: int = BLOCK_ROWS,
@@ -147,17 +171,13 @@ def near_duplicates(
 
     # Unit vectors with this cosine are no farther apart than this, along any axis.
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    edges = ordered.groupBy("block").agg(
-        F.min("along").alias("low"), F.max("along").alias("high"), F.min("dims").alias("least"), F.max("dims").alias("most"))
-    # One row for each block of `block_rows` vectors.
-    edges = sorted(edges.collect())
-    partners = []
-    for n, (block, low, high, least, most) in enumerate(edges):
-        # Blocks follow the dimensions first; a block that holds several is compared with all that share one.
-        after = [o[0] for o in edges[n:] if o[3] <= most and (least < most or o[3] < o[4] or o[1] - high <= reach)]
-        partners += [(block, block, o) for o in after] + [(o, block, o) for o in after if o != block]
-    pairs = spark.createDataFrame(partners, "block int, first int, second int")
-    dealt = ordered.join(pairs, "block").select("first", "second", "block", "class", "copies", "dims", "vector")
+    edges = ordered.groupBy("dims", "block").agg(F.min("along").alias("low"), F.max("along").alias("high"))
+    # One row for each block of `block_rows` vectors, and one more wherever the dimensions change inside a block.
+    spans = partner_spans([tuple(r) for r in edges.collect()], reach)
+    spans = spark.createDataFrame(spans, "block int, least int, most int")
+    dealt = ordered.join(spans, "block").withColumn("partner", F.explode(F.sequence("least", "most")))
+    dealt = dealt.select(F.least("block", "partner").alias("first"), F.greatest("block", "partner").alias("second"),
+                         "block", "class", "copies", "dims", "vector")
 
     def compare(group: pa.Table) -> pa.Table:
         first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()

@@ -398,6 +398,29 @@ def test_embeddings_of_the_table(spark):
     assert got == {i: int(n) - 1 for (i, _), n in zip(rows, (x @ x.T >= 0.95).sum(axis=1))}
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_partner_spans_lose_no_pair(seed):
+    rng = np.random.default_rng(seed)
+    rows = sorted((int(d), float(x)) for d, x in zip(rng.choice([2, 3, 3, 3, 7], 400), rng.normal(size=400)))
+    edges = {}
+    for n, (d, x) in enumerate(rows):
+        edges.setdefault((d, n // 10), []).append(x)
+    spans = embeddings.partner_spans([(d, b, min(v), max(v)) for (d, b), v in edges.items()], 0.05)
+    assert [b for b, _, _ in spans] == list(range(40))
+    met = {(b, p) for b, least, most in spans for p in range(least, most + 1)}
+    assert met == {(p, b) for b, p in met} and len(met) < 1600
+    assert {(m // 10, n // 10) for m, (d, x) in enumerate(rows) for n, (e, y) in enumerate(rows) if d == e and abs(x - y) <= 0.05} <= met
+
+
+def test_driver_holds_a_row_for_each_block(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 40)))], "vec_id bigint, embedding array<double>")
+    made, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: made.append(len(data)) or make(self, data, *a, **k))
+    assert len(embeddings.near_duplicates(table, threshold=0.5, block_rows=10).collect()) == 300
+    assert made and max(made) <= 30
+
+
 # --- substrings
 
 def slow_cut(rows, window=20):
