@@ -36,7 +36,8 @@ def apply_policy(
     """Split rows by their error column; the binding's policy beats the default one.
 
     Tombstones carry no error, so they are always good. Rows that are logged or skipped are dropped; an observation
-    given as `dropped` counts them as `dropped`, and for the log policy holds up to ten different errors as `errors`."""
+    given as `dropped` counts them as `dropped`, and for the log policy holds the least and the greatest error as
+    `errors` (one if they are equal, none without bad rows), whatever the number of different errors."""
     policy = binding or default
     ok = F.col(error).isNull()
     if policy == FAIL:
@@ -47,7 +48,7 @@ def apply_policy(
     if policy != DLQ and dropped is not None:
         counted = [F.count_if(~ok).alias("dropped")]
         if policy == LOG:
-            counted.append(F.slice(F.array_sort(F.collect_set(error)), 1, 10).alias("errors"))
+            counted.append(F.array_distinct(F.array_compact(F.array(F.min(error), F.max(error)))).alias("errors"))
         df = df.observe(dropped, *counted)
     return Split(df.filter(ok).drop(error), df.filter(~ok) if policy == DLQ else None)
 

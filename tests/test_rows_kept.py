@@ -89,6 +89,15 @@ def test_dropped_rows_are_counted(log):
         assert seen.get["dropped"] == 1 and (policy == errors.SKIP or seen.get["errors"] == ["E"])
 
 
+def test_observed_errors_are_bounded(spark):
+    rows = spark.range(1000).withColumn("value", F.lit("v"))
+    for first, errs in ((100, ["row 0100", "row 0999"]), (999, ["row 0999"]), (1000, [])):
+        seen = Observation()
+        bad = rows.withColumn("error", F.when(F.col("id") >= first, F.format_string("row %04d", "id")))
+        assert errors.apply_policy(bad, errors.LOG, dropped=seen).good.count() == first
+        assert seen.get == {"dropped": 1000 - first, "errors": errs}
+
+
 def test_embedded_headers_that_do_not_fit():
     with pytest.raises(ValueError, match="255"):
         embedded.embed_headers(F.lit(b""), F.col("headers"), ["n" * 300])
