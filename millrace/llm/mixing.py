@@ -77,10 +77,11 @@ def mix(
 ) -> DataFrame:
     """Add size, source_size, target and repeats (how often the mix takes the document) to `docs`. Batch; runs jobs.
 
-    repeats is floor(target / source_size) or one more, never above `max_epochs` rounded up. The words taken of a
-    source are within half of one document's size of its target. Null sources are a source of their own; null sizes
-    count as 0; documents with one doc_id (null included) share their place in the random order, so they are taken
-    alike; an empty table stays empty. Columns of the added names are replaced. The result depends on the rows alone,
+    repeats is floor(target / source_size) or one more, never above `max_epochs` rounded up. Documents of a source with
+    one doc_id (null included) share their place in the random order, as in the query's SQL, so they are taken alike.
+    The words taken of a source are within half the size of one such place of its target: half of one document where
+    ids are distinct, half of the block of rows where many share an id. Null sources are a source of their own; null
+    sizes count as 0; an empty table stays empty. Columns of the added names are replaced. The result depends on the rows alone,
     not on their order or partitions."""
     size = F.coalesce(size, F.lit(0)).cast("bigint")
     rows = stored(docs.select(F.col(source).alias("source"), size.alias("size"), order_key(F.col(doc_id), seed).alias("key")), "sized")
