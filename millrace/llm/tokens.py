@@ -37,6 +37,9 @@ _RECENT = 50_000
 # Documents that one task writes, about.
 DOCS_PER_FILE = 200_000
 
+# Code points of a text that, after doc_id, decide its range; the driver samples so much of some texts.
+RANGE_CHARS = 500
+
 # Texts with other white space than ASCII's, or with separators that only some count as white space, are not cut.
 _WHOLE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -231,7 +234,8 @@ def write_tokens(
     spark = docs.sparkSession
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     tasks = range_tasks(spark, docs.select(doc_id).count(), DOCS_PER_FILE)
-    ordered = plain.repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Documents that share an id (or have none) are parted by their texts, in the same order as they are sorted.
+    ordered = plain.repartitionByRange(tasks, "doc_id", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
     root = path.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

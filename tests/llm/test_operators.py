@@ -286,6 +286,15 @@ def test_token_files_odd_rows(spark, odd, empty, tmp_path):
     assert manifest["files"] == [] and tokens.read_tokens(spark, str(tmp_path / "empty")).collect() == []
 
 
+def test_token_files_of_one_id(spark, tmp_path):
+    texts = [f"text {i * 7919 % 1000:04d}" for i in range(1000)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string").repartition(4)
+    manifest = tokens.write_tokens(docs, str(tmp_path / "one"), queries.tokenizer_path())
+    assert sum(f["docs"] for f in manifest["files"]) == 1000 and max(f["docs"] for f in manifest["files"]) < 500
+    got = tokens.read_tokens(spark, str(tmp_path / "one"), with_ids=True).orderBy("start").collect()
+    assert [r["ids"] for r in got] == slow_ids(sorted(texts))
+
+
 def check_packing(got, ids, capacity):
     sequences = defaultdict(list)
     for r in got:
