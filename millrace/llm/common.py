@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import stored
+from millrace.session import stored, working_path
 
 # Words are runs of anything but ASCII white space, as `bytes.split()` cuts them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -76,6 +76,46 @@ def running_total(
     return joined.withColumn(name, F.col("_base") + F.col("_upto")).drop("_weight", "_part", "_upto", "_base")
 
 
+def unused(columns: Sequence[str], *names: str) -> list[str]:
+    """The names, each with underscores put in front until no column has it, upper and lower case taken alike."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of a frame but those of these names, upper and lower case taken alike."""
+    return [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
+
+
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and spaces included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+    """Write a frame as a table under the shared root, cut into buckets by a hash of `keys` and sorted by them inside
+    each, and read it back: tables of as many buckets are joined by the keys without an exchange. Nothing stays in
+    the catalog."""
+    spark, path = df.sparkSession, working_path(df.sparkSession, name)
+    known = path.rpartition("/")[2].replace("-", "_")
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(known)
+    table = spark.table(known)
+    spark.sql(f"DROP TABLE {known}")
+    return table
+
+
+def stored_by(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    """As `stored`, with a folder for each value of the columns, so that a filter on them reads its rows only."""
+    path = working_path(df.sparkSession, name)
+    df.write.partitionBy(*columns).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def worker_state(name: str, make: Callable[[], object]) -> object:
     """A value kept by a Python worker across tasks (a loaded tokenizer, a cache)."""
     held = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker"))

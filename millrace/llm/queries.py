@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, language, mixing, packing, repetition, sharding, simhash, substrings, tokens, urls
+from millrace.llm import embeddings, language, lines, mixing, packing, repetition, sharding, simhash, substrings, tokens, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,4 +162,22 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op8_substrings, op9_urls, op10_shards)})
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_WHITE = " || ".join(f"chr({ord(c)})" for c in lines.WHITE)
+
+SQL["op11_lines"] = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS r FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+v AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {lines.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+m AS (SELECT r, doc_id, i, line, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN v USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY r, doc_id"""
+
+
+QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op8_substrings, op9_urls, op10_shards,
+                                    op11_lines)})
