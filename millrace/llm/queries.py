@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import embeddings, language, lines, mixing, packing, repetition, sharding, simhash, substrings, tokens, urls
+from millrace.llm import centroids, embeddings, language, lines, mixing, packing, repetition, search, sharding, simhash, substrings, tokens, urls
 from millrace.llm.common import word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,5 +179,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY r, doc_id"""
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _terms(column: str) -> str:
+    return f"""regexp_extract_all(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+
+SQL["op12_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS terms FROM documents),
+c AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL),
+q AS (SELECT q, item_id, term, count(*) AS times FROM
+    (SELECT row_number() OVER () AS q, item_id, unnest({_terms("text")}) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, c GROUP BY term),
+s AS (SELECT q, item_id, doc_id, r, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN t USING (term) JOIN d USING (r), c GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s
+WHERE score > 0 QUALIFY rank <= 10"""
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    written = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(written, 256).alias("centroid_sha256"))
+
+
+# Ten rounds, written out. Sums stay far below 2 ** 53, so the floor of a quotient of doubles is exact.
+SQL["op13_centroids"] = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS cells FROM embeddings
+    WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+x AS MATERIALIZED (SELECT r, unnest(cells) AS x, generate_subscripts(cells, 1) AS j FROM v),
+s AS (SELECT cells, row_number() OVER (ORDER BY sha256('3:' || vec_id), cells) - 1 AS c FROM v QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, unnest(cells) AS y, generate_subscripts(cells, 1) AS j FROM s),
+{"".join(f"""d{n} AS MATERIALIZED (SELECT r, c, sum((x - y) * (x - y)) AS d FROM x JOIN c{n} USING (j) GROUP BY r, c),
+a{n} AS MATERIALIZED (SELECT r, min_by(c, d * 8 + c) AS c, min(d) AS d FROM d{n} GROUP BY r),
+m{n} AS (SELECT c, j, CAST(floor(sum(x) / count(*)) AS BIGINT) AS y FROM a{n} JOIN x USING (r) GROUP BY c, j),
+c{n + 1} AS MATERIALIZED (SELECT c, j, coalesce(m{n}.y, c{n}.y) AS y FROM c{n} LEFT JOIN m{n} USING (c, j)),
+""" for n in range(11))}
+h AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c10 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a10 JOIN v USING (r) JOIN h USING (c)"""
+
+
 QUERIES.update({f.__name__: f for f in (op1_mix, op2_repetition, op3_language, op4_simhash, op5_tokens, op6_embeddings, op7_packing, op8_substrings, op9_urls, op10_shards,
-                                    op11_lines)})
+                                    op11_lines, op12_search, op13_centroids)})
