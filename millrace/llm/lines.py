@@ -95,14 +95,14 @@ def merged(one: DataFrame, two: DataFrame) -> DataFrame:
     return both.select(*HASHES, docs.alias("docs"), F.greatest("one.keeper", "two.keeper").alias("keeper"))
 
 
-def _batch_of(docs: DataFrame, doc_id: str, batches: int) -> Column:
-    """Number of a document's batch. Numbered documents go by ranges of the id, the greatest first and null last;
+def _batch_of(docs: DataFrame, batches: int) -> Column:
+    """Number of a document's batch, by its column doc_id. Numbered documents go by ranges of the id, the greatest first and null last;
     others by a hash of it. Where the ranges are cut changes the work only, not the result."""
-    if not isinstance(docs.schema[doc_id].dataType, T.NumericType):
-        return F.pmod(F.xxhash64(doc_id), F.lit(batches)).cast("int")
+    if not isinstance(docs.schema["doc_id"].dataType, T.NumericType):
+        return F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     shares = [(batches - n) / batches for n in range(1, batches)]
-    cuts = docs.agg(F.percentile_approx(doc_id, shares).alias("cuts")).first()["cuts"] or []
-    below = [F.coalesce(F.col(doc_id) < F.lit(cut), F.lit(True)).cast("int") for cut in cuts]
+    cuts = docs.agg(F.percentile_approx("doc_id", shares).alias("cuts")).first()["cuts"] or []
+    below = [F.coalesce(F.col("doc_id") < F.lit(cut), F.lit(True)).cast("int") for cut in cuts]
     return reduce(Column.__add__, below, F.lit(0))
 
 
@@ -119,8 +119,8 @@ def drop_repeated_lines(
     alike. Other columns stay as they are; those of the added names, in upper or lower case, are replaced. An empty
     table gives no rows."""
     spark, kept = docs.sparkSession, without(docs, "n_lines", "n_dropped", "kept_text")
-    hashes = line_hashes(docs, doc_id, text, min_chars)
-    parts = stored_by(hashes.withColumn("batch", _batch_of(hashes, "doc_id", batches)), "line-hashes", "batch")
+    batch = _batch_of(docs.select(quoted(doc_id).alias("doc_id")), batches)
+    parts = stored_by(line_hashes(docs, doc_id, text, min_chars).withColumn("batch", batch), "line-hashes", "batch")
     runs = LineRuns(spark, min_docs)
     for n in range(batches):
         runs.add(parts.where(F.col("batch") == n))
