@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,10 @@ LEVELS = (1, 2, 3, 5, 9, 17)
 ROWS_PER_ITEM, ROWS_PER_SPACE = 3, 10
 
 # Query terms (with repeats) that are searched for at once, and places of the sums that are held at once.
-QUERY_TERMS, CELLS = 20_000, 2_000_000
+QUERY_TERMS, CELLS = 20_000, 500_000
+
+# Terms whose hashes a worker remembers.
+KNOWN_TERMS = 50_000
 
 # Terms are runs of ASCII letters and digits and of anything beyond ASCII.
 _TERM_BYTES = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256)).translate(bytes.maketrans(UPPER.encode(), LOWER.encode()))
@@ -45,6 +49,11 @@ def terms_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TERM_BYTES).split()
 
 
+def texts_of(packed: bytes) -> list[bytes]:
+    """The documents of a block, as terms between spaces."""
+    return zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
+
+
 def _mixed(hashes: np.ndarray, level: int) -> np.ndarray:
     """Hashes of the items (term, level) out of the terms' own."""
     with np.errstate(over="ignore"):
@@ -81,17 +90,18 @@ class _Block:
             for row in _rows(items, rows):
                 bits[row, n] = True
         known = [sum(1 for n in self.lengths if n), sum(self.lengths), rows, np.packbits(bits, axis=1).tobytes(), self.ids, self.lengths,
-                 list(self.df.keys()), list(self.df.values()), self.texts]
+                 list(self.df.keys()), list(self.df.values()), zstandard.ZstdCompressor(3).compress(b"\n".join(self.texts))]
         return pa.RecordBatch.from_arrays([pa.array([v], field.type) for v, field in zip(known, schema)], schema=schema)
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each block: n_docs (with a term), n_terms, rows and bits of the sliced signatures, and of each
-    document its id, its number of terms and its text cut down to terms; of each term its documents in the block.
+    document its id and its number of terms; of each term its documents in the block; and, compressed together, the texts
+    cut down to their terms, a line each.
     Batch; runs a job. Whole texts; null and empty texts have no terms and are left out."""
     kind = docs.schema[doc_id].dataType
     out = T.StructType.fromDDL("n_docs bigint, n_terms bigint, rows bigint, bits binary").add("ids", T.ArrayType(kind))
-    out = with_fields(out, "lengths array<bigint>, terms array<binary>, dfs array<bigint>, texts array<binary>")
+    out = with_fields(out, "lengths array<bigint>, terms array<binary>, dfs array<bigint>, texts binary")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[bytes, int] = worker_state("term_hashes", dict)
@@ -100,13 +110,13 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             ids = batch.column("doc_id")
             schema = schema or pa.schema([("n_docs", pa.int64()), ("n_terms", pa.int64()), ("rows", pa.int64()), ("bits", pa.binary()), ("ids", pa.list_(ids.type)),
-                                          ("lengths", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())), ("dfs", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary()))])
+                                          ("lengths", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())), ("dfs", pa.list_(pa.int64())), ("texts", pa.binary())])
             for n, raw in enumerate(text_bytes(batch.column("text"))):
                 terms = terms_of(raw)
                 if not terms:
                     continue
                 counts = Counter(terms)
-                if len(hashes) > 500_000:
+                if len(hashes) > KNOWN_TERMS:
                     hashes.clear()
                 for t in counts:
                     if t not in hashes:
@@ -189,15 +199,16 @@ def _best(index: DataFrame, queries: _Queries, n_docs: int, n_terms: int, k: int
                 m = 25 + 75 * n * n_docs // n_terms
                 bits = np.frombuffer(batch.column("bits")[at].as_buffer(), np.uint8).reshape(batch.column("rows")[at].as_py(), -1)
                 bounds = _bounds(queries, bits, len(n), m, n)
-                ids, texts = batch.column("ids")[at].values, batch.column("texts")[at].values
+                ids, texts = batch.column("ids")[at].values, None
                 counts: dict[int, Counter] = {}
                 for q in np.flatnonzero((bounds >= least[:, None]).any(axis=1)):
                     top, docs = best[q], np.flatnonzero(bounds[q] >= least[q])
                     for d in docs[np.argsort(-bounds[q][docs], kind="stable")].tolist():
                         if bounds[q, d] < least[q]:
                             break
+                        texts = texts or texts_of(batch.column("texts")[at].as_py())
                         if d not in counts:
-                            counts[d] = Counter(texts[d].as_py().split())
+                            counts[d] = Counter(texts[d].split())
                         tf_of, damp, score = counts[d], 8 * int(m[d]), 0
                         for term, weight in queries.pairs[q]:
                             if tf := tf_of.get(term):
