@@ -24,9 +24,9 @@ def _full_name(name: str, namespace: str | None) -> str:
     return full
 
 
-def normal_form(node: object, namespace: str | None = None, known: set[str] | None = None) -> object:
-    """A definition with full names and without what equality ignores (doc, aliases). Field order is
-    kept. Raises ValueError where Avro would refuse to parse."""
+def normal_form(node: object, namespace: str | None = None, known: set[str] | None = None, aliases: bool = False) -> object:
+    """A definition with full names and without what equality ignores (doc, and aliases unless they are asked for).
+    Field order is kept. Raises ValueError where Avro would refuse to parse."""
     known = set() if known is None else known
     if isinstance(node, str):
         if node in PRIMITIVES:
@@ -38,7 +38,7 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
     if isinstance(node, list):
         if any(isinstance(branch, list) for branch in node):
             raise ValueError(f"Nested union: {json.dumps(node)}")
-        branches = [normal_form(branch, namespace, known) for branch in node]
+        branches = [normal_form(branch, namespace, known, aliases) for branch in node]
         kinds = [_branch(b) for b in branches]
         for kind in kinds:
             if kinds.count(kind) > 1:
@@ -53,9 +53,9 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
         part = "items" if kind == "array" else "values"
         if part not in node:
             raise ValueError(f"No {part} type: {json.dumps(node)}")
-        return {**props, "type": kind, part: normal_form(node[part], namespace, known)}
+        return {**props, "type": kind, part: normal_form(node[part], namespace, known, aliases)}
     if kind not in NAMED:
-        inner = normal_form(kind, namespace, known)
+        inner = normal_form(kind, namespace, known, aliases)
         return {**props, "type": inner} if props else inner
 
     if "name" not in node:
@@ -65,11 +65,13 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
         raise ValueError(f"Can't redefine: {full}")
     known.add(full)
     out = {**props, "type": kind, "name": full}
+    if aliases and node.get("aliases"):
+        out["aliases"] = [_full_name(a, full.rpartition(".")[0]) for a in node["aliases"]]
     if kind in ("record", "error"):
         if not isinstance(node.get("fields"), list):
             raise ValueError(f"Record has no fields: {json.dumps(node)}")
         inner_space = full.rpartition(".")[0] or None
-        out["fields"] = [_field(f, inner_space, known) for f in node["fields"]]
+        out["fields"] = [_field(f, inner_space, known, aliases) for f in node["fields"]]
         names = [f["name"] for f in out["fields"]]
         if len(set(names)) < len(names):
             raise ValueError(f"Duplicate field in record {full}")
@@ -89,7 +91,7 @@ def normal_form(node: object, namespace: str | None = None, known: set[str] | No
     return out
 
 
-def _field(field: object, namespace: str | None, known: set[str]) -> dict:
+def _field(field: object, namespace: str | None, known: set[str], aliases: bool) -> dict:
     if not isinstance(field, dict) or "name" not in field or "type" not in field:
         raise ValueError(f"No field name or type: {json.dumps(field)}")
     _full_name(field["name"], None)
@@ -98,7 +100,9 @@ def _field(field: object, namespace: str | None, known: set[str]) -> dict:
         raise ValueError(f"Invalid order: {order}")
     # Ascending is what no order means.
     rest = {k: v for k, v in field.items() if k not in ("doc", "aliases", "type") and (k, v) != ("order", "ascending")}
-    form = normal_form(field["type"], namespace, known)
+    if aliases and field.get("aliases"):
+        rest["aliases"] = list(field["aliases"])
+    form = normal_form(field["type"], namespace, known, aliases)
     if "default" in field and not _fits(form, field["default"]):
         raise ValueError(f"Invalid default for field {field['name']}: {json.dumps(field['default'])}")
     return {**rest, "type": form}
@@ -146,35 +150,42 @@ _SPARK = {"boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType
           "double": T.DoubleType(), "bytes": T.BinaryType(), "string": T.StringType()}
 
 
-def spark_type(form: object) -> T.DataType:
-    """Spark's type of a normal form; a union may only add null to one type."""
+def spark_type(form: object, names: dict[str, dict] | None = None, above: tuple[str, ...] = ()) -> T.DataType:
+    """Spark's type of a normal form; `names` has its named types. A union of null and one type is that type, one of
+    several a struct with a field for each of them (member0, member1, ...)."""
+    names = {} if names is None else names
     if isinstance(form, list):
-        types = [branch for branch in form if branch != "null"]
-        if len(types) != 1:
-            raise ValueError(f"no single type: {json.dumps(form)}")
-        return spark_type(types[0])
+        types = [spark_type(branch, names, above) for branch in form if branch != "null"]
+        if len(types) == 1:
+            return types[0]
+        return T.StructType([T.StructField(f"member{n}", t) for n, t in enumerate(types)]) if types else T.NullType()
     kind = form["type"] if isinstance(form, dict) else form
     if isinstance(kind, (dict, list)):
-        return spark_type(kind)
+        return spark_type(kind, names, above)
+    if kind == "union":
+        return spark_type(form["branches"], names, above)
     if kind == "array":
-        return T.ArrayType(spark_type(form["items"]))
+        return T.ArrayType(spark_type(form["items"], names, above))
     if kind == "map":
-        return T.MapType(T.StringType(), spark_type(form["values"]))
+        return T.MapType(T.StringType(), spark_type(form["values"], names, above))
     if kind in ("record", "error"):
-        return T.StructType([T.StructField(f["name"], spark_type(f["type"])) for f in form["fields"]])
+        if form["name"] is not None and form["name"] in above:
+            raise ValueError(f"recursive type: {form['name']}")
+        inside = above if form["name"] is None else (*above, form["name"])
+        return T.StructType([T.StructField(f["name"], spark_type(f["type"], names, inside)) for f in form["fields"]])
     if kind in ("enum", "fixed"):
         return T.StringType() if kind == "enum" else T.BinaryType()
+    if kind == "spark":
+        return T.StructType.fromDDL(f"x {form['as']}")["x"].dataType
+    if kind in names:
+        return spark_type(names[kind], names, above)
+    if kind == "null":
+        return T.NullType()
     if kind not in _SPARK:
         raise ValueError(f"no Spark type: {kind}")
     return _SPARK[kind]
 
 
-def reader_of(definition: str) -> tuple[T.StructType, dict[str, object]]:
-    """Spark's type of a record definition and the defaults of its fields."""
-    form = normal_form(json.loads(definition))
-    return spark_type(form), {f["name"]: f["default"] for f in form["fields"] if "default" in f}
-
-
 def _normalise(definition: str | None) -> tuple:
     try:
         form = normal_form(json.loads(definition or ""))

@@ -6,13 +6,15 @@ normal form, by which equality is judged)."""
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.envelope import CONTENT_TYPE, put_headers
-from millrace.functions.avro import canonical, reader_of
+from millrace.functions.avro import canonical, normal_form, spark_type
+from millrace.functions.resolution import UNRESOLVABLE, Resolution, Unresolvable, named_types, reader_form
 from millrace.ordering import with_running
 from millrace.session import folder_names, path_exists, stored
 
@@ -29,6 +31,9 @@ STORE = T.StructType(
 FORMATS = ("avro",)
 UNKNOWN_VERSION = "UnknownSchemaVersion"
 
+# Different definitions that one resolution can choose among.
+MAX_PLANS = 200
+
 _ARRIVALS_PER_SLICE = 1_000_000
 
 
@@ -148,36 +153,62 @@ def reference(ct: Column, prefix: str = "vnd") -> Column:
 
 
 def resolve(
-    df: DataFrame, store: DataFrame, reader: T.StructType | str, defaults: dict[str, object] | None = None
+    df: DataFrame, store: DataFrame, reader: T.StructType | str, defaults: dict[str, object] | None = None,
+    subjects: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read JSON payloads, each written with the version in its content type, as the reader's schema: adds `data` and
-    `error`. Fields the writer lacks get the reader's default, fields the reader lacks are dropped, and numbers are
-    read in the reader's width. Rows without a reference are read as the reader's own. A reference to a version that
-    the store lacks gives no data and the error UnknownSchemaVersion.
+    `error`. A tombstone has neither. Rows without a reference are read as the reader's own, with its defaults for fields
+    that are missing.
+
+    reader: an Avro definition, or Spark's type with `defaults` beside it, whose fields may all be null. Each different
+    definition in the store is compiled once against it (`functions.resolution` has the rules) into one expression, and
+    the row's version chooses among them; a payload is parsed once, whatever wrote it. Errors begin with their kind:
+    UnknownSchemaVersion (the store has no such version), UnresolvableSchema, MalformedPayload, WrongType, MissingField
+    and UnknownSymbol, the last three with the field.
 
-    reader: an Avro definition, whose types and defaults are taken, or Spark's type with `defaults` beside it.
-    Writer fields come from the store by a join on (subject, version), so any mix of versions is
-    read in one pass."""
+    The plan grows with the different definitions of the store, of which there may be `MAX_PLANS`; name the `subjects`
+    that can occur where it holds more. A reference to another subject is an unknown version."""
     if isinstance(reader, str):
-        reader, own = reader_of(reader)
-        defaults = {**own, **(defaults or {})}
-    defaults = defaults or {}
-    fields = F.from_json("definition", "fields array<struct<name:string>>")["fields"]
-    writers = store.filter(F.col("format") == "avro").select(
-        F.col("subject").alias("_subject"), F.col("version").alias("_version"),
-        F.transform(fields, lambda f: f["name"]).alias("_written"))
+        form = normal_form(json.loads(reader), aliases=True)
+        for field in form["fields"] if isinstance(form, dict) else ():
+            if field["name"] in (defaults or {}):
+                field["default"] = defaults[field["name"]]
+    else:
+        form = reader_form(reader, defaults or {})
+    store = store.where(F.col("format") == "avro")
+    if subjects is not None:
+        store = store.where(F.col("subject").isin(*subjects))
+    found = [r["canonical"] for r in store.select("canonical").distinct().limit(MAX_PLANS + 1).collect()]
+    if len(found) > MAX_PLANS:
+        raise ValueError(f"more than {MAX_PLANS} different definitions in the store; name the subjects to read")
+
+    payload, plan = F.col("_payload"), F.col("_plan")
+    target, error, data = spark_type(form, named_types(form)), None, None
+    for n, text in enumerate(sorted(found)):
+        try:
+            compiled = Resolution(json.loads(text), form)
+            wrong, value = compiled.error(payload), compiled.value(payload)
+        except Unresolvable as e:
+            wrong, value = F.lit(f"{UNRESOLVABLE}: {e}"), None
+        error = F.when(plan == n, wrong) if error is None else error.when(plan == n, wrong)
+        if value is not None:
+            data = F.when(plan == n, value) if data is None else data.when(plan == n, value)
+    own = Resolution(None, form)
+    error = own.error(payload) if error is None else error.otherwise(own.error(payload))
+    data = own.value(payload) if data is None else data.otherwise(own.value(payload))
+
+    plans = df.sparkSession.createDataFrame(list(enumerate(sorted(found))), "_plan int, canonical string")
+    writers = store.join(plans, "canonical").select(F.col("subject").alias("_subject"), F.col("version").alias("_version"), "_plan")
     keyed = df.withColumn("_ref", reference(F.try_element_at("headers", F.lit(CONTENT_TYPE))))
     joined = keyed.join(writers, (F.col("_ref.subject") == F.col("_subject")) & (F.col("_ref.version") == F.col("_version")), "left")
-    data = F.from_json("value", reader)
-
-    def value_of(f: T.StructField) -> Column:
-        missing = F.col("_written").isNotNull() & ~F.array_contains("_written", f.name)
-        default = F.from_json(F.lit(json.dumps({"v": defaults.get(f.name)})), T.StructType([T.StructField("v", f.dataType)]))["v"]
-        return F.when(missing, default).otherwise(data[f.name]).alias(f.name)
-
-    unknown = F.col("_ref").isNotNull() & F.col("_version").isNull()
-    return joined.select(*df.columns, F.when(~unknown, F.struct(*[value_of(f) for f in reader.fields])).alias("data"),
-                         F.when(unknown, F.lit(UNKNOWN_VERSION)).alias("error"))
+    # What generators give is not copied into filters and later projections: one parse, one search for errors.
+    parsed = joined.withColumn("_payload", F.explode(F.array(F.try_parse_json(F.col("value").cast("string")))))
+    unknown = F.col("_ref").isNotNull() & plan.isNull()
+    error = F.when(F.col("value").isNotNull(), F.when(unknown, F.lit(UNKNOWN_VERSION)).otherwise(error))
+    judged = parsed.withColumn("_error", F.explode(F.array(error.cast("string"))))
+    fine = F.col("value").isNotNull() & F.col("_error").isNull()
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("data", "error")]
+    return judged.select(*kept, F.when(fine, data).cast(target).alias("data"), F.col("_error").alias("error"))
 
 
 def resolve_binary(df: DataFrame, writer: str, reader: str) -> DataFrame:

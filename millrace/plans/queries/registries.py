@@ -170,11 +170,11 @@ def reg_reference(spark, sf):
 READER = json.dumps(_visit({"name": "hits", "type": "long"}, _CHANNEL))
 
 
-@query("reg_resolve", f"""WITH {_STAMPED} SELECT event_id AS "offset",
+@query("reg_resolve_versions", f"""WITH {_STAMPED} SELECT event_id AS "offset",
   CASE WHEN event_id % 10 <> 9 THEN CAST(event_id AS BIGINT) END AS hits,
   CASE WHEN event_id % 10 <> 9 THEN CASE WHEN pick = 2 THEN 'mail' ELSE 'direct' END END AS channel,
   CASE WHEN event_id % 10 = 9 THEN 'UnknownSchemaVersion' END AS error FROM stamped""")
-def reg_resolve(spark, sf):
+def reg_resolve_versions(spark, sf):
     registered = store(spark, sf)
     rows = _stamped(spark, sf, registered).select("offset", "value", "headers")
     # Every tenth row names a version that was never registered.
@@ -184,6 +184,80 @@ def reg_resolve(spark, sf):
     return read.select("offset", "data.hits", "data.channel", "error")
 
 
+# A basket as it was first written, as it is written now, and something else under the same subject.
+def _record(name, *fields, **more):
+    return {"type": "record", "name": name, "namespace": "shop.web", "fields": [{"name": n, "type": t, **(rest[0] if rest else {})} for n, t, *rest in fields], **more}
+
+
+_ZONE = {"type": "enum", "name": "Zone", "symbols": ["north", "south", "far"]}
+_PLACE = _record("Place", ("city", "string"), ("zone", _ZONE))
+BASKETS = [json.dumps(d) for d in (
+    _record("Basket", ("buyer", "string"), ("count", "int"), ("place", _PLACE),
+            ("lines", {"type": "array", "items": _record("Line", ("part", "int"), ("price", "float"))})),
+    _record("Basket", ("buyer", "string"), ("items", "int"), ("place", ["null", _PLACE]), ("marks", {"type": "map", "values": "int"}),
+            ("lines", {"type": "array", "items": _record("Line", ("part", "long"), ("price", "double"), ("gift", "boolean"))})),
+    _record("Parcel", ("buyer", "string")))]
+
+# The reader calls buyers clients, knows two zones and the country of a place, counts in long numbers and allows a note.
+BASKET_READER = json.dumps(_record(
+    "Basket", ("client", "string", {"aliases": ["buyer"]}), ("items", "long", {"aliases": ["count"]}),
+    ("place", ["null", _record("Place", ("city", "string"), ("zone", {**_ZONE, "symbols": ["north", "south"], "default": "north"}),
+                               ("country", "string", {"default": "unknown"}))], {"default": None}),
+    ("lines", {"type": "array", "items": _record("Line", ("part", "long"), ("price", "double"), ("gift", "boolean", {"default": False}))}),
+    ("marks", {"type": "map", "values": "long"}, {"default": {"none": 0}}), ("note", ["null", "string"], {"default": None})))
+
+_UNKNOWN = 1234567890
+
+
+def _baskets(spark, sf) -> DataFrame:
+    """A basket for each event. Its number picks how it was written (case): 0 cut off, 1 a tombstone, 2 a count in
+    words, 3 no buyer, 4 an unknown version, 5 a parcel, 6 and 7 the first version, 8 with a zone that the reader
+    lacks, 9 the second version without place, 10 with one, 11 with one under the name of its type."""
+    n, case = F.col("event_id"), F.col("event_id") % 12
+    zone = F.when(case == 8, "far").when(n % 2 == 0, "south").otherwise("north")
+    place = F.struct(F.concat(F.lit("city "), (n % 7).cast("string")).alias("city"), zone.alias("zone"))
+    buyer = F.concat(F.lit("buyer "), F.col("user_id").cast("string"))
+
+    def lines(*more):
+        return F.slice(F.array(*[F.struct((n + k).alias("part"), ((n % 100) * 0.5 + k).alias("price"), *more) for k in (1, 2)]), F.lit(1), (n % 3).cast("int")).alias("lines")
+
+    first = F.struct(F.when(case != 3, buyer).alias("buyer"), F.when(case == 2, "many").alias("count"), F.when(case != 2, n).alias("count_"), place.alias("place"), lines())
+    first = F.regexp_replace(F.to_json(first), '"count_"', '"count"')
+    second = [buyer.alias("buyer"), n.alias("items"), lines((n % 2 == 0).alias("gift")), F.create_map(F.lit("a"), n % 5).alias("marks")]
+    value = (F.when(case == 0, F.substring(first, F.lit(1), F.length(first) - 1)).when(case == 1, None).when(case == 5, F.to_json(F.struct(buyer.alias("buyer"))))
+             .when(case == 9, F.to_json(F.struct(*second))).when(case == 10, F.to_json(F.struct(*second, place.alias("place"))))
+             .when(case == 11, F.to_json(F.struct(*second, F.struct(place.alias("shop.web.Place")).alias("place")))).otherwise(first))
+    version = F.when(case == 4, _UNKNOWN).when(case == 5, 3).when(case >= 9, 2).otherwise(1)
+    return table(spark, sf, "events").select(n.alias("offset"), value.alias("value"),
+                                             F.create_map(F.lit(CONTENT_TYPE), registry.content_type_of(F.lit("basket"), version)).alias("headers"))
+
+
+_GOOD = "event_id % 12 >= 6"
+
+
+@query("reg_resolve", f"""SELECT event_id AS "offset", CASE WHEN {_GOOD} THEN 'buyer ' || user_id END AS client, CASE WHEN {_GOOD} THEN event_id END AS items,
+  CASE WHEN {_GOOD} AND event_id % 12 <> 9 THEN 'city ' || event_id % 7 END AS city,
+  CASE WHEN {_GOOD} AND event_id % 12 <> 9 THEN CASE WHEN event_id % 12 <> 8 AND event_id % 2 = 0 THEN 'south' ELSE 'north' END END AS zone,
+  CASE WHEN {_GOOD} AND event_id % 12 <> 9 THEN 'unknown' END AS country,
+  CASE WHEN {_GOOD} THEN CASE WHEN event_id % 12 < 9 THEN 0 ELSE event_id % 5 END END AS mark,
+  CASE WHEN {_GOOD} THEN event_id % 3 END AS n_lines,
+  CASE WHEN {_GOOD} THEN CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN event_id + 1 ELSE 2 * event_id + 3 END END AS parts,
+  CASE WHEN {_GOOD} AND event_id % 3 > 0 THEN (event_id % 100) * 0.5::DOUBLE + 1 END AS price,
+  CASE WHEN {_GOOD} AND event_id % 3 > 0 THEN event_id % 12 >= 9 AND event_id % 2 = 0 END AS gift,
+  CASE event_id % 12 WHEN 0 THEN 'MalformedPayload' WHEN 2 THEN 'WrongType: count' WHEN 3 THEN 'MissingField: buyer'
+    WHEN 4 THEN 'UnknownSchemaVersion' WHEN 5 THEN 'UnresolvableSchema: shop.web.Parcel is no shop.web.Basket' END AS error FROM events""")
+def reg_resolve(spark, sf):
+    asked = spark.createDataFrame([("basket", "avro", d, n) for n, d in enumerate(BASKETS)], "subject string, format string, definition string, arrival bigint")
+    registered = registry.save(registry.register(registry.empty_store(spark), asked), working_path(spark, "schemas"))
+    read = registry.resolve(_baskets(spark, sf), registered, BASKET_READER)
+    lines = F.col("data.lines")
+    return read.select(
+        "offset", "data.client", "data.items", "data.place.city", "data.place.zone", "data.place.country",
+        F.coalesce("data.marks.a", "data.marks.none").alias("mark"), F.when(lines.isNotNull(), F.size(lines)).cast("bigint").alias("n_lines"),
+        F.aggregate(lines, F.lit(0).cast("bigint"), lambda s, x: s + x["part"]).alias("parts"), F.get(lines, F.lit(0))["price"].alias("price"),
+        F.get(lines, F.lit(0))["gift"].alias("gift"), "error")
+
+
 @query("reg_union", """SELECT subject, row_number() OVER (PARTITION BY subject ORDER BY v) AS version, 'v' || v AS definition
   FROM (SELECT DISTINCT event_type AS subject FROM events), (VALUES (1), (2)) AS versions(v)""")
 def reg_union(spark, sf):
