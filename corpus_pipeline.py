@@ -5,52 +5,72 @@ with nulls, empty texts, ties and repeated rows are treated as the operators' do
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, mixing, packing, simhash, substrings
-from millrace.llm.common import word_count
+from millrace.llm import language, mixing, packing, similar, substrings
+from millrace.llm.common import quoted, unused, without, word_count
 from millrace.llm.queries import MIX_SEED, table, tokenizer_path
 from millrace.session import stored
 
 
+def _apart(docs: DataFrame, *needed: str) -> tuple[DataFrame, str]:
+    """The columns an operator needs, and all others of `docs` in one struct; also its name. Whatever columns the
+    operator adds or replaces, the user's are inside the struct."""
+    whole = unused(docs.columns, "whole_row")[0]
+    return docs.select(*needed, F.struct(*map(quoted, without(docs, *needed))).alias(whole)), whole
+
+
+def _back(rows: DataFrame, whole: str, docs: DataFrame, *needed: str, **changed: Column) -> DataFrame:
+    """The columns of `docs` again, some of them changed."""
+    return rows.select(*[changed[c] if c in changed else F.col(c) if c in needed else F.col(whole).getField(c) for c in docs.columns]).toDF(*docs.columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language is not clear: no text, no letter, or a narrow margin. The classifier is learned
-    from the labelled documents outside the held-out quarter."""
+    from the labelled documents outside the held-out quarter. Other columns stay as they are."""
     known = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
-    return language.identify(docs, known).where("not rejected").select(*docs.columns)
+    rows, whole = _apart(docs, "text")
+    return _back(language.identify(rows, known).where("not rejected"), whole, docs, "text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of SimHash near-duplicates, the one with the smallest doc_id. Of rows that repeat
-    id and text, the first by source and language stays.
-
-    Near means what it means in op4: four-word shingles, at most 4 of 64 bits. That is narrower than a five-word
-    similarity of 0.8, most pairs of which stay; the README has the measured recall."""
-    names = {"_id": F.coalesce("doc_id", F.lit(substrings.NO_ID)), "_hash": F.coalesce("text_hash", F.lit(0))}
-    kept = simhash.near_duplicates(docs).where("kept").select(*[c.alias(n) for n, c in names.items()]).distinct()
-    keyed = docs.withColumn("text_hash", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).withColumns(names)
-    same = Window.partitionBy("_id", "_hash").orderBy("source", "lang")
-    one = keyed.join(kept, ["_id", "_hash"]).withColumn("_copy", F.row_number().over(same)).where("_copy = 1")
-    return one.select(*docs.columns)
+    """Keep one document of each group of near-duplicates, the one with the smallest doc_id. Of rows that repeat id and
+    text, the first by source and language stays, with its other columns.
+
+    Near are texts whose sets of five-word shingles have a similarity of 0.8 or more: found by SimHash signatures with
+    one bit wiped out, with a recall of 0.93 or more, and checked by their shingles."""
+    whole, none, ident, same = names = unused(docs.columns, "whole_row", "no_id", "id_or_0", "same_text")
+    id_of = F.coalesce(F.col("doc_id"), F.lit(0).cast(docs.schema["doc_id"].dataType))
+    keys = [F.col("doc_id").isNull().alias(none), id_of.alias(ident)]
+    kept = similar.similar_documents(docs).where("kept").select(*keys, F.coalesce("text_hash", F.lit(0)).alias(same)).distinct()
+    content = F.coalesce(F.when(F.col("text").isNotNull(), F.xxhash64("text")), F.lit(0))
+    rows = docs.select(*keys, content.alias(same), F.struct(*map(quoted, docs.columns)).alias(whole))
+    # Rows that repeat id and text are reduced in the tasks before they meet.
+    order = F.struct(*[x for c in ("source", "lang") for x in (F.col(whole)[c].isNull(), F.col(whole)[c])])
+    one = rows.groupBy(*names[1:]).agg(F.min_by(whole, order).alias(whole))
+    return one.join(kept, names[1:]).select(f"{whole}.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut the words of passages that already stand in an earlier document; every document stays, if with less text."""
-    cut = substrings.remove_repeats(docs).withColumn("text", F.col("kept_text"))
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    """Cut the words of passages that already stand in an earlier document; every document stays, if with less text.
+    Columns besides text and n_chars stay as they are."""
+    rows, whole = _apart(docs, "doc_id", "text")
+    kept = F.col("kept_text")
+    return _back(substrings.remove_repeats(rows), whole, docs, "doc_id", text=kept, n_chars=F.length(kept).cast("bigint"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that the sources come near their target weights; a document that the mix takes
-    twice is there twice."""
-    mixed = mixing.mix(docs, word_count(F.col("text")), seed=MIX_SEED).where("repeats > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select(*docs.columns)
+    twice is there twice. Other columns stay as they are."""
+    rows, whole = _apart(docs, "doc_id", "source", "text")
+    mixed = mixing.mix(rows, word_count(F.col("text")), seed=MIX_SEED).where("repeats > 0")
+    return _back(mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))), whole, docs, "doc_id", "source", "text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids and the sequences they are packed into."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs.select("doc_id", "text"), tokenizer_path())
 
 
 STAGES = [
