@@ -19,6 +19,7 @@ from millrace.plans.queries import (  # noqa: F401  importing registers them
     registries,
     batching,
     composing,
+    streamed,
 )
 
 

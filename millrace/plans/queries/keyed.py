@@ -12,11 +12,11 @@ from millrace.plans.queries.partitions import HASH_SQL, SIGNED_SQL
 from millrace.session import working_path
 from millrace.streaming.state import count_in_stores
 
-_LATEST = """latest AS (SELECT key, last_value AS value FROM (
+LATEST = """latest AS (SELECT key, last_value AS value FROM (
     SELECT key, arg_max({'v': value}, "offset").v AS last_value FROM log GROUP BY key) WHERE last_value IS NOT NULL)"""
 
 
-@query("tbl_latest", f"""WITH {NOISY}, {_LATEST} SELECT * FROM latest""")
+@query("tbl_latest", f"""WITH {NOISY}, {LATEST} SELECT * FROM latest""")
 def tbl_latest(spark, sf):
     return tables.latest(noisy_log(spark, sf))
 
@@ -34,7 +34,7 @@ def tbl_compact(spark, sf):
     return tables.compact(noisy_log(spark, sf)).select("destination", "key", "offset", epoch_ms("timestamp").alias("timestamp_ms"), "value")
 
 
-@query("tbl_materialize", f"""WITH {NOISY}, {_LATEST} SELECT count(*) AS keys, min(key) AS first, max(key) AS last FROM latest""")
+@query("tbl_materialize", f"""WITH {NOISY}, {LATEST} SELECT count(*) AS keys, min(key) AS first, max(key) AS last FROM latest""")
 def tbl_materialize(spark, sf):
     tables.materialize(tables.latest(noisy_log(spark, sf)), "latest_event", working_path(spark, "store"))
     return spark.sql("SELECT count(*) AS keys, min(key) AS first, max(key) AS last FROM latest_event")

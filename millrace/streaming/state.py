@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -46,17 +47,33 @@ class KeyAndWindowStores(StatefulProcessor):
         pass
 
 
+def counted_in_task(batches: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Rows (key, start, count) of a task added up by key and start; the map is emptied at `most` entries."""
+    total: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if total is None else pa.concat_tables([total, rows])
+        added = rows.group_by(["key", "start"]).aggregate([("count", "sum")]).rename_columns({"count_sum": "count"})
+        total = added.select(batch.schema.names).cast(batch.schema)
+        if total.num_rows > most:
+            yield from total.to_batches()
+            total = None
+    if total is not None:
+        yield from total.to_batches()
+
+
 def count_in_stores(df: DataFrame, size: str, retention_ms: int | None = None) -> DataFrame:
     """Run the processor over envelopes.
 
-    Rows are reduced to one per key and window within each task first, so a hot key reaches its
-    processor as a few rows per window instead of as all of its events."""
+    Rows are added up by key and window within each task before they are exchanged, on a stream in maps over Arrow
+    batches, so a hot key reaches its processor as one row for each task and window instead of as all of its events."""
     use_rocksdb(df.sparkSession)
+    start = F.window("timestamp", size)["start"].alias("start")
     if df.isStreaming:
-        slim = df.select("key", F.window("timestamp", size)["start"].alias("start"), F.lit(1).cast("bigint").alias("count"))
+        slim = df.select("key", start, F.lit(1).cast("bigint").alias("count"))
+        slim = slim.mapInArrow(counted_in_task, slim.schema)
     else:
-        slim = (df.groupBy("key", F.window("timestamp", size)["start"].alias("start"))
-                .agg(F.count(F.lit(1)).alias("count")))
+        slim = df.groupBy("key", start).agg(F.count(F.lit(1)).alias("count"))
     return slim.groupBy("key").transformWithStateInPandas(
         KeyAndWindowStores(retention_ms), outputStructType=COUNTS, outputMode="Update",
         timeMode="ProcessingTime" if retention_ms else "None")
