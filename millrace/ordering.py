@@ -9,7 +9,8 @@ Slices come from `slice_by`, any column that never decreases along the order (an
 time, an offset range). The rows of each (group, slice) are counted first, by a narrow aggregate that
 runs while the frame is built. Slices with more than `slice_rows` rows of a group, and only they, are
 range-partitioned on (group, order), which balances any distribution, and written to a table.
-Without `slice_by` this is done for all rows. The order must be total within a group; group columns
+Without `slice_by` this is
+done for all rows, unless all of them are no more than `slice_rows`. The order must be total within a group; group columns
 must not be null.
 """
 
@@ -46,7 +47,9 @@ def _sliced(
     checked = F.when(known, F.lit(0) if slice_by is None else slice_by)
     df = df.withColumn(_SLICE, checked.otherwise(F.raise_error(F.lit("a group column is null"))))
     if slice_by is None:
-        return _ranged(df, group, order, df.count(), slice_rows)
+        rows = df.count()
+        # What one task can sort is one part, whatever its groups.
+        return df.withColumn(_PART, F.lit(0)) if rows <= slice_rows else _ranged(df, group, order, rows, slice_rows)
 
     rows = df.withColumn(_PART, F.lit(0))
     keys = [*group, _SLICE]

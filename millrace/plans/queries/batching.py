@@ -10,7 +10,7 @@ from millrace.operators.lag import lag
 from millrace.plans.base import LOG, NUMBERED, event_log, hour, query, stored_events, table
 from millrace.plans.queries.consumption import committed
 from millrace.session import working_path
-from millrace.sources.log import read_log, store_commits
+from millrace.sources.log import read_log, store_commits, stored_positions
 
 _GROUP = ["destination"]
 
@@ -95,6 +95,6 @@ def batch_nested(spark, sf):
     FROM ends LEFT JOIN committed USING (destination, "partition") GROUP BY ALL
   UNION ALL SELECT 'new', destination, CAST(sum(last - first) AS BIGINT) FROM ends GROUP BY ALL""")
 def lag_group(spark, sf):
-    log = read_log(spark, stored_events(spark, sf))
-    commits = store_commits(committed(log), working_path(spark, "commits"))
-    return lag(log, commits, ["audit", "new"])
+    path = stored_events(spark, sf)
+    commits = store_commits(committed(read_log(spark, path)), working_path(spark, "commits"))
+    return lag(None, commits, ["audit", "new"], stored_positions(spark, path))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -60,6 +61,32 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
 
 
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [s.getPath().toString() for s in found or []]
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there already; of several writers at once only one gets true."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    try:
+        files.create(place, False).close()
+    except Py4JJavaError:
+        if files.exists(place):
+            return False
+        raise
+    return True
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write a frame to a table under the shared root and read it back: computed once, even if
     executors are lost later, and read by column. Batch."""

@@ -9,8 +9,7 @@ from millrace.envelope import (
     CONTENT_TYPE, ENVELOPE, JSON, SEND_TO, drop_headers, header, present, put_headers, put_headers_if_absent)
 from millrace.functions.content import encode
 from millrace.operators.partitioning import Partitioning, assign_partition
-from millrace.session import path_exists
-from millrace.sources.log import assign_offsets, positions, read_log
+from millrace.sources.log import abandon_append, assign_offsets, begin_append, finish_append, stored_positions
 
 DELAY = "x-delay"
 
@@ -55,16 +54,25 @@ def append(df: DataFrame, path: str, tie_breaker: Column | None = None, slice_by
 
     Records get the next offsets of their partition, after those that are stored, by (timestamp, tie breaker); without
     a tie breaker, records of one time follow in any order. A record without timestamp is given that of the call.
-    Appends to one log must not run at the same time."""
+
+    Where partitions end is read from a table beside the log, which every append writes anew for the next one: the log
+    is not looked at, and records count when that table is complete. A second append to the same log at the same time
+    raises AppendInProgress and writes nothing; one that fails leaves the log as it was."""
     spark = df.sparkSession
     missing = {c: F.lit(None).cast(ENVELOPE[c].dataType) for c in ENVELOPE.names if c not in df.columns}
     rows = df.withColumns(missing).withColumns({
         "headers": present(), "timestamp": F.coalesce("timestamp", F.current_timestamp())})
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE.fields], (
         F.monotonically_increasing_id() if tie_breaker is None else tie_breaker).alias("_tie"))
-    base = positions(read_log(spark, path)) if path_exists(spark, path) else None
-    numbered = assign_offsets(rows, F.col("_tie"), slice_by, base).drop("_tie")
-    numbered.write.mode("append").partitionBy("destination").parquet(path)
+    n = begin_append(spark, path)
+    try:
+        base = stored_positions(spark, path) if n > 1 else None
+        numbered = assign_offsets(rows, F.col("_tie"), slice_by, base).drop("_tie")
+        numbered.withColumn("append", F.lit(n)).write.mode("append").partitionBy("destination", "append").parquet(path)
+        finish_append(spark, path, n)
+    except BaseException:
+        abandon_append(spark, path, n)
+        raise
 
 
 def send(df: DataFrame, path: str, destination: str, data: Column, tie_breaker: Column | None = None, **options) -> None:

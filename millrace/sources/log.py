@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.envelope import ENVELOPE, present
 from millrace.ordering import with_running
-from millrace.session import path_exists, stored
+from millrace.session import create_file, folder_names, glob_names, path_exists, stored
 
 EARLIEST, LATEST = "earliest", "latest"
 
@@ -18,10 +20,77 @@ LOG = ["destination", "partition"]
 OFFSETS_PER_SLICE = 1_000_000
 
 
+# Folder beside a log's destinations: what each append has finished, and where the partitions end after it.
+ENDS = "_ends"
+_APPENDED = "append"
+_ENDS_TYPE = "destination string, partition int, begin bigint, end bigint"
+
+
+class AppendInProgress(RuntimeError):
+    """Another append to the log has begun and not finished; nothing was written."""
+
+
+@dataclass(frozen=True)
+class Appends:
+    """The appends of a stored log by number: the last finished one, those that failed and those that run (or whose
+    writer died)."""
+
+    last: int
+    failed: tuple[int, ...]
+    running: tuple[int, ...]
+
+
+def appends(spark: SparkSession, path: str) -> Appends:
+    names = folder_names(spark, f"{path}/{ENDS}")
+    finished = {int(n) for n in names if n.isdigit() and path_exists(spark, f"{path}/{ENDS}/{n}/_SUCCESS")} if names else set()
+    failed = {int(n.removesuffix(".failed")) for n in names if n.endswith(".failed")}
+    begun = {int(n.removesuffix(".begun")) for n in names if n.endswith(".begun")}
+    return Appends(max(finished, default=0), tuple(sorted(failed)), tuple(sorted(begun - finished - failed)))
+
+
+def begin_append(spark: SparkSession, path: str) -> int:
+    """The number of a new append, which no other writer gets."""
+    known = appends(spark, path)
+    n = max([known.last, *known.failed], default=0) + 1
+    if known.running or not create_file(spark, f"{path}/{ENDS}/{n:08d}.begun"):
+        raise AppendInProgress(f"append {(known.running or (n,))[0]} to {path} is not finished; if its writer died, call abandon_append")
+    return n
+
+
+def abandon_append(spark: SparkSession, path: str, n: int) -> None:
+    """Give up an append whose writer died: what it wrote is never read."""
+    create_file(spark, f"{path}/{ENDS}/{n:08d}.failed")
+
+
+def finish_append(spark: SparkSession, path: str, n: int) -> None:
+    """Write the ends of all partitions after an append; with that its records count."""
+    new = spark.createDataFrame([], _ENDS_TYPE)
+    if glob_names(spark, f"{path}/destination=*/{_APPENDED}={n}"):
+        files = spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField(_APPENDED, T.IntegerType())])).option("basePath", path)
+        new = positions(files.parquet(f"{path}/destination=*/{_APPENDED}={n}"))
+    both = stored_positions(spark, path).unionByName(new)
+    both.groupBy(*LOG).agg(F.min("begin").alias("begin"), F.max("end").alias("end")).write.parquet(f"{path}/{ENDS}/{n:08d}")
+
+
+def stored_positions(spark: SparkSession, path: str) -> DataFrame:
+    """As `positions`, of a log that was stored by `append`: read from the ends beside it, one row for each partition,
+    without a look at the log."""
+    last = appends(spark, path).last
+    return spark.read.schema(_ENDS_TYPE).parquet(f"{path}/{ENDS}/{last:08d}") if last else spark.createDataFrame([], _ENDS_TYPE)
+
+
 def read_log(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
-    """A log stored as Parquet partitioned by `destination`."""
-    reader = (spark.readStream if stream else spark.read).schema(ENVELOPE).options(**options)
-    return reader.parquet(path)
+    """A log stored as Parquet partitioned by `destination`. Of a log stored by `append`, the appends that are finished:
+    all records of one are there, or none. A stream takes files as they are written, those of an append that fails
+    later included."""
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    if not path_exists(spark, f"{path}/{ENDS}"):
+        return reader.schema(ENVELOPE).parquet(path)
+    log = reader.schema(T.StructType([*ENVELOPE.fields, T.StructField(_APPENDED, T.IntegerType())])).parquet(path)
+    if not stream:
+        known = appends(spark, path)
+        log = log.where((F.col(_APPENDED) <= known.last) & ~F.col(_APPENDED).isin(*known.failed))
+    return log.select(*ENVELOPE.names)
 
 
 def read_broker(spark: SparkSession, servers: str, destinations: str = "", pattern: str = "",

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.session import working_path
+from millrace.session import create_file, delete_file, folder_names, working_path
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -42,24 +44,46 @@ def run_available(
 def write_outputs(outputs: Mapping[str, Callable[[DataFrame], DataFrame]], folder: str) -> Callable[[DataFrame, int], None]:
     """A batch writer for several destinations of the same input.
 
-    Each destination's part of a micro-batch is one folder named by the batch id. A replayed batch
-    overwrites its own folders, so each destination gets every row once; the destinations are not
-    written in one transaction. For several destinations the batch is written to a table first and
-    read back from it, so that it is computed once even if executors are lost on the way."""
+    Each destination's part of a micro-batch is one folder named by the batch id. After the last destination a marker
+    says that the batch is done; `read_output` shows the batches up to it, so readers see all destinations of a batch or
+    none, and a batch that is done is not written again. A batch that fails in between is written anew when it is
+    replayed, so each destination gets every row once. For several destinations the batch is written to a table first
+    and read back from it, so that it is computed once even if executors are lost on the way."""
+    writer = f"{folder}/{_DONE}/{'+'.join(sorted(quote(name, safe='') for name in outputs))}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, before = batch.sparkSession, _done(batch.sparkSession, writer)
+        if batch_id <= max(before, default=-1):
+            return
         if len(outputs) > 1:
             staged = f"{folder}/_batch"
             batch.write.mode("overwrite").parquet(staged)
-            batch = batch.sparkSession.read.schema(batch.schema).parquet(staged)
+            batch = spark.read.schema(batch.schema).parquet(staged)
         for destination, transform in outputs.items():
             transform(batch).write.mode("overwrite").parquet(f"{folder}/{destination}/batch={batch_id}")
+        create_file(spark, f"{writer}/{batch_id}")
+        for old in before:  # the last marker is enough
+            delete_file(spark, f"{writer}/{old}")
 
     return write
 
 
+# Folder beside the destinations: for each writer the last batch that is done.
+_DONE = "_done"
+
+
+def _done(spark: SparkSession, writer: str) -> list[int]:
+    return [int(name) for name in folder_names(spark, writer) if name.isdigit()]
+
+
 def read_output(spark: SparkSession, folder: str, destination: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{destination}").drop("batch")
+    """A destination's rows, as far as batches are done in all destinations of their writer."""
+    writers = [name for name in folder_names(spark, f"{folder}/{_DONE}") if quote(destination, safe="") in name.split("+")]
+    rows = spark.read.parquet(f"{folder}/{destination}")
+    if writers:
+        last = max((n for name in writers for n in _done(spark, f"{folder}/{_DONE}/{name}")), default=-1)
+        rows = rows.where(F.col("batch") <= last)
+    return rows.drop("batch")
 
 
 def then(write: Callable[[DataFrame, int], None], *actions: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
