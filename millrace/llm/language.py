@@ -7,14 +7,13 @@ all wins. The margin to the runner-up is the score; a narrow margin rejects the
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, releasing, with_fields
+from millrace.llm.common import batch_of, quoted, releasing, with_fields, without
 
 # Bounds of the training sample of one language: documents, code points of each, and bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 64_000
@@ -22,17 +21,19 @@ SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 64_000
 # A text is compressed in blocks of so many bytes, so that the dictionary and not the text itself explains a block.
 BLOCK_BYTES = 4096
 
-# Settings of zstandard; texts up to SHORT_BYTES have few matches, which a more thorough search has to find.
-LEVEL, SHORT_BYTES = 5, 512
-SEARCH = {"min_match": 4, "hash_log": 17, "chain_log": 17, "search_log": 4}
-SHORT_SEARCH = {"min_match": 3, "hash_log": 17, "chain_log": 18, "search_log": 5, "strategy": 6, "target_length": 32}
+# Settings of zstandard, the same for texts of any length: short ones have few matches, which a thorough search finds.
+LEVEL = 5
+SEARCH = {"min_match": 3, "hash_log": 17, "chain_log": 18, "search_log": 5, "strategy": 6, "target_length": 32}
 
 # Least advantage over the runner-up, as a share of its bytes.
 MIN_MARGIN = 0.002
 
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter: digits, fractions and number signs are none."""
+    return any(map(str.isalpha, text))
 
 
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
@@ -83,26 +84,24 @@ class Classifier:
     def __init__(self, dictionaries: Mapping[str, bytes]):
         import zstandard
 
-        def compressor(words: bytes, search: dict):
+        def compressor(words: bytes):
             settings = zstandard.ZstdCompressionParameters.from_level(
                 LEVEL, dict_size=DICTIONARY_BYTES, source_size=BLOCK_BYTES, write_content_size=False, write_checksum=False,
-                write_dict_id=False, **search)
+                write_dict_id=False, **SEARCH)
             known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(compression_params=settings)
             return zstandard.ZstdCompressor(compression_params=settings, dict_data=known)
 
         langs = sorted(l for l, words in dictionaries.items() if words)
-        self.short = {l: compressor(dictionaries[l], SHORT_SEARCH) for l in langs}
-        self.long = {l: compressor(dictionaries[l], SEARCH) for l in langs}
+        self.compressors = {l: compressor(dictionaries[l]) for l in langs}
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """Language and margin; the first language by name wins a tie, with margin 0."""
-        if text is None or not self.long or not _LETTER.search(text):
+        if text is None or not self.compressors or not has_letter(text):
             return UNKNOWN, 0.0
         data = text.lower().encode()
-        compressors = self.short if len(data) <= SHORT_BYTES else self.long
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in compressors.items())
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.compressors.items())
         (best, lang), second = sizes[0], sizes[min(1, len(sizes) - 1)][0]
         return lang, (second - best) / second if len(sizes) > 1 else 1.0
 
@@ -111,10 +110,10 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
     """Add lang_pred, score (margin to the runner-up, 0 to 1) and rejected (margin below `min_margin`) to `docs`.
 
     A text that is null or has no letter is `und` with score 0 and rejected, as is every text if no language is known.
-    Texts are judged whole, by their content alone. Columns of these names are replaced. The bytes of `dictionaries`
+    Texts are judged whole, by their content alone. Columns of these names, in upper or lower case, are replaced. The bytes of `dictionaries`
     are bounded by DICTIONARY_BYTES for each language and travel with the function."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    plain = docs.select(*[F.col(f"`{c}`") for c in kept])
+    kept = without(docs, "lang_pred", "score", "rejected")
+    plain = docs.select(*map(quoted, kept))
     known, floor = dict(dictionaries), min_margin
     added = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
 

@@ -17,17 +17,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import running_total
+from millrace.llm.common import quoted, running_total, unused, without
 from millrace.session import stored
 
 # The key of the random order has 60 bits, read in steps of 15.
 DIGITS, DIGIT_BITS = 4, 15
 
 
-def order_key(doc_id: Column, seed: int) -> Column:
-    """60 bits that order documents at random: the first 15 hex digits of md5("seed:doc_id")."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+def order_key(doc_id: Column, seed: int, text: Column | None = None) -> Column:
+    """60 bits that order documents at random: the first 15 hex digits of md5("seed:doc_id:md5 of the text")."""
+    content = [] if text is None else [F.coalesce(F.md5(text), F.lit(""))]
+    whole = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null")), *content)
+    return F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("bigint")
 
 
 def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFrame:
@@ -35,7 +36,7 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
     the size. Batch; runs one small aggregate for each round of clamping.
 
     The targets sum up to the budget unless all sources are clamped. A size of 0 or a weight of 0 gets 0."""
-    cap, level = F.col("source_size") * F.lit(max_epochs), None
+    cap, level, held = F.col("source_size") * F.lit(max_epochs), None, None
     while True:
         clamped = F.lit(False) if level is None else F.col("weight") * F.lit(level) > cap
         row = sources.agg(
@@ -44,10 +45,10 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
             F.count(F.when(clamped, 1)).alias("clamped")).first()
         if not row["weights"]:
             return sources.withColumn("target", F.when(F.col("weight") > 0, cap).otherwise(0.0).cast("double"))
-        raised = (budget - row["taken"]) / row["weights"]
-        if raised == level:
+        # Clamped sources stay so; when none is added, the level is the last one.
+        if row["clamped"] == held:
             return sources.withColumn("target", F.least(cap.cast("double"), F.col("weight") * F.lit(level)))
-        level = raised
+        level, held = (budget - row["taken"]) / row["weights"], row["clamped"]
 
 
 def source_targets(
@@ -74,17 +75,19 @@ def mix(
     seed: int = 17,
     source: str = "source",
     doc_id: str = "doc_id",
+    text: str | None = "text",
 ) -> DataFrame:
     """Add size, source_size, target and repeats (how often the mix takes the document) to `docs`. Batch; runs jobs.
 
-    repeats is floor(target / source_size) or one more, never above `max_epochs` rounded up. Documents of a source with
-    one doc_id (null included) share their place in the random order, as in the query's SQL, so they are taken alike.
-    The words taken of a source are within half the size of one such place of its target: half of one document where
-    ids are distinct, half of the block of rows where many share an id. Null sources are a source of their own; null
-    sizes count as 0; an empty table stays empty. Columns of the added names are replaced. The result depends on the rows alone,
-    not on their order or partitions."""
+    repeats is floor(target / source_size) or one more, never above `max_epochs` rounded up. The place of a document in
+    the random order comes from its id and its text (its id alone without a text column), so documents that share an id
+    are taken apart; rows that repeat both share their place and are taken alike. The words taken of a source are
+    within half the size of one such place of its target. Null sources are a source of their own; null sizes count as
+    0; an empty table stays empty. Columns of the added names, in upper or lower case, are replaced; others stay as they
+    are. The result depends on the rows alone, not on their order or partitions."""
     size = F.coalesce(size, F.lit(0)).cast("bigint")
-    rows = stored(docs.select(F.col(source).alias("source"), size.alias("size"), order_key(F.col(doc_id), seed).alias("key")), "sized")
+    key = order_key(quoted(doc_id), seed, None if text is None else quoted(text))
+    rows = stored(docs.select(quoted(source).alias("source"), size.alias("size"), key.alias("key")), "sized")
     targets = source_targets(rows, weights, budget_share, max_epochs)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.withColumn("whole", F.floor(rate).cast("bigint"))
@@ -104,11 +107,12 @@ def mix(
         cuts = digits.select("source", (F.col("due") - F.col("before")).alias("due"), "prefix", "here")
     cuts = cuts.select(F.col("source").alias("_cut_source"), F.col("prefix").alias("cut"),
                        (F.col("due") * 2 >= F.col("here")).alias("with_cut"))
+    kept = without(docs, "size", "source_size", "target", "repeats")
+    named, total, goal, whole, cut, with_cut = unused(docs.columns, "mix_source", "mix_size", "mix_target", "mix_whole", "mix_cut", "mix_with_cut")
     plan = stored(targets.join(cuts, F.col("source").eqNullSafe(F.col("_cut_source")), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", "whole", "cut", "with_cut"), "mix-plan")
-    kept = docs.drop("size", "source_size", "target", "repeats")
-    mixed = kept.join(plan, kept[source].eqNullSafe(F.col("_source")), "left")
-    key = order_key(F.col(doc_id), seed)
-    extra = (key < F.col("cut")) | ((key == F.col("cut")) & F.col("with_cut"))
-    repeats = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("bigint")
-    return mixed.select(*kept.columns, size.alias("size"), "source_size", "target", repeats.alias("repeats"))
+        F.col("source").alias(named), F.col("source_size").alias(total), F.col("target").alias(goal), F.col("whole").alias(whole),
+        F.col("cut").alias(cut), F.col("with_cut").alias(with_cut)), "mix-plan")
+    mixed = docs.join(plan, quoted(source).eqNullSafe(F.col(named)), "left")
+    extra = (key < F.col(cut)) | ((key == F.col(cut)) & F.col(with_cut))
+    repeats = F.col(whole) + F.coalesce(extra, F.lit(False)).cast("bigint")
+    return mixed.select(*map(quoted, kept), size.alias("size"), F.col(total).alias("source_size"), F.col(goal).alias("target"), repeats.alias("repeats"))

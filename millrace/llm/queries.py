@@ -33,7 +33,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op1_mix"] = f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-    CAST('0x' || substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS key FROM documents),
+    CAST('0x' || substr(md5('{MIX_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), '')), 1, 15) AS BIGINT) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM d GROUP BY source),
 f AS (SELECT *, sum(2 * source_size) OVER w - 2 * source_size AS clamped, sum(weight) OVER () - sum(weight) OVER w + weight AS weights,

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, releasing, text_bytes, with_fields
+from millrace.llm.common import batch_of, quoted, releasing, text_bytes, with_fields, without
 
 # Base rules: least words, and most percent of words in 3-word windows that occur twice or more.
 MIN_WORDS, BASE_WINDOW, MAX_REPEAT_PERCENT = 50, 3, 50
@@ -100,13 +100,13 @@ def judge(
 
     base_failed: under 50 words, or over half of the words in 3-word windows that occur twice or more. kept: not
     base_failed, and within the limit of every length and of lines. A null text is judged as an empty one and fails;
-    columns of these names are replaced. A text is held whole by one task."""
+    columns of these names, in upper or lower case, are replaced. A text is held whole by one task."""
     lengths = tuple(sorted(gram_percent))
     limits = dict(gram_percent)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars",
               *(f"dup_chars_{k}" for k in lengths)]
-    kept = [c for c in docs.columns if c not in {*counts, "base_failed", "kept"}]
-    plain = docs.select(*[F.col(f"`{c}`") for c in kept])
+    kept = without(docs, *counts, "base_failed", "kept")
+    plain = docs.select(*map(quoted, kept))
     added = [(c, pa.int64()) for c in counts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

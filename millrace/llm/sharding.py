@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import running_total, with_fields
+from millrace.llm.common import quoted, running_total, with_fields, without
 from millrace.session import stored
 
 
@@ -54,11 +54,13 @@ def shuffle_into_shards(rows: DataFrame, shards: int, seed: int = 0, partitions:
     """Add `shard` (0 to shards - 1) and `slot` (its place there, gapless from 0). Batch; runs jobs.
 
     All columns travel, so select what the shards need first. Shard sizes are at most one apart. Nulls and repeated
-    rows are rows like others; an empty table stays empty; input columns named shard or slot are replaced. The same
+    rows are rows like others; an empty table stays empty; input columns named shard or slot, in upper or lower case, are
+    replaced, others stay as they are. The same
     stored input in the same partitions gives the same result; `partitions` asks for a number of partitions first.
     The driver holds one row of `shards` numbers for each input partition."""
-    spark, kept = rows.sparkSession, [c for c in rows.columns if c not in ("shard", "slot")]
-    plain = rows.select(*[F.col(f"`{c}`") for c in kept])
+    spark, own = rows.sparkSession, without(rows, "shard", "slot")
+    # All columns travel in one struct, which cannot be empty.
+    plain = rows.select(F.struct(F.lit(0).alias("_"), *map(quoted, own)).alias("row"))
     if partitions:
         plain = plain.repartition(partitions)
     schema = with_fields(plain.schema, "_source int, _row bigint")
@@ -97,9 +99,9 @@ def shuffle_into_shards(rows: DataFrame, shards: int, seed: int = 0, partitions:
                 shard = np.searchsorted(shard_of, mine, side="right").astype(np.int32)
                 rest = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [*(rest.column(c) for c in kept), rest.column("_source"), rest.column("_row"),
+                    [rest.column("row"), rest.column("_source"), rest.column("_row"),
                      pa.array(shard), pa.array(keys[places[lo:hi]])],
-                    names=[*kept, "_source", "_row", "shard", "_order"])
+                    names=["row", "_source", "_row", "shard", "_order"])
 
     out = with_fields(plain.schema, "_source int, _row bigint, shard int, _order bigint")
     dealt = placed.join(cuts, "_source").mapInArrow(permute, out)
@@ -107,4 +109,4 @@ def shuffle_into_shards(rows: DataFrame, shards: int, seed: int = 0, partitions:
     slots = running_total(dealt, ["shard", "_order", "_source", "_row"], name="_place")
     bases = np.cumsum([0, *sizes[:-1]]).tolist()
     base = F.element_at(F.lit(bases), F.col("shard") + 1)
-    return slots.withColumn("slot", F.col("_place") - base).drop("_source", "_row", "_order", "_place")
+    return slots.select(*[F.col("row").getField(c).alias(c) for c in own], "shard", (F.col("_place") - base).alias("slot"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import batch_of, releasing, text_bytes, with_fields
+from millrace.llm.common import batch_of, quoted, releasing, text_bytes, with_fields, without
 from millrace.session import stored
 
 WINDOW_WORDS = 20
@@ -270,13 +270,25 @@ def kept_words(words: Sequence[bytes], begins: Sequence[int], window: int) -> np
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW_WORDS) -> DataFrame:
+    """Add n_words, n_removed and kept_text to `docs`, as `_cut` does to its columns doc_id and text. Batch; runs jobs.
+
+    Columns of the added names, in upper or lower case, are replaced; others stay as they are."""
+    added = ["n_words", "n_removed", "kept_text"]
+    kept = without(docs, *added)
+    others = [c for c in kept if c not in (text, doc_id)]
+    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"), *([F.struct(*map(quoted, others)).alias("others")] if others else []))
+    of = {doc_id: F.col("doc_id"), text: F.col("text")}
+    return _cut(rows, "text", "doc_id", window).select(*[(of[c] if c in of else F.col("others").getField(c)).alias(c) for c in kept], *added)
+
+
+def _cut(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
     """Add n_words, n_removed and kept_text to `docs`: the text without the words of each window of `window` words
     that also begins earlier (in a smaller doc_id, or before in the same document). Batch; runs jobs.
 
     kept_text is the text itself where nothing goes, else the words that stay, joined by one space. Words are parted by
     ASCII white space and compared as they are. A null text has no words and stays null; a null doc_id comes after all
     others; documents that share an id are ordered by a hash of their text, and rows that repeat id and text are one
-    document, so they are cut alike. Columns of the added names are replaced. One task holds a text whole."""
+    document, so they are cut alike. One task holds a text whole."""
     if not 1 <= window < 32:
         raise ValueError("window must have 1 to 31 words")
     added = ["n_words", "n_removed", "kept_text"]

@@ -175,6 +175,69 @@ def test_language_sample_of_shared_ids(spark):
     assert all(len(set(v.split(b"\n"))) == (1 if l == "same" else 400) for l, v in known.items())
 
 
+def test_language_is_the_smallest_compression(spark, docs, rows):
+    """Predictions against compressors made here, with zstandard alone."""
+    import zstandard
+
+    known = language.learn(docs)
+    settings = zstandard.ZstdCompressionParameters.from_level(language.LEVEL, dict_size=64_000, source_size=4096, write_content_size=False,
+                                                              write_checksum=False, write_dict_id=False, **language.SEARCH)
+    makers = {l: zstandard.ZstdCompressor(compression_params=settings, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+              for l, d in known.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs.select("doc_id", "text"), known).collect()}
+    for i, text, _, _ in rows[:300]:
+        data, expected = (text or "").lower().encode(), ("und", 0.0)
+        if any(c.isalpha() for c in text or ""):
+            sizes = sorted((sum(len(m.compress(data[a : a + 4096])) for a in range(0, len(data), 4096)), l) for l, m in makers.items())
+            expected = (sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0])
+        assert got[i] == expected, i
+    odd = ["²³ ½", "Ⅷ 12", "x²", "_", "日"]
+    found = language.identify(spark.createDataFrame([(t,) for t in odd], "text string"), known).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(found, key=lambda r: odd.index(r["text"]))] == [True, True, False, True, False]
+
+
+# --- clashing names
+
+INTERNAL = """cut whole _source shard _row _n _order _cuts _place _content _check _first _places _begins _copy n_words lang_pred score rejected kept kept_text
+  n_removed size source_size target repeats key prefix due text_hash bits h1 h2 class block partner root labels host path rule verdict part kind found
+  open handed best row others mix_cut mix_source with_cut length piece start ids_crc32 _rank _part _base component_id fingerprint word_chars base_failed
+  shingles node leaders a b _weight _upto before""".split()
+
+ADDED = {"mix": {"size", "source_size", "target", "repeats"}, "shards": {"shard", "slot"}, "repeats": {"n_words", "n_removed", "kept_text"},
+         "judge": {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars", "base_failed", "kept"},
+         "language": {"lang_pred", "score", "rejected"}, "urls": {"host", "path", "rule", "verdict"}}
+
+
+@pytest.mark.parametrize("upper", [False, True])
+def test_clashing_names(spark, odd, docs, upper):
+    names = [n.upper() if upper else n for n in INTERNAL]
+    clash = odd.withColumns({n: F.lit(777) for n in names}).cache()
+    known = language.learn(docs)
+    url = clash.withColumn("url", F.lit("http://a.org/x"))
+    rules = spark.createDataFrame([("org", "/", "block")], "host string, path string, verdict string")
+    results = {"mix": mixing.mix(clash, common.word_count(F.col("text"))), "shards": sharding.shuffle_into_shards(clash, 3), "repeats": substrings.remove_repeats(clash),
+               "judge": repetition.judge(clash), "language": language.identify(clash, known), "urls": urls.filter_urls(url, rules)}
+    for name, result in results.items():
+        lost = {c for c in names if c.lower() in ADDED[name] or c.lower().startswith("dup_chars")}
+        assert len({c.lower() for c in result.columns}) == len(result.columns), name
+        assert set(clash.columns) - lost <= set(result.columns), name
+        got = result.collect()
+        assert len(got) == len(ODD), name
+        assert all(r[c] == 777 for r in got for c in names if c not in lost), name
+    assert len(simhash.near_duplicates(clash).collect()) == len(ODD)
+    assert packing.pack(clash, queries.tokenizer_path()).count() >= len(ODD)
+
+
+def test_mix_parts_documents_that_share_an_id(spark, docs):
+    """A third of the ids are null: every source still comes near its target."""
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")))
+    taken, target, largest = Counter(), {}, 0
+    for r in mixing.mix(shared, common.word_count(F.col("text"))).collect():
+        taken[r["source"]] += r["repeats"] * r["size"]
+        target[r["source"]], largest = r["target"], max(largest, r["size"])
+    assert all(abs(taken[s] - target[s]) <= largest / 2 + 1 for s in target)
+
+
 # --- simhash and components
 
 def test_components_by_hand(spark):
