@@ -6,9 +6,11 @@ most one of them with a probability that is known, and so many segments are take
 agrees that way in one of them with the recall asked for. Every fingerprint is indexed by each segment with each of its
 bits wiped out; texts that meet under a key, and whose remaining 64 bits are near as well, are compared by their shingles.
 
-Keys are exchanged as arrays, dealt by hash. A key that many texts share (more than `group`, in a batch or in all) is not
-turned into pairs: its texts are compared with its first one, and what hangs together after that is not compared again;
-only texts of different components that share such a key are, so no link between components is lost.
+Keys are exchanged as arrays, dealt by hash. At first only the first text of a key is compared with its others, so the
+pairs to verify are fewer than the keys. Texts that may still be near another one meet again with what hangs together by
+then, and only pairs from different components are compared, each under one of the keys it shares. A key that many texts
+share (more than `group`, in a batch or in all) is not held by a task: its rows are joined by Spark, those of its largest
+component with the others only. So no pair that meets under a key goes unseen, unless it hangs together anyway.
 """
 
 from __future__ import annotations
@@ -39,12 +41,13 @@ _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bito
 
 @dataclass(frozen=True)
 class Layout:
-    """A fingerprint of `segments` segments of `width` bits and 64 bits more, of which near ones differ in `reach`; so
-    many texts of one key are compared pair by pair."""
+    """A fingerprint of `segments` segments of `width` bits and 64 bits more, of which near ones differ in `reach`, and of
+    all bits in `whole_reach`; a task compares so many texts of one key pair by pair."""
 
     width: int
     segments: int
     reach: int
+    whole_reach: int
     group: int = GROUP
 
     @property
@@ -58,7 +61,11 @@ def layout(rows: int, similarity: float = SIMILARITY, recall: float = RECALL, gr
     width = min(28, max(16, math.ceil(math.log2(max(rows, 1))) - 2))
     meets = (1 - share) ** width + width * share * (1 - share) ** (width - 1)
     segments = math.ceil(math.log(1 - recall) / math.log(1 - meets)) if meets < 1 else 1
-    return Layout(width, segments, int(64 * share + 2.6 * math.sqrt(64 * share * (1 - share))), group)
+
+    def reach(bits: int) -> int:
+        return int(bits * share + 2.6 * math.sqrt(bits * share * (1 - share)))
+
+    return Layout(width, segments, reach(64), reach(64 * (-(-width * segments // 64) + 1)), group)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -179,7 +186,8 @@ def _short(layout: Layout) -> bool:
 
 
 def _pairs_of(group: pa.Table, layout: Layout) -> pa.Table:
-    """Near pairs (a < b, key null) of the nodes of a task's keys, and the rows of hot keys (b null)."""
+    """Near pairs (a < b, key null) of the first node of each key, nodes with other near pairs (a = b), and the rows of
+    hot keys (b null)."""
     through = np.array([b is not None for b in group.column("leaders").to_pylist()], bool)
 
     def joined(name: str, chosen: np.ndarray, kind: str) -> np.ndarray:
@@ -199,21 +207,22 @@ def _pairs_of(group: pa.Table, layout: Layout) -> pa.Table:
     starts, hot = _grouped(keys, marked, layout.group)
     lengths = np.diff(np.append(starts, len(keys)))
     hot_row = np.repeat(hot, lengths)
-    # Of a hot key, its first node with each of the others; the rest is left to the components.
-    one, two = [np.repeat(starts, lengths)[hot_row]], [np.flatnonzero(hot_row)]
-    at = np.flatnonzero(~hot_row)
+    # Of a key, its first node with each of the others.
+    first, every = np.repeat(starts, lengths), np.arange(len(keys))
+    led = (first != every) & _near(sketches[first], sketches, layout.reach)
+    # Nodes that are near others besides are marked by a pair with themselves.
+    open_nodes, at = [], np.flatnonzero(~hot_row & (first != every))
     for d in range(1, layout.group):
         at = at[at + d < len(keys)]
         at = at[keys[at] == keys[at + d]]
         if not len(at):
             break
-        one.append(at)
-        two.append(at + d)
-    a, b = np.concatenate(one), np.concatenate(two)
-    fine = (nodes[a] != nodes[b]) & _near(sketches[a], sketches[b], layout.reach)
+        near = at[_near(sketches[at], sketches[at + d], layout.reach)]
+        open_nodes += [nodes[near], nodes[near + d]]
+    alone = np.concatenate(open_nodes) if open_nodes else np.zeros(0, np.int64)
     more, leaders = parts(through), joined("leaders", through, "<i8")
-    led = leaders != more[1]
-    both = np.stack([np.concatenate([nodes[a[fine]], leaders[led]]), np.concatenate([nodes[b[fine]], more[1][led]])], axis=1)
+    apart = leaders != more[1]
+    both = np.stack([np.concatenate([nodes[first[led]], leaders[apart], alone]), np.concatenate([nodes[led], more[1][apart], alone])], axis=1)
     pairs = np.unique(np.sort(both, axis=1), axis=0)
     # Marked nodes are among the rows of the batches already.
     rows = [np.concatenate([x[hot_row & ~marked], y]) for x, y in zip((keys, nodes, sketches), more)]
@@ -224,6 +233,67 @@ def _pairs_of(group: pa.Table, layout: Layout) -> pa.Table:
                     schema=pa.schema(_PAIR))
 
 
+def _deal_again(batches: Iterator[pa.RecordBatch], layout: Layout, tasks: int) -> Iterator[pa.RecordBatch]:
+    """Arrays of (key, node, root, print) for each task; keys that are hot here are left out."""
+    names = ["part", "keys", "nodes", "roots", "prints"]
+    for whole in batches:
+        for at in range(0, whole.num_rows, NODES_AT_ONCE // 4):
+            batch = whole.slice(at, NODES_AT_ONCE // 4)
+            prints = np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            table, _ = keys_of(prints, layout)
+            keys, row = table.ravel(), np.repeat(np.arange(batch.num_rows), table.shape[1])
+            order = np.argsort(keys, kind="stable")
+            starts, hot = _grouped(keys[order], np.zeros(len(keys), bool), layout.group)
+            order = order[~np.repeat(hot, np.diff(np.append(starts, len(keys))))]
+            part = (keys * 0x9E3779B97F4A7C1 >> 20) % tasks
+            order = order[np.argsort(part[order], kind="stable")]
+            ends = np.flatnonzero(np.diff(part[order], append=tasks + 1)) + 1
+            node, root = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+            rows = []
+            for lo, hi in zip([0, *ends[:-1]], ends) if len(order) else ():
+                c = order[lo:hi]
+                rows.append((int(part[c[0]]), keys[c].astype("<u4" if _short(layout) else "<i8").tobytes(), node[row[c]].astype("<i8").tobytes(),
+                             root[row[c]].astype("<i8").tobytes(), prints[row[c]].tobytes()))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _cross_pairs(group: pa.Table, layout: Layout) -> pa.Table:
+    """Near pairs (a < b) of different components among the nodes of a task's keys, each under the first key it shares;
+    keys with more than `group` nodes are left to the join of hot keys."""
+
+    def joined(name: str, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
+
+    keys, nodes, roots = joined("keys", "<u4" if _short(layout) else "<i8").astype(np.int64), joined("nodes", "<i8"), joined("roots", "<i8")
+    prints = joined("prints", np.uint8).reshape(len(keys), -1)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts, hot = _grouped(keys, np.zeros(len(keys), bool), layout.group)
+    at, found = np.flatnonzero(~np.repeat(hot, np.diff(np.append(starts, len(keys))))), []
+    for d in range(1, layout.group):
+        at = at[at + d < len(keys)]
+        at = at[keys[at] == keys[at + d]]
+        if not len(at):
+            break
+        a, b = order[at], order[at + d]
+        apart = roots[a] != roots[b]
+        for lo in range(0, int(apart.sum()), 1 << 16):
+            x, y, key = (v[apart][lo : lo + (1 << 16)] for v in (a, b, keys[at]))
+            differ = np.unpackbits(prints[x] ^ prints[y], axis=1, bitorder="little")
+            near = differ.sum(axis=1) <= layout.whole_reach
+            x, y, key, differ = x[near], y[near], key[near], differ[near, : layout.width * layout.segments]
+            inside = differ.reshape(len(x), layout.segments, layout.width)
+            segment = (inside.sum(axis=2) <= 1).argmax(axis=1)
+            # A pair that is equal in the segment shares all its keys there, of which the first counts.
+            bit = inside[np.arange(len(x)), segment].argmax(axis=1)
+            mine = key >> layout.width == segment * layout.width + bit
+            found.append(np.sort(np.stack([nodes[x[mine]], nodes[y[mine]]], axis=1), axis=1))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 def _verified(pairs: DataFrame, packed: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs (a, b) whose shingles are similar; packed has the words of each node."""
 
@@ -308,16 +378,28 @@ def similar_documents(
 
     dealt = classes.select("node", "print").mapInArrow(releasing(deal), "part int, keys binary, nodes binary, sketches binary, hot binary, leaders binary")
     found = stored(dealt.groupBy("part").applyInArrow(pairs_of, "key bigint, a bigint, b bigint, sketch bigint"), "near-prints")
-    pairs = stored(found.where("b is not null").select("a", "b").distinct(), "near-pairs")
-    hot = found.where("b is null")
+    near = stored(found.where("b is not null").select("a", "b").distinct(), "near-pairs")
+    pairs, hot = near.where("a != b"), found.where("b is null")
 
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(hot.select(F.col("a").alias("node"))).distinct()
-    named = classes.join(asked, "node").select("node", "first.doc_id", "first.text_hash")
-    packed = _packed(docs, stored(named, "asked-nodes"), text, doc_id)
+    opened = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(hot.select(F.col("a").alias("node"))).distinct()
+    named = stored(classes.join(opened, "node").select("node", "first.doc_id", "first.text_hash", "print"), "open-nodes")
+    packed = _packed(docs, named, text, doc_id)
     links = stored(_verified(pairs, packed, similarity, size), "similar-pairs")
     roots = components(links)
+
+    def deal_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _deal_again(batches, shape, tasks)
+
+    def cross_pairs(group: pa.Table) -> pa.Table:
+        return _cross_pairs(group, shape)
+
+    rooted = named.select("node", "print").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "print")
+    again = rooted.mapInArrow(releasing(deal_again), "part int, keys binary, nodes binary, roots binary, prints binary")
+    more = again.groupBy("part").applyInArrow(cross_pairs, "a bigint, b bigint")
     if not hot.isEmpty():
-        more = _across(hot, roots, shape.reach).join(pairs, ["a", "b"], "left_anti")
+        more = more.unionByName(_across(hot, roots, shape.reach)).distinct()
+    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "near-across")
+    if not more.isEmpty():
         roots = components(links.unionByName(stored(_verified(more, packed, similarity, size), "similar-across")))
 
     labelled = stored(classes.select("node", "h1", "h2", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled-texts")
