@@ -62,7 +62,7 @@ def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: boo
         value = F.col("value")
         if isinstance(schema, T.StructType) and not isinstance(df.schema["value"].dataType, T.StructType):
             # A declared structure is read from its JSON text, whatever the content type says.
-            return _split_parsed(df.withColumn("_parsed", _once(decode_json(value.cast("string"), schema))), schema, F.lit(None).cast("string"))
+            return _split_parsed(df.withColumn("_parsed", _once(decode_json(value.cast("string"), schema))), schema, F.lit(None).cast("string"), F.lit(True))
         return df.withColumns({"data": value.cast(schema), "error": F.lit(None).cast("string")})
     ct, value = content_type(default), F.col("value").cast("string")
     out = df.withColumns({
@@ -72,7 +72,7 @@ def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: boo
         "error": F.when(F.col("value").isNull(), None)
         .when(~(is_json(ct) | is_text(ct) | is_bytes(ct)), UNSUPPORTED),
     })
-    return _split_parsed(out, schema, F.col("error"))
+    return _split_parsed(out, schema, F.col("error"), is_json(ct))
 
 
 def _once(parsed: Column) -> Column:
@@ -81,11 +81,13 @@ def _once(parsed: Column) -> Column:
     return F.explode(F.array(parsed))
 
 
-def _split_parsed(df: DataFrame, schema: T.StructType, error: Column) -> DataFrame:
+def _split_parsed(df: DataFrame, schema: T.StructType, error: Column, json: Column) -> DataFrame:
     corrupt = F.col(f"_parsed.{CORRUPT}")
+    # An empty text parses to nothing, which is no tombstone.
+    empty = F.col("value").isNotNull() & F.col("_parsed").isNull() & (F.trim(F.col("value").cast("string")) == "")
     data = F.when(F.col("_parsed").isNotNull() & corrupt.isNull(),
                   F.struct(*[F.col(f"_parsed.{f.name}") for f in schema.fields]))
-    error = F.coalesce(error, F.when(corrupt.isNotNull(), F.lit(MALFORMED)))
+    error = F.coalesce(error, F.when(corrupt.isNotNull() | (empty & json), F.lit(MALFORMED)))
     return df.withColumns({"error": error, "data": data}).drop("_parsed")
 
 

@@ -52,6 +52,8 @@ def fold(
     Values are folded in pages, the pages' results in pages again, and so on, at least `levels` times and until one
     page is left of the largest group: each task sees at most `page_size` (2 or more) values at a time. The result of
     `step` should be bounded; what grows with the group grows in one row."""
+    if page_size < 2:
+        raise ValueError("a page must hold two values or more to be folded")
     rows = with_running(df, group, order, position="_at", slice_by=slice_by)
     rows = stored(rows.select(*group, F.col("_at"), F.col(value).alias("_v")), "fold")
     largest = rows.agg(F.coalesce(F.max("_at"), F.lit(0)).alias("n")).first()["n"] + 1
@@ -90,8 +92,7 @@ def collect(
         df = df.select(*group, value).distinct()
         order, slice_by = [F.col(value)], None
     elif kind == "priority_queue":
-        # A struct, so that null values are a slice like any other.
-        order, slice_by = [F.col(value), *order], F.struct(F.col(value))
+        order, slice_by = [F.col(value), *order], None
     paged = pages(df, group, order, page_size, slice_by)
     items = F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col(value).alias("v")))), lambda s: s["v"])
     return paged.groupBy(*group, "page").agg(items.alias("items"))

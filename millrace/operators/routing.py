@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.envelope import EVENT_TYPE, header
+from millrace.session import stored
 from millrace.sources.log import names
 
 # Headers that name the handler of a message.
@@ -124,7 +125,7 @@ def queues(exchange: str, bindings: Sequence[QueueBinding], routing_key: Column
     if exchange == "fanout":
         return F.array(*[F.lit(q) for q in by_queue])
     if exchange == "direct":
-        # One map lookup, whatever the number of bindings.
+        # A literal map, searched entry by entry; `route_by_table` is for many bindings.
         bound: dict[str, list[str]] = {}
         for b in bindings:
             if b.queue not in bound.setdefault(b.key, []):
@@ -150,10 +151,79 @@ def queues(exchange: str, bindings: Sequence[QueueBinding], routing_key: Column
 def route_exchange(df: DataFrame, exchange: str, bindings: Sequence[QueueBinding],
                    routing_key: Column | None = None) -> DataFrame:
     """One row for each queue a message goes to. The bindings are settings, so they become one
-    expression: no join, and rows that match nothing are dropped."""
+    expression: no join, and rows that match nothing are dropped. The plan grows with the bindings; from some hundreds
+    on use `route_by_table`."""
     return df.withColumn("queue", F.explode(queues(exchange, bindings, routing_key)))
 
 
+def _plain_pattern(pattern: Column) -> Column:
+    """A topic pattern with a dot before each word, and repeated `#` as one."""
+    words = F.split(F.concat(F.lit("."), pattern), "\\.")
+    words = F.filter(words, lambda w, i: (i > 0) & ~((w == "#") & (F.get(words, i - 1) == "#")))
+    return F.concat(F.lit("."), F.array_join(words, "."))
+
+
+def _topic_matches(keys: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Distinct (key, pattern) of routing keys and topic patterns that match.
+
+    The patterns' prefixes are the nodes of a trie, named by their own text. All keys walk it at once, a word at a time:
+    from a node to its child of that word or of `*`, staying at a node that ends with `#`, and, without a word, to the
+    child `#`. Each step is a join by equality with the nodes; where a key's words end it is met by whole patterns."""
+    named = patterns.select(F.col("key").alias("pattern"), _plain_pattern(F.col("key")).alias("path")).distinct()
+    words = F.split(F.col("path"), "\\.")
+    prefix = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, 1, n), "."))
+    nodes = stored(named.select(F.explode(prefix).alias("node")).distinct(), "trie")
+
+    def with_hash(at: DataFrame) -> DataFrame:
+        below = at.withColumn("node", F.concat("node", F.lit(".#"))).join(nodes, "node", "left_semi")
+        return at.unionByName(below.select(*at.columns)).distinct()
+
+    walk = keys.select("key", F.when(F.col("key") == "", F.array().cast("array<string>")).otherwise(F.split("key", "\\.")).alias("words"), F.lit("").alias("node"))
+    walk = stored(with_hash(walk), "walk")
+    longest = walk.agg(F.max(F.size("words"))).first()[0] or 0
+    ended = walk.where(F.size("words") == 0).select("key", "node")
+    for n in range(longest):
+        at = walk.where(F.size("words") > n)
+        steps = F.concat("node", F.lit("."), F.get("words", F.lit(n))), F.concat("node", F.lit(".*"))
+        moved = at.select("key", "words", F.explode(F.array(*steps)).alias("node")).join(nodes, "node", "left_semi").select(*at.columns)
+        walk = stored(with_hash(moved.unionByName(at.where(F.col("node").endswith(".#")))), "walk")
+        ended = ended.unionByName(walk.where(F.size("words") == n + 1).select("key", "node"))
+    return ended.join(named.withColumnRenamed("path", "node"), "node").select("key", "pattern").distinct()
+
+
+def route_by_table(df: DataFrame, exchange: str, bindings: DataFrame, routing_key: Column | None = None, spread: int = 16) -> DataFrame:
+    """As `route_exchange`, with the bindings in a table (queue, key; for a headers exchange arguments, a map, and
+    match_all), however many there are: the plan does not depend on them. Batch; runs jobs, for a topic exchange one for
+    each word of the longest routing key.
+
+    Distinct routing keys (for a headers exchange, header maps) are matched, and messages joined with what they match,
+    so a hot key is matched once. A fanout exchange repeats the queues `spread` times and spreads the messages over
+    them. A null routing key matches nothing."""
+    if exchange == "fanout":
+        queues = stored(bindings.select("queue").distinct(), "queues").withColumn("_spread", F.explode(F.lit(list(range(spread)))))
+        return df.withColumn("_spread", (F.monotonically_increasing_id() % spread).cast("int")).join(queues, "_spread").drop("_spread")
+    if exchange in ("direct", "topic"):
+        keyed = df.withColumn("_key", routing_key)
+        keys = stored(keyed.where(F.col("_key").isNotNull()).select(F.col("_key").alias("key")).distinct(), "routing-keys")
+        matches = bindings.select("key", F.col("key").alias("pattern")).distinct() if exchange == "direct" else _topic_matches(keys, bindings)
+        routes = matches.join(bindings.select(F.col("key").alias("pattern"), "queue"), "pattern").select(F.col("key").alias("_key"), "queue").distinct()
+        return keyed.join(stored(routes, "routes"), "_key").drop("_key")
+    if exchange != "headers":
+        raise ValueError(f"cannot bind to an exchange of type {exchange}")
+    keyed = df.withColumn("_key", F.to_json(F.array_sort(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>"))))))
+    sets = stored(keyed.groupBy("_key").agg(F.first("headers").alias("headers")), "header-sets")
+    numbered = stored(bindings.select("queue", "arguments", "match_all").withColumn("_n", F.monotonically_increasing_id())
+                      .withColumn("_wanted", F.size("arguments")), "bindings")
+    asked = numbered.select("_n", "_wanted", "match_all", "queue", F.explode("arguments").alias("name", "value"))
+    met = sets.select("_key", F.explode("headers").alias("name", "value")).join(asked, ["name", "value"])
+    met = met.groupBy("_key", "_n", "queue", "match_all", "_wanted").agg(F.count(F.lit(1)).alias("_met"))
+    routes = met.where(~F.col("match_all") | (F.col("_met") == F.col("_wanted"))).select("_key", "queue").distinct()
+    # Bindings without arguments that match all of them take every message.
+    every = numbered.where((F.col("_wanted") == 0) & F.col("match_all")).select("queue").distinct()
+    always = route_by_table(sets.select("_key"), "fanout", every, spread=spread)
+    return keyed.join(stored(routes.unionByName(always).distinct(), "routes"), "_key").drop("_key")
+
+
 def route_alternate(df: DataFrame, main: Column, alternate: Column) -> DataFrame:
     """As `route_exchange`, for two arrays of queues: messages the main exchange has no queue for
     go to those of its alternate exchange."""

@@ -75,13 +75,14 @@ def decode_auto(spark, sf):
 @query("encode_auto", f"""WITH {LOG} SELECT "offset",
   CASE event_type WHEN 'click' THEN '{{' || "offset" || ', ' || key || '}}' WHEN 'signup' THEN 'raw' WHEN 'error' THEN NULL
     ELSE '{{"id":' || "offset" || ',"user":"' || key || '"}}' END AS value,
-  CASE event_type WHEN 'click' THEN '"text/plain"' ELSE {_TYPE_SQL} END AS content_type FROM log""")
+  CASE event_type WHEN 'click' THEN '"text/plain"' ELSE {_TYPE_SQL} END AS content_type,
+  CASE WHEN event_type = 'error' THEN 'ConversionException' END AS error FROM log""")
 def encode_auto(spark, sf):
     kind = header("event_type")
     log = event_log(spark, sf, **{CONTENT_TYPE: _typed(F.col("event_type"))})
-    data = F.when(kind != "error", F.struct(F.col("offset").alias("id"), F.col("key").alias("user")))
+    data = F.struct(F.col("offset").alias("id"), F.col("key").alias("user"))
     out = content.encode(log, data, raw=F.when(kind == "signup", "raw"))
-    return out.select("offset", "value", header(CONTENT_TYPE).alias("content_type"))
+    return out.select("offset", "value", header(CONTENT_TYPE).alias("content_type"), "error")
 
 
 @query("native_coding", """SELECT event_id AS "offset", user_id AS key, CAST(value AS DOUBLE) AS value FROM events""")

@@ -99,10 +99,13 @@ def _documents(spark, sf):
 _DIRECT = [QueueBinding("three", "en.src3"), QueueBinding("three", "fr.src3"), QueueBinding("extra", "en.src3"), QueueBinding("three", "en.src3")]
 
 
-@query("route_exchange", f"""WITH {_BOUND_SQL} SELECT doc_id, 'topic' AS exchange, unnest(topic) AS queue FROM bound
+_EXCHANGES_SQL = f"""WITH {_BOUND_SQL} SELECT doc_id, 'topic' AS exchange, unnest(topic) AS queue FROM bound
   UNION ALL SELECT doc_id, 'headers', unnest(by_headers) FROM bound
   UNION ALL SELECT doc_id, 'direct', unnest(direct) FROM bound
-  UNION ALL SELECT doc_id, 'fanout', unnest(['english', 'first', 'all', 'deep']) FROM bound""")
+  UNION ALL SELECT doc_id, 'fanout', unnest(['english', 'first', 'all', 'deep']) FROM bound"""
+
+
+@query("route_exchange", _EXCHANGES_SQL)
 def route_exchange(spark, sf):
     docs, key = _documents(spark, sf), F.col("key")
     # All exchanges in one pass over the messages.
@@ -113,6 +116,16 @@ def route_exchange(spark, sf):
     return each.select("doc_id", "exchange", F.explode("queues").alias("queue"))
 
 
+@query("route_exchange_table", _EXCHANGES_SQL)
+def route_exchange_table(spark, sf):
+    """As route_exchange, with the bindings in tables."""
+    docs, out = _documents(spark, sf), []
+    for kind, bindings in [("topic", _TOPIC), ("headers", _HEADERS), ("direct", _DIRECT), ("fanout", _TOPIC)]:
+        bound = spark.createDataFrame([(b.queue, b.key, dict(b.arguments), b.match_all) for b in bindings], "queue string, key string, arguments map<string,string>, match_all boolean")
+        out.append(routing.route_by_table(docs, kind, bound, F.col("key")).select("doc_id", F.lit(kind).alias("exchange"), "queue"))
+    return routing.merge(*out)
+
+
 @query("route_alternate", f"""WITH {_BOUND_SQL} SELECT doc_id, unnest(CASE WHEN len(by_headers) > 0 THEN by_headers ELSE ['unrouted'] END) AS queue FROM bound""")
 def route_alternate(spark, sf):
     docs, key = _documents(spark, sf), F.col("key")
