@@ -124,21 +124,25 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+def release() -> None:
+    """Give freed memory back to the machine instead of keeping it for later tasks of this worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        pass
+
+
 def releasing(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
-    """The same function over batches; at its end the worker, which stays for later tasks, gives freed memory back to
-    the machine instead of keeping it for itself."""
+    """The same function over batches; at its end the worker, which stays for later tasks, releases its memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from function(batches)
         finally:
             del batches
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library, which has no such call
-                pass
+            release()
 
     return run
 

@@ -26,14 +26,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, quoted, releasing, running_total, text_bytes
+from millrace.llm.common import batch_of, quoted, release, releasing, running_total, text_bytes
 from millrace.llm.components import components
 from millrace.session import stored
 
 SHINGLE_WORDS, SIMILARITY, RECALL, SEED = 5, 0.8, 0.93, 42
 
 # Texts of one key that are compared pair by pair; nodes whose keys are made at once; index bytes of a task, about.
-GROUP, NODES_AT_ONCE, TASK_BYTES = 64, 4096, 16 << 20
+GROUP, NODES_AT_ONCE, TASK_BYTES = 64, 1024, 4 << 20
 
 _PAIR = [("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("sketch", pa.int64())]
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -374,7 +374,10 @@ def similar_documents(
         return _deal(batches, shape, tasks)
 
     def pairs_of(group: pa.Table) -> pa.Table:
-        return _pairs_of(group, shape)
+        try:
+            return _pairs_of(group, shape)
+        finally:
+            release()
 
     dealt = classes.select("node", "print").mapInArrow(releasing(deal), "part int, keys binary, nodes binary, sketches binary, hot binary, leaders binary")
     found = stored(dealt.groupBy("part").applyInArrow(pairs_of, "key bigint, a bigint, b bigint, sketch bigint"), "near-prints")
@@ -391,7 +394,10 @@ def similar_documents(
         return _deal_again(batches, shape, tasks)
 
     def cross_pairs(group: pa.Table) -> pa.Table:
-        return _cross_pairs(group, shape)
+        try:
+            return _cross_pairs(group, shape)
+        finally:
+            release()
 
     rooted = named.select("node", "print").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "print")
     again = rooted.mapInArrow(releasing(deal_again), "part int, keys binary, nodes binary, roots binary, prints binary")
