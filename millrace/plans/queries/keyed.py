@@ -10,6 +10,7 @@ from millrace.operators import aggregates, tables
 from millrace.plans.base import LOG, NOISY, event_log, hour, noisy_log, query, table
 from millrace.plans.queries.partitions import HASH_SQL, SIGNED_SQL
 from millrace.session import working_path
+from millrace.sinks.outputs import append
 from millrace.streaming.state import count_in_stores
 
 LATEST = """latest AS (SELECT key, last_value AS value FROM (
@@ -34,6 +35,19 @@ def tbl_compact(spark, sf):
     return tables.compact(noisy_log(spark, sf)).select("destination", "key", "offset", epoch_ms("timestamp").alias("timestamp_ms"), "value")
 
 
+@query("tbl_compact_stored", f"""WITH {NOISY}, numbered AS (SELECT * EXCLUDE ("offset"), row_number() OVER (PARTITION BY destination, "partition" ORDER BY ts, "offset") - 1 AS "offset" FROM log)
+  SELECT destination, key, "offset", ms AS timestamp_ms, value FROM numbered
+  QUALIFY row_number() OVER (PARTITION BY destination, "partition", key ORDER BY "offset" DESC) = 1""")
+def tbl_compact_stored(spark, sf):
+    """Appended in two goes and compacted after each: the second time only the later records and their buckets are read."""
+    path, out, log = working_path(spark, "log"), working_path(spark, "compacted"), noisy_log(spark, sf)
+    early = F.coalesce(F.col("timestamp") < "2024-01-25", F.lit(True))
+    for part in (log.filter(early), log.filter(~early)):
+        append(part, path, F.col("offset"), hour())
+        compacted = tables.compact_log(spark, path, out)
+    return compacted.select("destination", "key", "offset", epoch_ms("timestamp").alias("timestamp_ms"), "value")
+
+
 @query("tbl_materialize", f"""WITH {NOISY}, {LATEST} SELECT count(*) AS keys, min(key) AS first, max(key) AS last FROM latest""")
 def tbl_materialize(spark, sf):
     tables.materialize(tables.latest(noisy_log(spark, sf)), "latest_event", working_path(spark, "store"))

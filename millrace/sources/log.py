@@ -79,9 +79,9 @@ def stored_positions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_ENDS_TYPE).parquet(f"{path}/{ENDS}/{last:08d}") if last else spark.createDataFrame([], _ENDS_TYPE)
 
 
-def read_log(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, stream: bool = False, since: int = 0, **options: str) -> DataFrame:
     """A log stored as Parquet partitioned by `destination`. Of a log stored by `append`, the appends that are finished:
-    all records of one are there, or none. A stream takes files as they are written, those of an append that fails
+    all records of one are there, or none; with `since`, of later ones only. A stream takes files as they are written, those of an append that fails
     later included."""
     reader = (spark.readStream if stream else spark.read).options(**options)
     if not path_exists(spark, f"{path}/{ENDS}"):
@@ -89,7 +89,7 @@ def read_log(spark: SparkSession, path: str, stream: bool = False, **options: st
     log = reader.schema(T.StructType([*ENVELOPE.fields, T.StructField(_APPENDED, T.IntegerType())])).parquet(path)
     if not stream:
         known = appends(spark, path)
-        log = log.where((F.col(_APPENDED) <= known.last) & ~F.col(_APPENDED).isin(*known.failed))
+        log = log.where(F.col(_APPENDED).between(since + 1, known.last) & ~F.col(_APPENDED).isin(*known.failed))
     return log.select(*ENVELOPE.names)
 
 

@@ -5,6 +5,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import tables
 from millrace.operators.lag import lag
 from millrace.session import create_file, path_exists, working_path
 from millrace.sinks import outputs
@@ -139,3 +140,25 @@ def test_nothing_is_shown_before_the_first_batch_is_done(spark):
         write(spark.range(3), 0)
     runner.write_outputs({"c": lambda df: df}, folder)(spark.range(3), 0)
     assert runner.read_output(spark, folder, "c").count() == 3
+
+
+def test_compaction_reads_what_is_new(spark):
+    path, out = working_path(spark, "log"), working_path(spark, "compacted")
+    keyed = lambda n, start, keys: rows(spark, n, start).withColumn("key", F.concat(F.lit("k"), (F.col("id") % keys).cast("string")))
+    flat = lambda df: sorted((r["destination"], r["partition"], r["offset"], r["key"], r["value"]) for r in df.collect())
+    outputs.append(keyed(300, 0, 90), path, F.col("id"))
+    first = tables.compact_log(spark, path, out, buckets=16)
+    assert flat(first) == flat(tables.compact(src.read_log(spark, path))) and first.count() == 90
+    # Two keys change, one goes, one is new: their buckets alone are written again.
+    few = keyed(6, 300, 2).withColumn("value", F.when(F.col("id") % 2 == 0, F.col("value")))
+    outputs.append(few.withColumn("key", F.when(F.col("id") == 305, F.lit("new")).otherwise(F.col("key"))), path, F.col("id"))
+    second = tables.compact_log(spark, path, out, buckets=16)
+    assert flat(second) == flat(tables.compact(src.read_log(spark, path)))
+    assert flat(first) != flat(second) and len(flat(first)) == 90  # the earlier version is still there
+    again = [f for f in second.inputFiles() if "append=2" in f]
+    assert again and len({f.split("bucket=")[1].split("/")[0] for f in again}) <= 6 < len({f.split("bucket=")[1].split("/")[0] for f in second.inputFiles()})
+    # A second run sees the records of the new append only.
+    files = {r[0] for r in src.read_log(spark, path, since=1).select(F.input_file_name()).collect()}
+    assert src.read_log(spark, path, since=1).count() == 6 and files and all("append=2" in f for f in files)
+    assert flat(tables.compact_log(spark, path, out, buckets=16)) == flat(second)
+    assert tables.compact_log(spark, working_path(spark, "none"), working_path(spark, "out")).count() == 0
