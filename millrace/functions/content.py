@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +53,18 @@ def decode_text(value: Column, listed: bool = False) -> Column:
     return F.transform(value, lambda v: F.decode(v, "UTF-8")) if listed else F.decode(value, "UTF-8")
 
 
-def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: bool = False) -> DataFrame:
+# What tells by the content type whether a converter takes a message, and how it turns the value into data.
+Converter = tuple[Callable[[Column], Column], Callable[[Column], Column]]
+
+
+def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: bool = False, converters: Sequence[Converter] = ()) -> DataFrame:
     """Add the decoded payload and what went wrong with it, in one pass.
 
     The first converter that supports the content type is used: `data` holds the struct of a JSON
     payload, `text` the string of a text one, `bytes` any other supported one; `error` is null for
-    good rows and tombstones. With `native` the framework stays out: `data` is cast from the value."""
+    good rows and tombstones. `converters` of the caller come before the built-in ones, in their order; the first whose
+    test is true for the content type gives `data`, a struct of the schema, from the value, and a value that it turns
+    into null is an error. With `native` the framework stays out: `data` is cast from the value."""
     if native:
         value = F.col("value")
         if isinstance(schema, T.StructType) and not isinstance(df.schema["value"].dataType, T.StructType):
@@ -65,14 +72,23 @@ def decode(df: DataFrame, schema: T.StructType, default: str = JSON, native: boo
             return _split_parsed(df.withColumn("_parsed", _once(decode_json(value.cast("string"), schema))), schema, F.lit(None).cast("string"), F.lit(True))
         return df.withColumns({"data": value.cast(schema), "error": F.lit(None).cast("string")})
     ct, value = content_type(default), F.col("value").cast("string")
-    out = df.withColumns({
-        "_parsed": _once(F.when(is_json(ct), decode_json(value, schema))),
-        "text": F.when(is_text(ct), value),
-        "bytes": F.when(is_bytes(ct), F.col("value").cast("binary")),
-        "error": F.when(F.col("value").isNull(), None)
-        .when(~(is_json(ct) | is_text(ct) | is_bytes(ct)), UNSUPPORTED),
-    })
-    return _split_parsed(out, schema, F.col("error"), is_json(ct))
+    if not converters:
+        out = df.withColumns({
+            "_parsed": _once(F.when(is_json(ct), decode_json(value, schema))),
+            "text": F.when(is_text(ct), value),
+            "bytes": F.when(is_bytes(ct), F.col("value").cast("binary")),
+            "error": F.when(F.col("value").isNull(), None)
+            .when(~(is_json(ct) | is_text(ct) | is_bytes(ct)), UNSUPPORTED),
+        })
+        return _split_parsed(out, schema, F.col("error"), is_json(ct))
+    # Which converter takes the row: the caller's by number, else none of them.
+    which = F.coalesce(*[F.when(F.coalesce(takes(ct), F.lit(False)), n) for n, (takes, _) in enumerate(converters)], F.lit(-1))
+    made = reduce(lambda chain, c: chain.when(which == c[0], c[1][1](F.col("value")).cast(schema)), enumerate(converters), F.when(F.lit(False), F.lit(None).cast(schema)))
+    rest = decode(df.withColumns({"_which": which, "_made": _once(F.when(F.col("value").isNotNull(), made))}), schema, default)
+    own = F.col("_which") >= 0
+    failed = F.when(F.col("value").isNotNull() & F.col("_made").isNull(), F.lit(MALFORMED))
+    return rest.withColumns({"data": F.when(own, F.col("_made")).otherwise(F.col("data")), "error": F.when(own, failed).otherwise(F.col("error")),
+                             **{c: F.when(~own, F.col(c)) for c in ("text", "bytes")}}).drop("_which", "_made")
 
 
 def _once(parsed: Column) -> Column:

@@ -168,3 +168,21 @@ def test_an_empty_json_text_is_an_error(spark):
     got = {(r["value"], r["headers"]["contentType"]): r["error"] for r in content.decode(rows, T.StructType.fromDDL("x int")).collect()}
     bad = {k for k, e in got.items() if e == content.MALFORMED}
     assert bad == {("", "application/json"), ("  ", "application/json"), ("{", "application/json")}
+
+
+def test_converters_of_the_caller_come_first(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("x int, y string")
+    converters = [(lambda ct: ct == "text/csv", lambda v: F.when(F.size(F.split(v, ";")) == 2, F.struct(F.get(F.split(v, ";"), F.lit(0)).try_cast("int").alias("x"), F.get(F.split(v, ";"), F.lit(1)).alias("y")))),
+                  (lambda ct: ct.startswith("text/"), lambda v: F.struct(F.length(v).alias("x"), v.alias("y"))),
+                  (lambda ct: ct == "application/vnd.own", lambda v: F.struct(F.lit(7).alias("x"), F.lit(None).cast("string").alias("y")))]
+    rows = spark.createDataFrame([("1;a", "text/csv"), ("broken", "text/csv"), ("abc", "text/plain"), ("z", "application/vnd.own"), ('{"x":5,"y":"b"}', "application/json"),
+                                  (None, "text/csv"), ("q", "image/png"), ("{", "application/json"), ("b", "application/octet-stream")], "value string, ct string")
+    rows = rows.withColumn("headers", F.create_map(F.lit("contentType"), "ct"))
+    got = {(r["value"], r["ct"]): (tuple(r["data"]) if r["data"] else None, r["error"]) for r in content.decode(rows, schema, converters=converters).collect()}
+    assert got == {("1;a", "text/csv"): ((1, "a"), None), ("broken", "text/csv"): (None, content.MALFORMED), ("abc", "text/plain"): ((3, "abc"), None),
+                   ("z", "application/vnd.own"): ((7, None), None), ('{"x":5,"y":"b"}', "application/json"): ((5, "b"), None), (None, "text/csv"): (None, None),
+                   ("q", "image/png"): (None, content.UNSUPPORTED), ("{", "application/json"): (None, content.MALFORMED), ("b", "application/octet-stream"): (None, None)}
+    out = content.decode(rows, schema, converters=converters)
+    assert {r["text"] for r in out.collect()} == {None} and out.columns == content.decode(rows, schema).columns
