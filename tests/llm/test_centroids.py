@@ -47,7 +47,7 @@ def odd_rows():
                    (208, [131071.9] * 12), (209, [131072.0] * 12), (210, [0.0] * 12), (211, [-0.0] * 12)]
 
 
-@pytest.mark.parametrize("shards, block_rows", [(4, 4096), (5, 7), (1, 10), (99, 50)])
+@pytest.mark.parametrize("shards, block_rows", [(4, 4096), (5, 7)])
 def test_clusters_by_hand(spark, shards, block_rows):
     rows = odd_rows()
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
