@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, quoted, releasing, with_fields, without
+from millrace.llm.common import batch_of, forget_worker_state, quoted, releasing, with_fields, without
 
 # Bounds of the training sample of one language: documents, code points of each, and bytes of the dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 64_000
@@ -118,6 +118,7 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
     added = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         classifier = Classifier(known)
         for batch in batches:
             found = [classifier.classify(t.as_py()) for t in batch.column(text)]

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batch_of, quoted, release, releasing, running_total, text_bytes
+from millrace.llm.common import batch_of, forget_worker_state, quoted, release, releasing, running_total, text_bytes
 from millrace.llm.components import components
 from millrace.session import stored
 
@@ -110,6 +110,7 @@ def _content(docs: DataFrame, text: str, doc_id: str, layout: Layout, size: int)
     plain = docs.select(quoted(doc_id).alias("doc_id"), F.when(quoted(text).isNotNull(), F.xxhash64(quoted(text))).alias("text_hash"), quoted(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         for batch in batches:
             hashes, prints = [], []
             for raw in text_bytes(batch.column("text")):
