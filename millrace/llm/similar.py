@@ -6,7 +6,8 @@ most one of them with a probability that is known, and so many segments are take
 agrees that way in one of them with the recall asked for. Every fingerprint is indexed by each segment with each of its
 bits wiped out; texts that meet under a key, and whose remaining 64 bits are near as well, are compared by their shingles.
 
-Keys are exchanged as arrays, dealt by hash. At first only the first text of a key is compared with its others, so the
+Keys are exchanged as arrays, dealt by hash. Texts that are equal in a segment share all its keys, and meet under the
+first of them; texts that differ in a bit there meet under the key without it. At first only the first text of a key is compared with its others, so the
 pairs to verify are fewer than the keys. Texts that may still be near another one meet again with what hangs together by
 then, and only pairs from different components are compared, each under one of the keys it shares. A key that many texts
 share (more than `group`, in a batch or in all) is not held by a task: its rows are joined by Spark, those of its largest
@@ -18,12 +19,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import batch_of, forget_worker_state, quoted, release, releasing, running_total, text_bytes
@@ -35,7 +37,7 @@ SHINGLE_WORDS, SIMILARITY, RECALL, SEED = 5, 0.8, 0.93, 42
 # Texts of one key that are compared pair by pair; nodes whose keys are made at once; index bytes of a task, about.
 GROUP, NODES_AT_ONCE, TASK_BYTES = 64, 1024, 4 << 20
 
-_PAIR = [("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("sketch", pa.int64())]
+_PAIR = [("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -127,14 +129,29 @@ def _content(docs: DataFrame, text: str, doc_id: str, layout: Layout, size: int)
 
 def keys_of(prints: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
     """Of prints (rows of bytes), the keys (a column for each segment and wiped bit) and the 64 bits besides."""
+    return _wiped(_whole_keys(prints, layout), layout), np.ascontiguousarray(prints[:, -8:]).view("<i8").ravel()
+
+
+def _whole_keys(prints: np.ndarray, layout: Layout) -> np.ndarray:
+    """The keys of prints with the bit in its place that a key wipes out."""
     bits = np.unpackbits(prints, axis=1, bitorder="little")
     powers = (1 << np.arange(layout.width, dtype=np.int64))
     columns = []
     for s in range(layout.segments):
         segment = bits[:, s * layout.width : (s + 1) * layout.width] @ powers
         for p in range(layout.width):
-            columns.append((segment & ~(1 << p)) | (s * layout.width + p) << layout.width)
-    return np.stack(columns, axis=1), np.ascontiguousarray(prints[:, -8:]).view("<i8").ravel()
+            columns.append(segment | (s * layout.width + p) << layout.width)
+    return np.stack(columns, axis=1)
+
+
+def _wiped(whole: np.ndarray, layout: Layout) -> np.ndarray:
+    return whole & ~(1 << (whole >> layout.width) % layout.width)
+
+
+def _meet_here(a: np.ndarray, b: np.ndarray, layout: Layout) -> np.ndarray:
+    """Of two whole keys that are equal when wiped, whether texts meet under this one of the keys they share in its
+    segment: the only one if they differ in the bit, else the segment's first."""
+    return (a != b) | ((a >> layout.width) % layout.width == 0)
 
 
 def _grouped(keys: np.ndarray, hot: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,25 +166,27 @@ def _near(a: np.ndarray, b: np.ndarray, reach: int) -> np.ndarray:
 
 
 def _deal(batches: Iterator[pa.RecordBatch], layout: Layout, tasks: int) -> Iterator[pa.RecordBatch]:
-    """Arrays of (key, node, sketch, hot) for each task. Of keys that are hot here only the first node goes on; all
-    their rows are dealt evenly besides, each with that first node if it is near, else itself, as its leader."""
+    """Arrays of (whole key, node, sketch, hot) for each task. Of keys that are hot here only the first node goes on; all
+    their rows are dealt evenly besides, each with that first node if they meet here and are near, else itself, as its
+    leader."""
     names = ["part", "keys", "nodes", "sketches", "hot", "leaders"]
     for whole in batches:
         for at in range(0, whole.num_rows, NODES_AT_ONCE):
             batch = whole.slice(at, NODES_AT_ONCE)
             prints = np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            table, sketch = keys_of(prints, layout)
-            keys, nodes = table.ravel(), np.repeat(batch.column("node").to_numpy(), table.shape[1])
-            sketches = np.repeat(sketch, table.shape[1])
+            table, sketch = _whole_keys(prints, layout), np.ascontiguousarray(prints[:, -8:]).view("<i8").ravel()
+            whole_keys, nodes = table.ravel(), np.repeat(batch.column("node").to_numpy(), table.shape[1])
+            keys, sketches = _wiped(whole_keys, layout), np.repeat(sketch, table.shape[1])
             order = np.lexsort((nodes, keys))
-            keys, nodes, sketches = keys[order], nodes[order], sketches[order]
+            whole_keys, keys, nodes, sketches = whole_keys[order], keys[order], nodes[order], sketches[order]
             starts, hot = _grouped(keys, np.zeros(len(keys), bool), layout.group)
             first = np.zeros(len(keys), bool)
             first[starts] = True
             hot_row = np.repeat(hot, np.diff(np.append(starts, len(keys))))
             stay = ~hot_row | first
             leader = np.repeat(starts, np.diff(np.append(starts, len(keys))))
-            leader = np.where(_near(sketches, sketches[leader], layout.reach), nodes[leader], nodes)
+            led = _near(sketches, sketches[leader], layout.reach) & _meet_here(whole_keys, whole_keys[leader], layout)
+            leader = np.where(led, nodes[leader], nodes)
             rows = []
             for chosen, dealt_by in ((np.flatnonzero(stay), keys), (np.flatnonzero(hot_row), nodes)):
                 part = (dealt_by * 0x9E3779B97F4A7C1 >> 20) % tasks
@@ -175,7 +194,7 @@ def _deal(batches: Iterator[pa.RecordBatch], layout: Layout, tasks: int) -> Iter
                 ends = np.flatnonzero(np.diff(part[chosen], append=tasks + 1)) + 1
                 for lo, hi in zip([0, *ends[:-1]], ends) if len(chosen) else ():
                     c = chosen[lo:hi]
-                    rows.append((int(part[c[0]]), keys[c].astype("<u4" if _short(layout) else "<i8").tobytes(), nodes[c].astype("<i8").tobytes(),
+                    rows.append((int(part[c[0]]), whole_keys[c].astype("<u4" if _short(layout) else "<i8").tobytes(), nodes[c].astype("<i8").tobytes(),
                                  sketches[c].astype("<i8").tobytes(), np.packbits(hot_row[c]).tobytes(), None if dealt_by is keys else leader[c].tobytes()))
             columns = list(zip(*rows)) or [[]] * 6
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
@@ -187,8 +206,8 @@ def _short(layout: Layout) -> bool:
 
 
 def _pairs_of(group: pa.Table, layout: Layout) -> pa.Table:
-    """Near pairs (a < b, key null) of the first node of each key, nodes with other near pairs (a = b), and the rows of
-    hot keys (b null)."""
+    """Near pairs (a < b, key null) of the first node of each key, nodes with other near pairs only (a = b), and the rows
+    of hot keys (b null). Nodes that share several keys of a segment are paired or marked under one of them."""
     through = np.array([b is not None for b in group.column("leaders").to_pylist()], bool)
 
     def joined(name: str, chosen: np.ndarray, kind: str) -> np.ndarray:
@@ -199,39 +218,43 @@ def _pairs_of(group: pa.Table, layout: Layout) -> pa.Table:
         keys = joined("keys", chosen, "<u4" if _short(layout) else "<i8").astype(np.int64)
         return [keys, joined("nodes", chosen, "<i8"), joined("sketches", chosen, "<i8")]
 
-    keys, nodes, sketches = parts(~through)
+    whole_keys, nodes, sketches = parts(~through)
+    keys = _wiped(whole_keys, layout)
     sizes = [len(b) // 8 for b in group.column("nodes").to_pylist()]
     flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for b, n, t in zip(group.column("hot").to_pylist(), sizes, through) if not t]
     marked = np.concatenate(flags) if flags else np.zeros(0, bool)
     order = np.lexsort((nodes, keys))
-    keys, nodes, sketches, marked = keys[order], nodes[order], sketches[order], marked[order]
+    whole_keys, keys, nodes, sketches, marked = whole_keys[order], keys[order], nodes[order], sketches[order], marked[order]
     starts, hot = _grouped(keys, marked, layout.group)
     lengths = np.diff(np.append(starts, len(keys)))
     hot_row = np.repeat(hot, lengths)
     # Of a key, its first node with each of the others.
     first, every = np.repeat(starts, lengths), np.arange(len(keys))
-    led = (first != every) & _near(sketches[first], sketches, layout.reach)
-    # Nodes that are near others besides are marked by a pair with themselves.
+    by_first = (first != every) & _near(sketches[first], sketches, layout.reach)
+    led = by_first & _meet_here(whole_keys[first], whole_keys, layout)
+    # Nodes that are near others besides are marked by a pair with themselves, if no other row here names them. Those near
+    # the first one are named where they meet it.
     open_nodes, at = [], np.flatnonzero(~hot_row & (first != every))
     for d in range(1, layout.group):
         at = at[at + d < len(keys)]
         at = at[keys[at] == keys[at + d]]
         if not len(at):
             break
-        near = at[_near(sketches[at], sketches[at + d], layout.reach)]
-        open_nodes += [nodes[near], nodes[near + d]]
+        near = at[_near(sketches[at], sketches[at + d], layout.reach) & _meet_here(whole_keys[at], whole_keys[at + d], layout)]
+        open_nodes += [nodes[x[~by_first[x]]] for x in (near, near + d)]
     alone = np.concatenate(open_nodes) if open_nodes else np.zeros(0, np.int64)
     more, leaders = parts(through), joined("leaders", through, "<i8")
+    more[0] = _wiped(more[0], layout)
     apart = leaders != more[1]
-    both = np.stack([np.concatenate([nodes[first[led]], leaders[apart], alone]), np.concatenate([nodes[led], more[1][apart], alone])], axis=1)
-    pairs = np.unique(np.sort(both, axis=1), axis=0)
     # Marked nodes are among the rows of the batches already.
-    rows = [np.concatenate([x[hot_row & ~marked], y]) for x, y in zip((keys, nodes, sketches), more)]
+    rows = [np.concatenate([x[hot_row & ~marked], y]) for x, y in zip((keys, nodes), more)]
+    both = np.stack([np.concatenate([nodes[first[led]], leaders[apart]]), np.concatenate([nodes[led], more[1][apart]])], axis=1)
+    alone = np.setdiff1d(alone, np.concatenate([both.ravel(), rows[1]]))
+    pairs = np.unique(np.concatenate([np.sort(both, axis=1), np.stack([alone, alone], axis=1)]), axis=0)
     n, m = len(pairs), len(rows[0])
     none = lambda k: pa.nulls(k, pa.int64())
     return pa.table({"key": pa.chunked_array([none(n), pa.array(rows[0])]), "a": np.concatenate([pairs[:, 0], rows[1]]),
-                     "b": pa.chunked_array([pa.array(pairs[:, 1]), none(m)]), "sketch": pa.chunked_array([none(n), pa.array(rows[2])])},
-                    schema=pa.schema(_PAIR))
+                     "b": pa.chunked_array([pa.array(pairs[:, 1]), none(m)])}, schema=pa.schema(_PAIR))
 
 
 def _deal_again(batches: Iterator[pa.RecordBatch], layout: Layout, tasks: int) -> Iterator[pa.RecordBatch]:
@@ -337,15 +360,18 @@ def _packed(docs: DataFrame, nodes: DataFrame, text: str, doc_id: str) -> DataFr
     return stored(met.groupBy("node").agg(F.first("words").alias("words")), "packed-words")
 
 
-def _across(hot: DataFrame, roots: DataFrame, reach: int) -> DataFrame:
-    """Pairs of nodes that share a hot key, are near and do not hang together yet. Under each key, those of the largest
-    component meet the others only."""
-    placed = stored(hot.join(roots.withColumnRenamed("node", "a"), "a", "left").select("key", "a", "sketch", F.coalesce("root", "a").alias("root")), "hot-keys")
+def _across(hot: DataFrame, rooted: DataFrame, layout: Layout) -> DataFrame:
+    """Pairs of nodes (node, root, print) that share a hot key, have near prints and do not hang together yet. Under each
+    key, those of the largest component meet the others only."""
+    bits = [f"bits{n}" for n in range(layout.words)]
+    words = [F.conv(F.hex(F.substring("print", 8 * n + 1, 8)), 16, -10).cast("bigint").alias(b) for n, b in enumerate(bits)]
+    placed = stored(hot.join(rooted.withColumnRenamed("node", "a"), "a").select("key", "a", "root", *words), "hot-keys")
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     major = stored(sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count(F.lit(1)).alias("roots")).where("roots > 1"), "hot-majors")
-    others = placed.join(major, "key").where(F.col("root") != F.col("major")).select("key", F.col("a").alias("x"), F.col("sketch").alias("x_sketch"), F.col("root").alias("x_root"))
-    met = placed.join(others, "key").where((F.col("root") != F.col("x_root")) & (F.bit_count(F.col("sketch").bitwiseXOR(F.col("x_sketch"))) <= reach))
-    return met.select(F.least("a", "x").alias("a"), F.greatest("a", "x").alias("b")).distinct()
+    others = placed.join(major, "key").where(F.col("root") != F.col("major")).select("key", *[F.col(c).alias(f"x_{c}") for c in ("a", "root", *bits)])
+    differ = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"x_{b}"))) for b in bits])
+    met = placed.join(others, "key").where((F.col("root") != F.col("x_root")) & (differ <= layout.whole_reach))
+    return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
 def similar_documents(
@@ -381,7 +407,7 @@ def similar_documents(
             release()
 
     dealt = classes.select("node", "print").mapInArrow(releasing(deal), "part int, keys binary, nodes binary, sketches binary, hot binary, leaders binary")
-    found = stored(dealt.groupBy("part").applyInArrow(pairs_of, "key bigint, a bigint, b bigint, sketch bigint"), "near-prints")
+    found = stored(dealt.groupBy("part").applyInArrow(pairs_of, "key bigint, a bigint, b bigint"), "near-prints")
     near = stored(found.where("b is not null").select("a", "b").distinct(), "near-pairs")
     pairs, hot = near.where("a != b"), found.where("b is null")
 
@@ -404,7 +430,7 @@ def similar_documents(
     again = rooted.mapInArrow(releasing(deal_again), "part int, keys binary, nodes binary, roots binary, prints binary")
     more = again.groupBy("part").applyInArrow(cross_pairs, "a bigint, b bigint")
     if not hot.isEmpty():
-        more = more.unionByName(_across(hot, roots, shape.reach)).distinct()
+        more = more.unionByName(_across(hot, rooted, shape)).distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "near-across")
     if not more.isEmpty():
         roots = components(links.unionByName(stored(_verified(more, packed, similarity, size), "similar-across")))

@@ -170,3 +170,17 @@ def test_similar_odd_rows(spark):
     assert by[5, 5, True] == 1 and by[7, 5, False] == 2 and by[8, 5, False] == 1 and by[None, 5, False] == 1
     assert by[11, 11, True] == 1 and by[12, 11, False] == 2 and by[10, 10, True] == 1 and by[None, None, True] == 1
     assert similar.similar_documents(odd.limit(0)).collect() == []
+
+
+def test_copies_are_paired_once_a_segment():
+    """Texts that are equal in a segment share a key for each of its bits, but make rows under one of them."""
+    import pyarrow as pa
+
+    shape = similar.Layout(16, 4, 17, 70, 64)
+    prints = np.random.default_rng(3).integers(0, 256, 8 * shape.words, np.uint8)
+    table = pa.table({"node": np.arange(60), "print": pa.array([prints.tobytes()] * 60, pa.binary())})
+    dealt = pa.Table.from_batches(list(similar._deal(iter(table.to_batches()), shape, 64)))
+    parts = [similar._pairs_of(dealt.filter(pa.array(np.array(dealt.column("part")) == p)), shape) for p in range(64)]
+    found = pa.concat_tables(parts)
+    assert found.num_rows <= shape.segments * 59
+    assert set(zip(found.column("a").to_pylist(), found.column("b").to_pylist())) == {(0, n) for n in range(1, 60)}
