@@ -63,5 +63,5 @@ def late_by_source(spark, sf):
     """As late_drop, on a stream: records take as many seconds to arrive as their value says."""
     arrival = F.timestamp_micros(F.unix_micros("timestamp") + (amount() * 1_000_000).cast("bigint"))
     log = event_log(spark, sf).withColumn("arrival", arrival).select("destination", "offset", "timestamp", "arrival")
-    flag = lambda df: changing.flag_late_rows(df, [F.unix_micros("arrival"), "offset"], ["destination"], 60_000)
+    flag = lambda df: changing.flag_late_rows(df, [F.unix_micros("arrival"), "offset"], ["destination"], 60_000, width=3_600_000_000)
     return arriving(spark, [log], flag, "append", F.col("arrival")).select("destination", "offset", "late")

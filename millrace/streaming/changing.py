@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -210,40 +212,88 @@ def latest_changes(
 
 
 class StreamTime(StatefulProcessor):
-    """Keeps the greatest event time that has arrived from a source."""
-
-    def __init__(self, grace_us: int):
-        self.grace_us = grace_us
+    """Keeps the greatest event time that has arrived from a source. Of a micro-batch it takes the greatest time of each
+    slice of arrivals and gives back the greatest time before it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.time = handle.getValueState("stream-time", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # A source's rows of one micro-batch, put into their order of arrival.
-        part = pd.concat(list(rows))
-        part = part.sort_values([c for c in part.columns if c.startswith("arrival")], kind="stable")
-        before = self.time.get()[0] if self.time.exists() else -(1 << 62)
-        known = part["at"].notna()
-        at = part["at"].where(known, -(1 << 62)).astype("int64")
-        upto = at.cummax().clip(lower=before)
-        self.time.update((int(upto.iloc[-1]),))
-        yield pd.DataFrame({"body": part["body"], "late": known & (at < upto - self.grace_us)})
+        greatest: dict[int, int] = {}
+        for part in rows:
+            for n, at in part.groupby("slice")["at"].max().items():
+                greatest[int(n)] = max(int(at), greatest.get(int(n), int(at)))
+        upto = self.time.get()[0] if self.time.exists() else _NEVER
+        out = []
+        for n in sorted(greatest):
+            out.append((*key, n, upto))
+            upto = max(upto, greatest[n])
+        self.time.update((upto,))
+        yield pd.DataFrame(out, columns=[*(f"source{n}" for n in range(len(key))), "slice", "before"])
 
     def close(self) -> None:
         pass
 
 
+# The time of rows without one, and the slice of rows without an arrival.
+_NEVER, _LAST = -(1 << 62), 1 << 62
+
+
+def greatest_in_task(batches: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Rows (sources, slice, at) of a task reduced to the greatest time of each source and slice; emptied at `most` rows."""
+    total: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if total is None else pa.concat_tables([total, rows])
+        reduced = rows.group_by(batch.schema.names[:-1]).aggregate([("at", "max")]).rename_columns({"at_max": "at"})
+        total = reduced.select(batch.schema.names).cast(batch.schema)
+        if total.num_rows > most:
+            yield from total.to_batches()
+            total = None
+    if total is not None:
+        yield from total.to_batches()
+
+
+def _flag_slice(rows: pa.Table, grace_us: int) -> pa.Table:
+    """body and late of a slice's rows; one row more has the source's time before the slice."""
+    told = rows.column("before").is_valid()
+    before = pc.max(rows.column("before")).as_py()
+    mine = rows.filter(pc.invert(told))
+    order = [(c, "ascending") for c in mine.column_names if c.startswith("arrival")]
+    mine = mine.take(pc.sort_indices(mine, sort_keys=order, null_placement="at_end"))
+    at = mine.column("at").to_numpy()
+    upto = np.maximum(np.maximum.accumulate(at), before)
+    late = (at != _NEVER) & (at < upto - grace_us)
+    return pa.table({"body": mine.column("body"), "late": pa.array(late)})
+
+
 def flag_late_rows(
     log: DataFrame, arrival: Sequence[Column | str] = ("offset",), source: Sequence[str] = ("destination", "partition"), grace_ms: int = 0, ts: str = "timestamp",
+    width: int = 100_000,
 ) -> DataFrame:
     """Flag the rows of a stream that are older than their source's stream time, the greatest event time that has arrived
     from it so far: what `windows.flag_late` gives in batch, where Spark's watermark is one for the whole query. Append
     mode. A row without a time is not late. Rows of a source arrive in the order of `arrival`, whole numbers, inside a
-    micro-batch, and micro-batches one after the other; a micro-batch's rows of one source are held in memory, so bound its files."""
+    micro-batch, and micro-batches one after the other.
+
+    A source's arrivals are cut into slices of `width` of the first number of `arrival`. The processor of a source only
+    sees the greatest time of each slice; the rows of a slice are judged in a task of their own, which holds them in
+    memory, so let `width` be no more than what fits."""
     use_rocksdb(log.sparkSession)
-    sources = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"source{n}") for n, c in enumerate(source)]
+    keys = [f"source{n}" for n in range(len(source))]
+    sources = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for k, c in zip(keys, source)]
     order = [(F.col(c) if isinstance(c, str) else c).cast("bigint").alias(f"arrival{n}") for n, c in enumerate(arrival)]
-    rows = log.select(*sources, *order, F.unix_micros(ts).alias("at"), _packed(log, log.columns).alias("body"))
-    seen = rows.groupBy(*[f"source{n}" for n in range(len(source))]).transformWithStateInPandas(
-        StreamTime(grace_ms * 1000), outputStructType="body string, late boolean", outputMode="Append", timeMode="None")
+    rows = log.select(*sources, *order, F.coalesce(F.unix_micros(ts), F.lit(_NEVER)).alias("at"), _packed(log, log.columns).alias("body"))
+    rows = rows.withColumn("slice", F.coalesce(F.col("arrival0") - F.pmod("arrival0", F.lit(width)), F.lit(_LAST)))
+    slim = rows.select(*keys, "slice", "at")
+    kinds = ", ".join(f"{k} string" for k in keys)
+    before = slim.mapInArrow(greatest_in_task, slim.schema).groupBy(*keys).transformWithStateInPandas(
+        StreamTime(), outputStructType=f"{kinds}, slice bigint, before bigint", outputMode="Append", timeMode="None")
+    grace_us = grace_ms * 1000
+
+    def flag(group: pa.Table) -> pa.Table:
+        return _flag_slice(group, grace_us)
+
+    both = rows.unionByName(before, allowMissingColumns=True)
+    seen = both.groupBy(*keys, "slice").applyInArrow(flag, "body string, late boolean")
     return seen.select(_unpacked(F.col("body"), log, log.columns).alias("_row"), "late").select(*[F.col(f"_row.`{c}`") for c in log.columns], "late")

@@ -146,3 +146,23 @@ def test_late_rows_by_source(spark):
         got = run(spark, changing.flag_late_rows(streamed(spark, path, schema), grace_ms=grace)).drop("batch")
         expected = windows.flag_late(spark.createDataFrame(log, schema), [F.col("offset")], grace=f"{grace // 1000} seconds")
         assert flat(got) == flat(expected) and 0 < got.where("late").count() < 200
+
+
+@pytest.mark.parametrize("width", [7, 100_000])
+def test_late_rows_in_slices(spark, width):
+    """The rows of a source are judged slice by slice, with the time before each; its processor sees a time for a slice."""
+    rng = random.Random(5)
+    at = lambda s: (pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s)).to_pydatetime()
+    log = [(rng.choice("ab"), 0, n - 100, None if n % 41 == 0 else at(n + rng.randrange(-30, 30))) for n in range(200)]
+    schema = "destination string, partition int, offset bigint, timestamp timestamp"
+    path = files(spark, [log[:90], log[90:]], schema)
+    got = run(spark, changing.flag_late_rows(streamed(spark, path, schema), width=width)).drop("batch")
+    expected = windows.flag_late(spark.createDataFrame(log, schema), [F.col("offset")], grace="0 seconds")
+    assert spark_rows(got) == spark_rows(expected) and 20 < got.where("late").count() < 200
+
+
+def test_times_of_slices_are_reduced_in_the_task():
+    batch = lambda rows: pa.RecordBatch.from_pylist([{"source0": s, "slice": n, "at": a} for s, n, a in rows])
+    rows = [batch([("a", n % 2, n) for n in range(1000)]), batch([("a", 1, 5), ("b", 0, 7)])]
+    got = sorted((r["source0"], r["slice"], r["at"]) for b in changing.greatest_in_task(iter(rows)) for r in b.to_pylist())
+    assert got == [("a", 0, 998), ("a", 1, 999), ("b", 0, 7)]
