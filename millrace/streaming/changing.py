@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -141,21 +141,18 @@ class LatestValue(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "at bigint, tie bigint, body string, removed boolean", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.last.get() if self.last.exists() else None
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         newest = None
-        for part in rows:
-            for at, tie, body, removed in zip(part["at"].tolist(), part["tie"].tolist(), part["body"].tolist(), part["removed"].tolist()):
-                if newest is None or (at, tie) > newest[:2]:
-                    newest = (int(at), int(tie), body, bool(removed))
-        out = []
+        for r in rows:
+            if newest is None or (r.at, r.tie) > newest[:2]:
+                newest = (r.at, r.tie, r.body, r.removed)
+        held = self.last.get()
         if newest is not None and (held is None or newest[:2] > tuple(held[:2])):
             self.last.update(newest)
             gone = held is None or held[3]
             # What is new, and removals of what was there.
             if not (newest[3] and gone) and (gone or tuple(held[2:4]) != newest[2:]):
-                out.append((key[0], newest[2], newest[3]))
-        yield pd.DataFrame(out, columns=["key", "body", "removed"])
+                yield Row(key=key[0], body=newest[2], removed=newest[3])
 
     def close(self) -> None:
         pass
@@ -205,7 +202,7 @@ def latest_changes(
         F.col("key").cast("string").alias("key"), F.coalesce(at, F.lit(-(1 << 62))).alias("at"), F.col(tie).cast("bigint").alias("tie"),
         F.when(F.col("value").isNotNull(), _packed(log, columns)).alias("body"), F.col("value").isNull().alias("removed"))
     few = slim.mapInArrow(newest_in_task, slim.schema)
-    changed = few.groupBy("key").transformWithStateInPandas(
+    changed = few.groupBy("key").transformWithState(
         LatestValue(ttl_ms), outputStructType="key string, body string, removed boolean", outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
     return changed.select(F.col("key").cast(log.schema["key"].dataType).alias("key"), _unpacked(F.col("body"), log, columns).alias("_last"), "removed").select(
         "key", *[F.col(f"_last.`{c}`") for c in columns], "removed")

@@ -5,6 +5,7 @@ import random
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.operators import joins, windows
@@ -166,3 +167,28 @@ def test_times_of_slices_are_reduced_in_the_task():
     rows = [batch([("a", n % 2, n) for n in range(1000)]), batch([("a", 1, 5), ("b", 0, 7)])]
     got = sorted((r["source0"], r["slice"], r["at"]) for b in changing.greatest_in_task(iter(rows)) for r in b.to_pylist())
     assert got == [("a", 0, 998), ("a", 1, 999), ("b", 0, 7)]
+
+
+def test_latest_asks_its_state_once_a_key():
+    """Each call of a state goes through a socket: one to read, and one to write only if there is something newer."""
+
+    class State:
+        calls, held = [], None
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    processor = changing.LatestValue(None)
+    processor.last = State()
+    put = lambda *rows: [tuple(r) for r in processor.handleInputRows(("a",), iter([Row(at=t, tie=i, body=b, removed=b is None) for t, i, b in rows]), None)]
+    assert put((1, 0, "x"), (2, 0, "y"), (0, 9, "old")) == [("a", "y", False)] and put((1, 5, "late")) == [] and put((3, 0, None)) == [("a", None, True)]
+    assert processor.last.calls == ["get", "update", "get", "get", "update"]
