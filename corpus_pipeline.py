@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: language, near-duplicates, repeated passages, mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Rows
-with nulls, empty texts, ties and repeated rows are treated as the operators' docstrings say; empty tables stay empty."""
+with nulls, empty texts, ties and repeated rows are treated as the operators' docstrings say; empty tables stay empty.
+Stages with Python bound the session's Arrow batches (`bounded_batches`), which changes no results."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import language, mixing, packing, similar, substrings
-from millrace.llm.common import quoted, unused, without, word_count
+from millrace.llm.common import bounded_batches, quoted, unused, without, word_count
 from millrace.llm.queries import MIX_SEED, table, tokenizer_path
 from millrace.session import stored
 
@@ -29,6 +30,7 @@ def _back(rows: DataFrame, whole: str, docs: DataFrame, *needed: str, **changed:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language is not clear: no text, no letter, or a narrow margin. The classifier is learned
     from the labelled documents outside the held-out quarter. Other columns stay as they are."""
+    bounded_batches(spark)
     known = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
     rows, whole = _apart(docs, "text")
     return _back(language.identify(rows, known).where("not rejected"), whole, docs, "text")
@@ -40,6 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Near are texts whose sets of five-word shingles have a similarity of 0.8 or more: found by SimHash signatures with
     one bit wiped out, with a recall of 0.93 or more, and checked by their shingles."""
+    bounded_batches(spark)
     whole, none, ident, same = names = unused(docs.columns, "whole_row", "no_id", "id_or_0", "same_text")
     id_of = F.coalesce(F.col("doc_id"), F.lit(0).cast(docs.schema["doc_id"].dataType))
     keys = [F.col("doc_id").isNull().alias(none), id_of.alias(ident)]
@@ -55,6 +58,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the words of passages that already stand in an earlier document; every document stays, if with less text.
     Columns besides text and n_chars stay as they are."""
+    bounded_batches(spark)
     rows, whole = _apart(docs, "doc_id", "text")
     kept = F.col("kept_text")
     return _back(substrings.remove_repeats(rows), whole, docs, "doc_id", text=kept, n_chars=F.length(kept).cast("bigint"))
@@ -70,6 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids and the sequences they are packed into."""
+    bounded_batches(spark)
     return packing.pack(docs.select("doc_id", "text"), tokenizer_path())
 
 

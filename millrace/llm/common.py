@@ -25,6 +25,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows that a task of a range-partitioned step sorts at most, about; more rows get more tasks.
 ROWS_PER_TASK = 4_000_000
 
+# Bytes of rows that Spark hands to Python at once, about. Its own bound of 64 MB is held by the JVM and by Python, twice
+# while buffers grow, for each core.
+BATCH_BYTES = 4 << 20
+
 
 def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     """A schema with more fields at its end."""
@@ -35,6 +39,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on, rows go to Python about BATCH_BYTES at a time in this session, unless it asks for less."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m"))
+    if held > BATCH_BYTES:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def range_tasks(spark: SparkSession, rows: int, per_task: int = ROWS_PER_TASK) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 
@@ -70,8 +82,8 @@ def running_total(
     # One row for each range.
     sums = sorted((r["_part"], r["_total"]) for r in totals.collect())
     bases = np.cumsum([0] + [total for _, total in sums]).tolist()
-    table = spark.createDataFrame(
-        [(part, base) for (part, _), base in zip(sums, bases)], "_part int, _base bigint")
+    # Out of Arrow, since a list of rows goes through Python workers of its own on the executors, which stay there.
+    table = spark.createDataFrame(pa.table({"_part": pa.array([part for part, _ in sums], pa.int32()), "_base": pa.array(bases[:-1], pa.int64())}))
     joined = ranged.join(table, "_part")
     return joined.withColumn(name, F.col("_base") + F.col("_upto")).drop("_weight", "_part", "_upto", "_base")
 

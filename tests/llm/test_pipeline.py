@@ -2,13 +2,14 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from millrace.llm import language, mixing, queries
-from millrace.llm.common import word_count
+from millrace.llm.common import BATCH_BYTES, bounded_batches, running_total, word_count
 from millrace.session import stored
 from tests.conftest import SMALL
 from tests.llm.test_operators import DOC, ODD, check_packing, slow_cut, slow_ids, words
@@ -121,3 +122,48 @@ def test_run_is_the_stages(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert got.count() > 100
+
+
+BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def batches(spark):
+    """The session's bound of Arrow batches as before, and again afterwards."""
+    before = spark.conf.get(BATCHES)
+    spark.conf.unset(BATCHES)
+    yield
+    spark.conf.set(BATCHES, before)
+
+
+@pytest.mark.parametrize("name", ["language", "near-duplicates", "passages", "packing"])
+def test_stages_hand_few_bytes_at_once_to_python(spark, batches, name):
+    def sizes(rows):
+        for b in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], names=["n", "bytes"])
+
+    dict(corpus_pipeline.STAGES)[name](spark, spark.createDataFrame([], DOC), SMALL)
+    # Texts of 100,000 bytes, and one beyond the bound.
+    texts = spark.range(0, 100, 1, 1).select("id", F.repeat(F.lit("x"), F.when(F.col("id") == 50, 2 * BATCH_BYTES).otherwise(100_000).cast("int")).alias("text"))
+    seen = texts.mapInArrow(sizes, "n bigint, bytes bigint").collect()
+    assert sum(r["n"] for r in seen) == 100 and len(seen) >= 3
+    assert all(r["bytes"] <= BATCH_BYTES + 200_000 for r in seen if r["n"] > 1 and r["bytes"] < 2 * BATCH_BYTES)
+    assert max(r["bytes"] for r in seen) <= 3 * BATCH_BYTES + 200_000
+
+
+def test_smaller_batches_stay(spark, batches):
+    spark.conf.set(BATCHES, "1m")
+    bounded_batches(spark)
+    assert spark.conf.get(BATCHES) == "1m"
+    spark.conf.set(BATCHES, "64m")
+    bounded_batches(spark)
+    assert int(spark.conf.get(BATCHES)) == BATCH_BYTES
+
+
+def test_bases_of_ranges_start_no_python_workers(spark):
+    rows = running_total(spark.range(50).withColumn("w", F.col("id") % 3), ["id"], "w", tasks=5)
+    assert [r["before"] for r in rows.orderBy("id").collect()] == [sum(i % 3 for i in range(n)) for n in range(50)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" in plan
+    none = running_total(spark.range(0), ["id"])
+    assert none.columns == ["id", "before"] and none.isEmpty()
