@@ -10,14 +10,15 @@ Keys are exchanged as arrays, dealt by hash. Texts that are equal in a segment s
 first of them; texts that differ in a bit there meet under the key without it. At first only the first text of a key is compared with its others, so the
 pairs to verify are fewer than the keys. Texts that may still be near another one meet again with what hangs together by
 then, and only pairs from different components are compared, each under one of the keys it shares. A key that many texts
-share (more than `group`, in a batch or in all) is not held by a task: its rows are joined by Spark, those of its largest
-component with the others only. So no pair that meets under a key goes unseen, unless it hangs together anyway.
+share (more than `group`, in a batch or in all) is not held by a task: its texts are dealt into blocks, and each two blocks are
+compared in one place, prints first and then shingles, which only links leave. So no pair that meets under a key goes unseen,
+unless it hangs together anyway.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import batch_of, forget_worker_state, quoted, release, releasing, running_total, text_bytes
@@ -37,6 +38,9 @@ SHINGLE_WORDS, SIMILARITY, RECALL, SEED = 5, 0.8, 0.93, 42
 # Texts of one key that are compared pair by pair; nodes whose keys are made at once; index bytes of a task, about.
 GROUP, NODES_AT_ONCE, TASK_BYTES = 64, 1024, 4 << 20
 
+# Texts in a block of a hot key, about, of which a task holds two; shingles that a task remembers of the texts it compares.
+BLOCK, REMEMBERED = 512, 1 << 21
+
 _PAIR = [("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -283,9 +287,17 @@ def _deal_again(batches: Iterator[pa.RecordBatch], layout: Layout, tasks: int) -
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def _first_shared(differ: np.ndarray, layout: Layout) -> np.ndarray:
+    """Of pairs, given which bits differ: segment and wiped bit of the first key that each shares."""
+    inside = differ[:, : layout.width * layout.segments].reshape(len(differ), layout.segments, layout.width)
+    segment = (inside.sum(axis=2) <= 1).argmax(axis=1)
+    # A pair that is equal in the segment shares all its keys there, of which the first counts.
+    return segment * layout.width + inside[np.arange(len(differ)), segment].argmax(axis=1)
+
+
 def _cross_pairs(group: pa.Table, layout: Layout) -> pa.Table:
     """Near pairs (a < b) of different components among the nodes of a task's keys, each under the first key it shares;
-    keys with more than `group` nodes are left to the join of hot keys."""
+    keys with more than `group` nodes are left to the blocks of hot keys."""
 
     def joined(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
@@ -307,31 +319,37 @@ def _cross_pairs(group: pa.Table, layout: Layout) -> pa.Table:
             x, y, key = (v[apart][lo : lo + (1 << 16)] for v in (a, b, keys[at]))
             differ = np.unpackbits(prints[x] ^ prints[y], axis=1, bitorder="little")
             near = differ.sum(axis=1) <= layout.whole_reach
-            x, y, key, differ = x[near], y[near], key[near], differ[near, : layout.width * layout.segments]
-            inside = differ.reshape(len(x), layout.segments, layout.width)
-            segment = (inside.sum(axis=2) <= 1).argmax(axis=1)
-            # A pair that is equal in the segment shares all its keys there, of which the first counts.
-            bit = inside[np.arange(len(x)), segment].argmax(axis=1)
-            mine = key >> layout.width == segment * layout.width + bit
+            x, y, key = x[near], y[near], key[near]
+            mine = key >> layout.width == _first_shared(differ[near], layout)
             found.append(np.sort(np.stack([nodes[x[mine]], nodes[y[mine]]], axis=1), axis=1))
     pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
+def _opened(size: int) -> Callable[[int, pa.Scalar], np.ndarray]:
+    """Shingles of a node out of its words; so many are remembered."""
+    open_up = zstandard.ZstdDecompressor().decompress
+    known: dict[int, np.ndarray] = {}
+    held = 0
+
+    def of(node: int, words: pa.Scalar) -> np.ndarray:
+        nonlocal held
+        if node not in known:
+            if held > REMEMBERED:
+                known.clear()
+                held = 0
+            known[node] = shingles(open_up(words.as_py()).split(), size)
+            held += len(known[node])
+        return known[node]
+
+    return of
+
+
 def _verified(pairs: DataFrame, packed: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs (a, b) whose shingles are similar; packed has the words of each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_up = zstandard.ZstdDecompressor().decompress
-        known: dict[int, np.ndarray] = {}
-
-        def of(node: int, words: pa.Scalar) -> np.ndarray:
-            if node not in known:
-                if len(known) > 500:
-                    known.clear()
-                known[node] = shingles(open_up(words.as_py()).split(), size)
-            return known[node]
-
+        of = _opened(size)
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             fine = [similarity_of(of(x, batch.column("words_a")[n]), of(y, batch.column("words_b")[n])) >= similarity for n, (x, y) in enumerate(zip(a, b))]
@@ -360,18 +378,43 @@ def _packed(docs: DataFrame, nodes: DataFrame, text: str, doc_id: str) -> DataFr
     return stored(met.groupBy("node").agg(F.first("words").alias("words")), "packed-words")
 
 
-def _across(hot: DataFrame, rooted: DataFrame, layout: Layout) -> DataFrame:
-    """Pairs of nodes (node, root, print) that share a hot key, have near prints and do not hang together yet. Under each
-    key, those of the largest component meet the others only."""
-    bits = [f"bits{n}" for n in range(layout.words)]
-    words = [F.conv(F.hex(F.substring("print", 8 * n + 1, 8)), 16, -10).cast("bigint").alias(b) for n, b in enumerate(bits)]
-    placed = stored(hot.join(rooted.withColumnRenamed("node", "a"), "a").select("key", "a", "root", *words), "hot-keys")
-    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    major = stored(sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count(F.lit(1)).alias("roots")).where("roots > 1"), "hot-majors")
-    others = placed.join(major, "key").where(F.col("root") != F.col("major")).select("key", *[F.col(c).alias(f"x_{c}") for c in ("a", "root", *bits)])
-    differ = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"x_{b}"))) for b in bits])
-    met = placed.join(others, "key").where((F.col("root") != F.col("x_root")) & (differ <= layout.whole_reach))
-    return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
+def _block_links(group: pa.Table, layout: Layout, similarity: float, size: int) -> pa.Table:
+    """Similar pairs (a < b) between two blocks of a hot key, or inside one: of different components, with near prints, and
+    compared under the first key that they share."""
+    key, low, high = (group.column(c)[0].as_py() for c in ("key", "low", "high"))
+    nodes, roots, block = (group.column(c).to_numpy() for c in ("a", "root", "block"))
+    prints = np.frombuffer(b"".join(group.column("print").to_pylist()), np.uint8).reshape(len(nodes), -1)
+    bits, words, of = prints.view("<u8"), group.column("words"), _opened(size)
+    one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    found = []
+    for n, x in enumerate(one.tolist()):
+        y = two[n + 1 :] if low == high else two
+        y = y[roots[y] != roots[x]]
+        y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) <= layout.whole_reach]
+        y = y[_first_shared(np.unpackbits(prints[y] ^ prints[x], axis=1, bitorder="little"), layout) == key >> layout.width] if len(y) else y
+        for m in y.tolist():
+            if similarity_of(of(nodes[x], words[x]), of(nodes[m], words[m])) >= similarity:
+                found.append(sorted((int(nodes[x]), int(nodes[m]))))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _hot_links(hot: DataFrame, rooted: DataFrame, packed: DataFrame, layout: Layout, similarity: float, size: int) -> DataFrame:
+    """Similar pairs of nodes (node, root, print) that share a hot key and do not hang together yet.
+
+    The comparisons under a key grow with the square of its nodes, its rows only with their number times its blocks: a node
+    is dealt to each pair of blocks that has its own, and a pair of blocks is a group of its own. Pairs do not leave it."""
+    known = rooted.join(packed, "node").withColumnRenamed("node", "a")
+    placed = stored(hot.join(known, "a").select("key", "a", "root", "print", "words"), "hot-keys")
+    sizes = placed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("root").alias("least"), F.max("root").alias("most"))
+    sizes = stored(sizes.where("least != most").select("key", "blocks"), "hot-sizes")
+    dealt = placed.join(sizes, "key")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "a", "root", "print", "block", "words")
+
+    def links_of(group: pa.Table) -> pa.Table:
+        return _block_links(group, layout, similarity, size)
+
+    return dealt.groupBy("key", "low", "high").applyInArrow(links_of, "a bigint, b bigint")
 
 
 def similar_documents(
@@ -429,11 +472,14 @@ def similar_documents(
     rooted = named.select("node", "print").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "print")
     again = rooted.mapInArrow(releasing(deal_again), "part int, keys binary, nodes binary, roots binary, prints binary")
     more = again.groupBy("part").applyInArrow(cross_pairs, "a bigint, b bigint")
-    if not hot.isEmpty():
-        more = more.unionByName(_across(hot, rooted, shape)).distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "near-across")
+    across = []
     if not more.isEmpty():
-        roots = components(links.unionByName(stored(_verified(more, packed, similarity, size), "similar-across")))
+        across.append(stored(_verified(more, packed, similarity, size), "similar-across"))
+    if not hot.isEmpty():
+        across.append(stored(_hot_links(hot, rooted, packed, shape, similarity, size), "similar-hot"))
+    if across:
+        roots = components(reduce(DataFrame.unionByName, across, links))
 
     labelled = stored(classes.select("node", "h1", "h2", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled-texts")
     least = stored(labelled.groupBy("root").agg(F.min("first").alias("least")), "component-firsts")

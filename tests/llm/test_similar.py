@@ -96,6 +96,33 @@ def test_large_groups_of_near_copies(spark, group):
     assert true > 2000 and lost <= 0.03 * true
 
 
+@pytest.mark.parametrize("block", [512, 50])
+def test_near_texts_that_are_not_similar_are_no_rows(spark, monkeypatch, block):
+    """Copies of one text that differ from it in two or three words each: nearly all pairs are near, few are similar."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base, rows = rng.choices(vocabulary, k=150), []
+    for n in range(240):
+        words = list(base)
+        for at in rng.sample(range(150), 2 + n % 2):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compared, verified = [], similar._verified
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(similar, "_verified", counted)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    whole = sorted(tuple(r) for r in similar.similar_documents(docs, group=4096).collect())
+    near = compared[-1]
+    assert sorted(tuple(r) for r in similar.similar_documents(docs, group=16).collect()) == whole
+    assert compared[-1] < 0.3 * near, (compared, near)
+    assert 1 < len({r[2] for r in whole}) < len(rows)
+
+
 @pytest.mark.parametrize("group", [3, 64, 1000])
 def test_no_pair_that_meets_is_lost(group):
     """Deal and pair in one process, batch by batch, twice: pairs that share a key are compared, hang together by then,
